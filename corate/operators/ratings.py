@@ -21,43 +21,51 @@ from corate.functions import RATING_MAX, RATING_MIN, normalized_deviation
 SET_PAGE_SIZE = 1024
 
 
+def user_stats(ratings: DataFrame, rating_min: float = RATING_MIN,
+               rating_max: float = RATING_MAX) -> DataFrame:
+    """``(user_id, mean, n_items, norm)`` from a per-user rating histogram.
+
+    ``norm`` is the L2 norm of the user's normalised deviations over all
+    their items. Both need the mean first, so the big table is reduced to
+    ``(user_id, rating, count)`` once (a partial aggregate; a user has as
+    many rows as distinct rating values) and the two passes run over that
+    histogram instead of over the ratings.
+    """
+    hist = ratings.groupBy("user_id", "rating").agg(F.count(F.lit(1)).alias("c"))
+    means = hist.groupBy("user_id").agg(
+        (F.sum(F.col("rating") * F.col("c")) / F.sum("c")).alias("mean"),
+        F.sum("c").alias("n_items"))
+    dev = normalized_deviation("rating", "mean", rating_min, rating_max)
+    norms = hist.join(means, "user_id").groupBy("user_id").agg(
+        F.sqrt(F.sum(F.col("c") * dev * dev)).alias("norm"))
+    return means.join(norms, "user_id")
+
+
 def user_means(ratings: DataFrame) -> DataFrame:
     """``(user_id, mean, n_items)``: average rating and number of ratings."""
-    return ratings.groupBy("user_id").agg(
-        F.avg("rating").alias("mean"),
-        F.count(F.lit(1)).alias("n_items"),
-    )
+    return user_stats(ratings).select("user_id", "mean", "n_items")
 
 
-def normalize(ratings: DataFrame, means: DataFrame | None = None,
+def normalize(ratings: DataFrame, stats: DataFrame | None = None,
               rating_min: float = RATING_MIN, rating_max: float = RATING_MAX
               ) -> DataFrame:
-    """``(user_id, item_id, rating, mean, n_items, dev)``.
+    """``(user_id, item_id, rating, mean, n_items, norm, dev, w)``.
 
-    ``dev = (rating - mean) / scale(rating, mean)`` with ``scale`` the room
-    left on the rating scale in the direction of the rating.
+    ``dev = (rating - mean) / scale(rating, mean)``, with ``scale`` the room
+    left on the rating scale in the direction of the rating, and
+    ``w = dev / norm``. ``w`` is NULL for a user whose ratings all equal the
+    mean (norm 0): such a user has no cosine similarity with anyone.
+
+    One join of the ratings with the per-user statistics; AQE broadcasts
+    the statistics when they are measured small and splits a hot user's
+    partition otherwise.
     """
-    if means is None:
-        means = user_means(ratings)
+    if stats is None:
+        stats = user_stats(ratings, rating_min, rating_max)
     return (ratings.select("user_id", "item_id", "rating")
-            .join(means, "user_id")
+            .join(stats.select("user_id", "mean", "n_items", "norm"), "user_id")
             .withColumn("dev", normalized_deviation("rating", "mean",
-                                                    rating_min, rating_max)))
-
-
-def user_norms(dev: DataFrame) -> DataFrame:
-    """``(user_id, norm)``: L2 norm of a user's deviations over all items."""
-    return dev.groupBy("user_id").agg(
-        F.sqrt(F.sum(F.col("dev") * F.col("dev"))).alias("norm"))
-
-
-def unit_weights(dev: DataFrame) -> DataFrame:
-    """``dev`` plus ``norm`` and ``w = dev / norm``.
-
-    ``w`` is NULL for a user whose ratings all equal the mean (norm 0): such
-    a user has no cosine similarity with anyone.
-    """
-    return (dev.join(user_norms(dev), "user_id")
+                                                    rating_min, rating_max))
             .withColumn("w", F.try_divide(F.col("dev"), F.col("norm"))))
 
 

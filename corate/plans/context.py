@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corate.operators import pairs as P
-from corate.operators.ratings import normalize, unit_weights, user_means
+from corate.operators.ratings import normalize, user_stats
 from corate.sources import testdata
 
 # Decimal places of every DOUBLE in a registered query's output, so that
@@ -43,25 +43,37 @@ class TestdataContext:
     def ratings(self) -> DataFrame:
         return testdata.ratings(self.spark, self.sf_dir)
 
+    @cached_property
+    def _folded(self) -> DataFrame:
+        return testdata.ratings(self.spark, self.sf_dir, with_fold=True)
+
+    @cached_property
+    def _split(self) -> tuple[DataFrame, DataFrame]:
+        return testdata.split(self._folded)
+
     @cached_property
     def train(self) -> DataFrame:
-        return testdata.split(self.ratings)[0]
+        return self._split[0]
 
     @cached_property
     def test(self) -> DataFrame:
-        return testdata.split(self.ratings)[1]
+        return self._split[1]
 
     @cached_property
-    def means(self) -> DataFrame:
-        return user_means(self.train)
+    def stats(self) -> DataFrame:
+        return user_stats(self.train)
 
     @cached_property
-    def dev(self) -> DataFrame:
-        return normalize(self.train, self.means)
+    def means(self) -> DataFrame:
+        return self.stats.select("user_id", "mean", "n_items")
 
     @cached_property
     def profiles(self) -> DataFrame:
-        return unit_weights(self.dev)
+        return normalize(self.train, self.stats)
+
+    @property
+    def dev(self) -> DataFrame:
+        return self.profiles
 
     @cached_property
     def pairs(self) -> DataFrame:

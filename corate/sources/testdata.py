@@ -35,27 +35,43 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(user_id, item_id, rating)`` before de-duplication (one row per line)."""
     lineitem = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    # Keys are stated non-null here, once, so that the filters Spark infers
+    # from later joins are already implied and every consumer of the view
+    # plans the same subtree (which exchange reuse then computes once).
     return (lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .where(F.col("o_custkey").isNotNull() & F.col("l_partkey").isNotNull())
             .select(F.col("o_custkey").alias("user_id"),
                     F.col("l_partkey").alias("item_id"),
                     F.ceil(F.col("l_quantity") / F.lit(10.0)).cast("double").alias("rating")))
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(user_id BIGINT, item_id BIGINT, rating DOUBLE)``, unique per key."""
-    return (raw_ratings(spark, sf_dir).groupBy("user_id", "item_id")
-            .agg(F.max("rating").alias("rating")))
+def fold(user_id: str = "user_id", item_id: str = "item_id"):
+    """The split fold of a key: 0 for test rows, 1..4 for train rows."""
+    return ((F.col(user_id) * SPLIT_USER_FACTOR + F.col(item_id) * SPLIT_ITEM_FACTOR)
+            % SPLIT_MODULUS % SPLIT_FOLDS)
 
 
-def is_test(user_id: str = "user_id", item_id: str = "item_id"):
-    h = (F.col(user_id) * SPLIT_USER_FACTOR + F.col(item_id) * SPLIT_ITEM_FACTOR) \
-        % SPLIT_MODULUS % SPLIT_FOLDS
-    return h == 0
+def ratings(spark: SparkSession, sf_dir: str, with_fold: bool = False) -> DataFrame:
+    """``(user_id BIGINT, item_id BIGINT, rating DOUBLE)``, unique per key.
+
+    ``with_fold=True`` adds the split fold as an output of the same
+    aggregate. A filter on it cannot be pushed below the aggregate, so the
+    train and test halves share one computation of the view instead of
+    each re-running the join with its own pushed-down filter.
+    """
+    aggs = [F.max("rating").alias("rating")]
+    if with_fold:
+        aggs.append(F.min(fold()).alias("fold"))
+    return raw_ratings(spark, sf_dir).groupBy("user_id", "item_id").agg(*aggs)
 
 
 def split(rated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(train, test)`` by the fixed hash of ``(user_id, item_id)``."""
-    test = is_test()
+    if "fold" in rated.columns:
+        test = F.col("fold") == 0
+        rated_cols = [c for c in rated.columns if c != "fold"]
+        return rated.where(~test).select(*rated_cols), rated.where(test).select(*rated_cols)
+    test = fold() == 0
     return rated.where(~test), rated.where(test)
 
 
