@@ -81,10 +81,11 @@ def co_rating_pairs(profiles: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE,
     same_block = ((F.col("a.item_id") == F.col("b.item_id"))
                   & (F.col("a.blo") == F.col("b.blo"))
                   & (F.col("a.bhi") == F.col("b.bhi")))
-    # Within a block, take each unordered pair once: by bucket across
-    # buckets, by user id inside one bucket.
-    once = ((F.col("a.bkt") < F.col("b.bkt"))
-            | ((F.col("a.bkt") == F.col("b.bkt")) & (au < bu)))
+    # Take each unordered pair once. A block (lo, hi) with lo < hi holds
+    # the raters of buckets lo and hi and pairs one of each; a block (x, x)
+    # pairs the raters of bucket x among themselves, by user id.
+    once = (((F.col("a.blo") < F.col("a.bhi")) & (F.col("a.bkt") < F.col("b.bkt")))
+            | ((F.col("a.blo") == F.col("a.bhi")) & (au < bu)))
     a_low = au < bu
     joined = a.join(b, same_block & once).select(
         F.least(au, bu).alias("u"),

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corate.config import materialize as checkpoint
 from corate.functions import denormalize, order_key, ratio_or_zero
 from corate.operators.indexing import dense_index
 from corate.operators.neighbors import rank_neighbors
@@ -40,23 +41,28 @@ def _top(df: DataFrame, n: int) -> DataFrame:
 
 
 def recommend(ratings: DataFrame, catalogue: DataFrame, users: DataFrame | None = None,
-              k: int = 30, n: int = 5, unknown_user_mean: float = UNKNOWN_USER_MEAN
-              ) -> DataFrame:
+              k: int = 30, n: int = 5, unknown_user_mean: float = UNKNOWN_USER_MEAN,
+              materialize: bool = True) -> DataFrame:
     """``(user_id, rank, item_id, title, pred)``: the n best unrated items.
 
     ``ratings`` is ``(user_id, item_id, rating)``; ``catalogue`` is
     ``(item_id, title)``; ``users`` (``user_id``) limits the users served,
     ``None`` serves every user in ``ratings``. Similarities are cosine.
+
+    With ``materialize`` the user statistics, normalised ratings, neighbour lists and
+    the covered-item scores, each read by several branches, are written
+    once to the checkpoint folder (see ``config.materialize``).
     """
-    stats = user_stats(ratings)
-    profiles = normalize(ratings, stats)
+    keep = checkpoint if materialize else (lambda df: df)
+    stats = keep(user_stats(ratings))
+    profiles = keep(normalize(ratings, stats))
     if users is None:
         targets = stats.select("user_id")
         directed = symmetric(cosine(co_rating_pairs(profiles)))
     else:
         targets = users.select("user_id").distinct()
         directed = similarities_for(profiles, targets)
-    neighbors = rank_neighbors(directed, k)
+    neighbors = keep(rank_neighbors(directed, k))
     means = (targets.join(stats.select("user_id", "mean"), "user_id", "left")
              .withColumn("mean", F.coalesce(F.col("mean"), F.lit(unknown_user_mean))))
     rated = ratings.select("user_id", "item_id")
@@ -65,11 +71,11 @@ def recommend(ratings: DataFrame, catalogue: DataFrame, users: DataFrame | None
     reached = (neighbors.select("user_id", "neighbor_id", "sim")
                .join(profiles.select(F.col("user_id").alias("neighbor_id"), "item_id",
                                      F.col("dev").alias("ndev")), "neighbor_id"))
-    covered = (reached.join(rated, ["user_id", "item_id"], "left_anti")
-               .join(items, "item_id", "left_semi")
-               .groupBy("user_id", "item_id")
-               .agg(F.sum(F.col("ndev") * F.col("sim")).alias("num"),
-                    F.sum(F.abs(F.col("sim"))).alias("den")))
+    covered = keep(reached.join(rated, ["user_id", "item_id"], "left_anti")
+                   .join(items, "item_id", "left_semi")
+                   .groupBy("user_id", "item_id")
+                   .agg(F.sum(F.col("ndev") * F.col("sim")).alias("num"),
+                        F.sum(F.abs(F.col("sim"))).alias("den")))
     scored = covered.join(means, "user_id").select(
         "user_id", "item_id",
         denormalize("mean", ratio_or_zero("num", "den")).alias("pred"))
