@@ -121,10 +121,15 @@ def jaccard_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def symmetric(sim: DataFrame) -> DataFrame:
-    """``(user_id, neighbor_id, sim)`` in both orientations of each pair."""
-    forward = sim.select(F.col("u").alias("user_id"), F.col("v").alias("neighbor_id"), "sim")
-    backward = sim.select(F.col("v").alias("user_id"), F.col("u").alias("neighbor_id"), "sim")
-    return forward.unionByName(backward)
+    """``(user_id, neighbor_id, sim)`` in both orientations of each pair.
+
+    Both rows come from one pass over the pair table (an explode, not a
+    union of two reads, which would plan the pair table twice).
+    """
+    both = F.explode(F.array(
+        F.struct(F.col("u").alias("user_id"), F.col("v").alias("neighbor_id")),
+        F.struct(F.col("v").alias("user_id"), F.col("u").alias("neighbor_id"))))
+    return sim.select(both.alias("o"), "sim").select("o.user_id", "o.neighbor_id", "sim")
 
 
 def similarities_for(profiles: DataFrame, users: DataFrame,

@@ -123,17 +123,27 @@ def predict_knn(targets: DataFrame, profiles: DataFrame, means: DataFrame,
     one aggregation with a pair of conditional sums per k.
     """
     cand, keys = _candidates(targets, profiles, means, unknown_user_mean)
-    nb = neighbors.where(F.col("rank") <= max(ks)).select(
+    ks = sorted(ks)
+    nb = neighbors.where(F.col("rank") <= ks[-1]).select(
         F.col("user_id").alias("_u"), F.col("neighbor_id").alias("_v"),
         F.col("sim").alias("_sim"), F.col("rank").alias("_rank"))
     joined = cand.join(nb, (F.col("user_id") == F.col("_u")) & (F.col("_nb") == F.col("_v")),
                        "left")
+    # Sum once per (target, rank band) where band b holds ranks in
+    # (ks[b-1], ks[b]]; the sum for k = ks[j] is then the sum of bands 0..j.
+    # Two sums per candidate row instead of two per k.
+    band = F.lit(None).cast("int")
+    for b in reversed(range(len(ks))):
+        band = F.when(F.col("_rank") <= ks[b], F.lit(b)).otherwise(band)
+    per_band = joined.groupBy(*keys, "_mean", band.alias("_band")).agg(
+        F.sum(F.col("_ndev") * F.col("_sim")).alias("_num"),
+        F.sum(F.abs(F.col("_sim"))).alias("_den"))
     aggs = []
-    for k in ks:
-        inside = F.col("_rank") <= k
-        aggs += [F.sum(F.when(inside, F.col("_ndev") * F.col("_sim"))).alias(f"_num_{k}"),
-                 F.sum(F.when(inside, F.abs(F.col("_sim")))).alias(f"_den_{k}")]
-    grouped = joined.groupBy(*keys, "_mean").agg(*aggs)
+    for j, k in enumerate(ks):
+        inside = F.col("_band") <= j
+        aggs += [F.sum(F.when(inside, F.col("_num"))).alias(f"_num_{k}"),
+                 F.sum(F.when(inside, F.col("_den"))).alias(f"_den_{k}")]
+    grouped = per_band.groupBy(*keys, "_mean").agg(*aggs)
     preds = [denormalize("_mean", ratio_or_zero(f"_num_{k}", f"_den_{k}"),
                          rating_min, rating_max).alias(f"pred_{k}") for k in ks]
     return grouped.select(*keys, *preds)

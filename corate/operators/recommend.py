@@ -22,6 +22,8 @@ No user is crossed with the catalogue. Candidates come in two kinds:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,18 +42,21 @@ def _top(df: DataFrame, n: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def recommend(ratings: DataFrame, catalogue: DataFrame, users: DataFrame | None = None,
-              k: int = 30, n: int = 5, unknown_user_mean: float = UNKNOWN_USER_MEAN,
-              materialize: bool = True) -> DataFrame:
-    """``(user_id, rank, item_id, title, pred)``: the n best unrated items.
+def recommend_many(ratings: DataFrame, catalogue: DataFrame, users: DataFrame | None,
+                   ks: Sequence[int], n: int = 5,
+                   unknown_user_mean: float = UNKNOWN_USER_MEAN,
+                   materialize: bool = True) -> DataFrame:
+    """``(k, user_id, rank, item_id, title, pred)`` for each k in ``ks``.
 
     ``ratings`` is ``(user_id, item_id, rating)``; ``catalogue`` is
     ``(item_id, title)``; ``users`` (``user_id``) limits the users served,
     ``None`` serves every user in ``ratings``. Similarities are cosine.
+    Statistics, normalised ratings and neighbour ranks (to the largest k)
+    are computed once for all k.
 
-    With ``materialize`` the user statistics, normalised ratings, neighbour lists and
-    the covered-item scores, each read by several branches, are written
-    once to the checkpoint folder (see ``config.materialize``).
+    With ``materialize`` the user statistics, normalised ratings, neighbour
+    ranks and covered-item scores, each read by several branches, are
+    written once to the checkpoint folder (see ``config.materialize``).
     """
     keep = checkpoint if materialize else (lambda df: df)
     stats = keep(user_stats(ratings))
@@ -62,20 +67,35 @@ def recommend(ratings: DataFrame, catalogue: DataFrame, users: DataFrame | None
     else:
         targets = users.select("user_id").distinct()
         directed = similarities_for(profiles, targets)
-    neighbors = keep(rank_neighbors(directed, k))
+    ranked = keep(rank_neighbors(directed, max(ks)))
     means = (targets.join(stats.select("user_id", "mean"), "user_id", "left")
              .withColumn("mean", F.coalesce(F.col("mean"), F.lit(unknown_user_mean))))
     rated = ratings.select("user_id", "item_id")
     items = catalogue.select("item_id")
+    index = dense_index(items, "item_id")
+    ratings_by_neighbor = profiles.select(F.col("user_id").alias("neighbor_id"), "item_id",
+                                          F.col("dev").alias("ndev"))
+    out = []
+    for k in ks:
+        neighbors = ranked.where(F.col("rank") <= k).select("user_id", "neighbor_id", "sim")
+        covered = keep(neighbors.join(ratings_by_neighbor, "neighbor_id")
+                       .join(rated, ["user_id", "item_id"], "left_anti")
+                       .join(items, "item_id", "left_semi")
+                       .groupBy("user_id", "item_id")
+                       .agg(F.sum(F.col("ndev") * F.col("sim")).alias("num"),
+                            F.sum(F.abs(F.col("sim"))).alias("den")))
+        out.append(_top_n(covered, means, rated, index, n)
+                   .select(F.lit(k).cast("long").alias("k"), "*"))
+    result = out[0]
+    for part in out[1:]:
+        result = result.unionByName(part)
+    return result.join(catalogue.select("item_id", "title"), "item_id").select(
+        "k", "user_id", "rank", "item_id", "title", "pred")
 
-    reached = (neighbors.select("user_id", "neighbor_id", "sim")
-               .join(profiles.select(F.col("user_id").alias("neighbor_id"), "item_id",
-                                     F.col("dev").alias("ndev")), "neighbor_id"))
-    covered = keep(reached.join(rated, ["user_id", "item_id"], "left_anti")
-                   .join(items, "item_id", "left_semi")
-                   .groupBy("user_id", "item_id")
-                   .agg(F.sum(F.col("ndev") * F.col("sim")).alias("num"),
-                        F.sum(F.abs(F.col("sim"))).alias("den")))
+
+def _top_n(covered: DataFrame, means: DataFrame, rated: DataFrame, index: DataFrame,
+           n: int) -> DataFrame:
+    """``(user_id, rank, item_id, pred)`` from covered scores plus mean fillers."""
     scored = covered.join(means, "user_id").select(
         "user_id", "item_id",
         denormalize("mean", ratio_or_zero("num", "den")).alias("pred"))
@@ -88,7 +108,6 @@ def recommend(ratings: DataFrame, catalogue: DataFrame, users: DataFrame | None
                   .where(F.col("m").isNull() | (F.col("m") < n)
                          | (F.col("lowest") <= order_key("mean")))
                   .select("user_id", "mean"))
-    index = dense_index(items, "item_id")
     excluded = (rated.unionByName(covered.select("user_id", "item_id"))
                 .join(open_users.select("user_id"), "user_id", "left_semi")
                 .join(index, "item_id"))
@@ -102,7 +121,16 @@ def recommend(ratings: DataFrame, catalogue: DataFrame, users: DataFrame | None
         Window.partitionBy("user_id").orderBy("idx"))).where(F.col("r") <= n))
     filler = first_free.join(open_users, "user_id").select(
         "user_id", "item_id", F.col("mean").alias("pred"))
+    return _top(best.select("user_id", "item_id", "pred").unionByName(filler), n).select(
+        "user_id", "rank", "item_id", "pred")
 
-    final = _top(best.select("user_id", "item_id", "pred").unionByName(filler), n)
-    return final.join(catalogue.select("item_id", "title"), "item_id").select(
-        "user_id", "rank", "item_id", "title", "pred")
+
+def recommend(ratings: DataFrame, catalogue: DataFrame, users: DataFrame | None = None,
+              k: int = 30, n: int = 5, unknown_user_mean: float = UNKNOWN_USER_MEAN,
+              materialize: bool = True) -> DataFrame:
+    """``(user_id, rank, item_id, title, pred)``: the n best unrated items.
+
+    See ``recommend_many``; this is the single-k form.
+    """
+    return recommend_many(ratings, catalogue, users, [k], n, unknown_user_mean,
+                          materialize).drop("k")

@@ -12,6 +12,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corate.config import materialize as checkpoint
+from corate.functions import round_half_away
 from corate.operators import pairs as P
 from corate.operators.ratings import normalize, user_stats
 from corate.sources import testdata
@@ -26,18 +28,26 @@ def rounded(df: DataFrame, digits: int = OUTPUT_DIGITS) -> DataFrame:
     cols: list[Column] = []
     for field in df.schema.fields:
         if field.dataType.typeName() == "double":
-            cols.append(F.round(F.col(field.name), digits).alias(field.name))
+            cols.append(round_half_away(field.name, digits).alias(field.name))
         else:
             cols.append(F.col(field.name))
     return df.select(*cols)
 
 
 class TestdataContext:
-    """Rating view, split and model intermediates for one scale factor."""
+    """Rating view, split and model intermediates for one scale factor.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    With ``materialize`` the rating view, the per-user statistics and the
+    normalised training ratings are checkpointed on first use: each feeds
+    several branches of a query (train and test, the pair join and the
+    candidate join), and a short lineage keeps both planning and recovery
+    after an executor loss cheap.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._keep = checkpoint if materialize else (lambda df: df)
 
     @cached_property
     def ratings(self) -> DataFrame:
@@ -45,7 +55,7 @@ class TestdataContext:
 
     @cached_property
     def _folded(self) -> DataFrame:
-        return testdata.ratings(self.spark, self.sf_dir, with_fold=True)
+        return self._keep(testdata.ratings(self.spark, self.sf_dir, with_fold=True))
 
     @cached_property
     def _split(self) -> tuple[DataFrame, DataFrame]:
@@ -61,7 +71,7 @@ class TestdataContext:
 
     @cached_property
     def stats(self) -> DataFrame:
-        return user_stats(self.train)
+        return self._keep(user_stats(self.train))
 
     @cached_property
     def means(self) -> DataFrame:
@@ -69,7 +79,7 @@ class TestdataContext:
 
     @cached_property
     def profiles(self) -> DataFrame:
-        return normalize(self.train, self.stats)
+        return self._keep(normalize(self.train, self.stats))
 
     @property
     def dev(self) -> DataFrame:

@@ -238,10 +238,8 @@ def _personal(spark, sf_dir):
 
 def recommend_personal(spark, sf_dir):
     c, rated, users = _personal(spark, sf_dir)
-    parts = [recommend.recommend(rated, c.items, users, k=k, n=TOP_N)
-             .select(F.lit(k).cast("long").alias("k"), "rank", "item_id", "title", "pred")
-             for k in RECOMMEND_KS]
-    return rounded(parts[0].unionByName(parts[1]))
+    recs = recommend.recommend_many(rated, c.items, users, RECOMMEND_KS, TOP_N)
+    return rounded(recs.select("k", "rank", "item_id", "title", "pred"))
 
 
 # -- reports ---------------------------------------------------------------

@@ -1,0 +1,7 @@
+"""Streaming.
+
+The engine this package re-implements reads finite rating files once; it
+has no streaming sources, time windows, watermarks or state. There is
+therefore nothing to express with Structured Streaming here, and this
+package holds no operators.
+"""
