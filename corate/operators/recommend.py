@@ -59,6 +59,7 @@ def recommend_many(ratings: DataFrame, catalogue: DataFrame, users: DataFrame |
     written once to the checkpoint folder (see ``config.materialize``).
     """
     keep = checkpoint if materialize else (lambda df: df)
+    ratings = keep(ratings.select("user_id", "item_id", "rating"))
     stats = keep(user_stats(ratings))
     profiles = keep(normalize(ratings, stats))
     if users is None:

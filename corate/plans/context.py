@@ -51,7 +51,7 @@ class TestdataContext:
 
     @cached_property
     def ratings(self) -> DataFrame:
-        return testdata.ratings(self.spark, self.sf_dir)
+        return self._folded.select("user_id", "item_id", "rating")
 
     @cached_property
     def _folded(self) -> DataFrame:
