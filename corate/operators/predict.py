@@ -10,11 +10,12 @@ unknown user has mean ``unknown_user_mean`` (0.0); an item nobody rated,
 or one whose raters have no similarity with ``u``, gives ``usws = 0`` and
 so the user's mean.
 
-Plan: targets are joined with the item's raters on ``item_id`` (an item
-with many raters is a skewed key; AQE splits it), then with the
-similarity table on the canonical pair ``(least, greatest)``, then grouped
-back per target with partial aggregation. Left joins keep every target, so
-no second join is needed to restore targets without neighbours.
+Plan: targets are inner-joined with the item's raters on ``item_id`` (an
+item with many raters is a skewed key; AQE splits it on either side), then
+left-joined with the similarity table on the canonical pair ``(least,
+greatest)``, then grouped back per target with partial aggregation. A
+placeholder row per target keeps targets without raters, so no second
+join is needed to restore them.
 """
 
 from __future__ import annotations
@@ -46,9 +47,14 @@ def _candidates(targets: DataFrame, profiles: DataFrame, means: DataFrame,
     raters = profiles.select(F.col("item_id").alias("_item"),
                              F.col("user_id").alias("_nb"),
                              F.col("dev").alias("_ndev"))
-    cand = t.join(raters, (F.col("item_id") == F.col("_item"))
-                  & (F.col("user_id") != F.col("_nb")), "left").drop("_item")
-    return cand, keys
+    # An inner join, so AQE may split a hot item on either side (a left
+    # outer join could only split the targets). One placeholder row per
+    # target, whose NULLs every sum skips, keeps targets without raters.
+    matched = t.join(raters, (F.col("item_id") == F.col("_item"))
+                     & (F.col("user_id") != F.col("_nb"))).drop("_item")
+    placeholder = t.select("*", F.lit(None).cast("long").alias("_nb"),
+                           F.lit(None).cast("double").alias("_ndev"))
+    return matched.unionByName(placeholder), keys
 
 
 def _aggregate(cand: DataFrame, keys: list[str], sims: Mapping[str, Column],
