@@ -44,6 +44,8 @@ class TestdataContext:
     after an executor loss cheap.
     """
 
+    __test__ = False  # not a pytest test class
+
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
