@@ -25,6 +25,9 @@ SPARK_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.session.timeZone": "UTC",
+    # Delete checkpoint files once the DataFrames using them are gone, so a
+    # long session does not accumulate them in the shared folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 

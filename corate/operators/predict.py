@@ -38,9 +38,26 @@ from corate.functions import (
 UNKNOWN_USER_MEAN = 0.0
 
 
+KEYS = ["user_id", "item_id"]
+
+
+def _group(cand: DataFrame, extra: list[str], *aggs, by: list | None = None) -> DataFrame:
+    """Group by the target key (two longs) and carry the other columns.
+
+    Targets are unique per ``(user_id, item_id)``, so the carried columns
+    and the mean have one value per group; ``max`` picks it up without
+    widening the hash key with doubles.
+    """
+    carried = [F.max(c).alias(c) for c in extra] + [F.max("_mean").alias("_mean")]
+    return cand.groupBy(*KEYS, *(by or [])).agg(*carried, *aggs)
+
+
 def _candidates(targets: DataFrame, profiles: DataFrame, means: DataFrame,
                 unknown_user_mean: float) -> tuple[DataFrame, list[str]]:
-    """Targets with their mean and one row per rater of the target item."""
+    """Targets with their mean and one row per rater of the target item.
+
+    Targets must be unique per ``(user_id, item_id)``.
+    """
     keys = targets.columns
     t = (targets.join(means.select("user_id", F.col("mean").alias("_mean")), "user_id", "left")
          .withColumn("_mean", F.coalesce(F.col("_mean"), F.lit(unknown_user_mean))))
@@ -69,7 +86,7 @@ def _aggregate(cand: DataFrame, keys: list[str], sims: Mapping[str, Column],
             num = F.sum(prod)
             den = F.sum(F.abs(sim))
         aggs += [num.alias(f"_num_{name}"), den.alias(f"_den_{name}")]
-    grouped = cand.groupBy(*keys, "_mean").agg(*aggs)
+    grouped = _group(cand, [c for c in keys if c not in KEYS], *aggs)
     preds = [denormalize("_mean", ratio_or_zero(f"_num_{name}", f"_den_{name}"),
                          rating_min, rating_max).alias(name) for name in sims]
     return grouped.select(*keys, *preds)
@@ -141,15 +158,16 @@ def predict_knn(targets: DataFrame, profiles: DataFrame, means: DataFrame,
     band = F.lit(None).cast("int")
     for b in reversed(range(len(ks))):
         band = F.when(F.col("_rank") <= ks[b], F.lit(b)).otherwise(band)
-    per_band = joined.groupBy(*keys, "_mean", band.alias("_band")).agg(
-        F.sum(F.col("_ndev") * F.col("_sim")).alias("_num"),
-        F.sum(F.abs(F.col("_sim"))).alias("_den"))
+    extra = [c for c in keys if c not in KEYS]
+    per_band = _group(joined.withColumn("_band", band), extra,
+                      F.sum(F.col("_ndev") * F.col("_sim")).alias("_num"),
+                      F.sum(F.abs(F.col("_sim"))).alias("_den"), by=["_band"])
     aggs = []
     for j, k in enumerate(ks):
         inside = F.col("_band") <= j
         aggs += [F.sum(F.when(inside, F.col("_num"))).alias(f"_num_{k}"),
                  F.sum(F.when(inside, F.col("_den"))).alias(f"_den_{k}")]
-    grouped = per_band.groupBy(*keys, "_mean").agg(*aggs)
+    grouped = _group(per_band, extra, *aggs)
     preds = [denormalize("_mean", ratio_or_zero(f"_num_{k}", f"_den_{k}"),
                          rating_min, rating_max).alias(f"pred_{k}") for k in ks]
     return grouped.select(*keys, *preds)
