@@ -85,7 +85,7 @@ def recommend_many(ratings: DataFrame, catalogue: DataFrame, users: DataFrame |
                        .groupBy("user_id", "item_id")
                        .agg(F.sum(F.col("ndev") * F.col("sim")).alias("num"),
                             F.sum(F.abs(F.col("sim"))).alias("den")))
-        out.append(_top_n(covered, means, rated, index, n)
+        out.append(_top_n(covered, means, rated, index, n, keep)
                    .select(F.lit(k).cast("long").alias("k"), "*"))
     result = out[0]
     for part in out[1:]:
@@ -95,20 +95,25 @@ def recommend_many(ratings: DataFrame, catalogue: DataFrame, users: DataFrame |
 
 
 def _top_n(covered: DataFrame, means: DataFrame, rated: DataFrame, index: DataFrame,
-           n: int) -> DataFrame:
-    """``(user_id, rank, item_id, pred)`` from covered scores plus mean fillers."""
+           n: int, keep) -> DataFrame:
+    """``(user_id, rank, item_id, pred)`` from covered scores plus mean fillers.
+
+    ``best`` (at most n rows per user) and ``open_users`` are read by
+    several branches, so ``keep`` materialises them instead of letting each
+    branch re-rank all covered items.
+    """
     scored = covered.join(means, "user_id").select(
         "user_id", "item_id",
         denormalize("mean", ratio_or_zero("num", "den")).alias("pred"))
-    best = _top(scored, n)
+    best = keep(_top(scored, n))
 
     # Users whose list can still take an item at the mean.
     summary = best.groupBy("user_id").agg(F.count(F.lit(1)).alias("m"),
                                           F.min(order_key("pred")).alias("lowest"))
-    open_users = (means.join(summary, "user_id", "left")
-                  .where(F.col("m").isNull() | (F.col("m") < n)
-                         | (F.col("lowest") <= order_key("mean")))
-                  .select("user_id", "mean"))
+    open_users = keep(means.join(summary, "user_id", "left")
+                      .where(F.col("m").isNull() | (F.col("m") < n)
+                             | (F.col("lowest") <= order_key("mean")))
+                      .select("user_id", "mean"))
     excluded = (rated.unionByName(covered.select("user_id", "item_id"))
                 .join(open_users.select("user_id"), "user_id", "left_semi")
                 .join(index, "item_id"))
