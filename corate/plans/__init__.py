@@ -1,0 +1 @@
+"""Composite reports, registered queries and their DuckDB oracle SQL."""
