@@ -39,7 +39,7 @@ from corate.operators.ratings import normalize, user_stats
 def _top(df: DataFrame, n: int) -> DataFrame:
     order = Window.partitionBy("user_id").orderBy(order_key("pred").desc(),
                                                   F.col("item_id").asc())
-    return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    return df.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= n)
 
 
 def recommend_many(ratings: DataFrame, catalogue: DataFrame, users: DataFrame | None,

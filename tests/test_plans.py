@@ -6,25 +6,41 @@ an equi-join on (item, bucket pair) with its partial aggregate.
 
 from __future__ import annotations
 
-from __spark_entry__ import queries
+import duckdb
+
+from __spark_entry__ import oracle_sql, queries
 from corate.plans.context import TestdataContext
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+SQL_TYPES = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
+             "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN"}
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_registered_query_crosses_tables(spark):
-    bad = {}
+def test_no_cross_joins_and_oracle_types_agree(spark):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    crossed, typed = {}, {}
     for name, build in queries().items():
-        plan = _plan(build(spark, SF_SMALL))
+        df = build(spark, SF_SMALL)
+        plan = _plan(df)
         hits = [f for f in FORBIDDEN if f in plan]
         if hits:
-            bad[name] = hits
-    assert not bad, bad
+            crossed[name] = hits
+        mine = {f.name: SQL_TYPES.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+        rel = con.sql(oracle_sql()[name])
+        theirs = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        if mine != theirs:
+            typed[name] = (mine, theirs)
+    assert not crossed, crossed
+    assert not typed, typed
 
 
 def test_pair_join_is_keyed_by_item_and_bucket_block(spark):
