@@ -11,11 +11,11 @@ rows. If one item holds a large share of all ratings, a plain join on
 ``block_size`` raters are split: each rater gets a bucket
 ``xxhash64(user) mod nb`` and every bucket pair ``(lo, hi)`` becomes its own
 join key, so each task sees at most about ``2 * block_size`` raters and the
-item's pairs are spread over ``nb (nb + 1) / 2`` tasks. Ordinary items keep
-one bucket and cost one extra equality in the join key. The list of hot
-items is broadcast; it is cut at ``max_hot_items`` rows, which bounds the
-broadcast, and items past the cut are still joined (unsplit), so the result
-never changes.
+item's pairs are spread over ``nb (nb + 1) / 2`` tasks. Ordinary items take
+a plain self-join on ``item_id``; both joins feed one aggregation. The list
+of hot items is broadcast; it is cut at ``max_hot_items`` rows, which bounds
+the broadcast, and items past the cut take the plain join (unsplit), so the
+result never changes.
 
 The pair product is pre-aggregated (partial hash aggregate in the join's
 stage) before the shuffle on ``(u, v)``.
@@ -49,19 +49,50 @@ def hot_items(rows: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE,
                     F.ceil(F.col("degree") / F.lit(block_size)).cast("int").alias("nb")))
 
 
-def _blocked(rows: DataFrame, block_size: int, max_hot_items: int) -> DataFrame:
-    hot = hot_items(rows, block_size, max_hot_items)
-    nb = F.coalesce(F.col("nb"), F.lit(1))
-    bucketed = (rows.join(F.broadcast(hot), "item_id", "left")
-                .withColumn("nb", nb)
-                .withColumn("bkt", F.pmod(F.xxhash64("user_id"),
-                                          F.col("nb").cast("long")).cast("int"))
+def _pair_rows(a: DataFrame, b: DataFrame, condition) -> DataFrame:
+    """``(u, v, n_u, n_v, prod)`` for joined rater rows ``a.*``, ``b.*``."""
+    au, bu = F.col("a.user_id"), F.col("b.user_id")
+    a_low = au < bu
+    return a.join(b, condition).select(
+        F.least(au, bu).alias("u"),
+        F.greatest(au, bu).alias("v"),
+        F.when(a_low, F.col("a.n_items")).otherwise(F.col("b.n_items")).alias("n_u"),
+        F.when(a_low, F.col("b.n_items")).otherwise(F.col("a.n_items")).alias("n_v"),
+        (F.col("a.w") * F.col("b.w")).alias("prod"))
+
+
+def _plain_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of raters of ordinary items: one join key, ``u < v`` in the join."""
+    a, b = rows.alias("a"), rows.alias("b")
+    return _pair_rows(a, b, (F.col("a.item_id") == F.col("b.item_id"))
+                      & (F.col("a.user_id") < F.col("b.user_id")))
+
+
+def _blocked_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of raters of hot items, one join key per bucket pair.
+
+    ``rows`` carries ``nb``, the item's bucket count. A rater in bucket
+    ``bkt`` is copied into every block ``(min(bkt, o), max(bkt, o))``.
+    """
+    bucketed = (rows.withColumn("bkt", F.pmod(F.xxhash64("user_id"),
+                                              F.col("nb").cast("long")).cast("int"))
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))))
-    return bucketed.select(
+    blocks = bucketed.select(
         "item_id",
         F.least("bkt", "other").alias("blo"),
         F.greatest("bkt", "other").alias("bhi"),
         "bkt", "user_id", "n_items", "w")
+    a, b = blocks.alias("a"), blocks.alias("b")
+    same_block = ((F.col("a.item_id") == F.col("b.item_id"))
+                  & (F.col("a.blo") == F.col("b.blo"))
+                  & (F.col("a.bhi") == F.col("b.bhi")))
+    # Take each unordered pair once. A block (lo, hi) with lo < hi holds
+    # the raters of buckets lo and hi and pairs one of each; a block (x, x)
+    # pairs the raters of bucket x among themselves, by user id.
+    once = (((F.col("a.blo") < F.col("a.bhi")) & (F.col("a.bkt") < F.col("b.bkt")))
+            | ((F.col("a.blo") == F.col("a.bhi"))
+               & (F.col("a.user_id") < F.col("b.user_id"))))
+    return _pair_rows(a, b, same_block & once)
 
 
 def co_rating_pairs(profiles: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE,
@@ -69,30 +100,19 @@ def co_rating_pairs(profiles: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE,
     """``(u, v, common, dot, n_u, n_v)`` for every co-rating pair ``u < v``.
 
     ``profiles`` needs ``user_id, item_id, n_items, w`` (see
-    ``ratings.unit_weights``). ``common`` is the number of co-rated items,
+    ``ratings.normalize``). ``common`` is the number of co-rated items,
     ``dot`` the sum of ``w_u * w_v`` over them (the cosine similarity, since
     ``w`` is unit-normalised; NULL when either user has norm 0) and
     ``n_u``/``n_v`` the users' rating counts.
+
+    Ordinary items take a plain self-join on ``item_id``; hot items (see
+    ``hot_items``) take the bucket-block join. Both feed one aggregation.
     """
-    rows = _blocked(profiles.select("item_id", "user_id", "n_items", "w"),
-                    block_size, max_hot_items)
-    a, b = rows.alias("a"), rows.alias("b")
-    au, bu = F.col("a.user_id"), F.col("b.user_id")
-    same_block = ((F.col("a.item_id") == F.col("b.item_id"))
-                  & (F.col("a.blo") == F.col("b.blo"))
-                  & (F.col("a.bhi") == F.col("b.bhi")))
-    # Take each unordered pair once. A block (lo, hi) with lo < hi holds
-    # the raters of buckets lo and hi and pairs one of each; a block (x, x)
-    # pairs the raters of bucket x among themselves, by user id.
-    once = (((F.col("a.blo") < F.col("a.bhi")) & (F.col("a.bkt") < F.col("b.bkt")))
-            | ((F.col("a.blo") == F.col("a.bhi")) & (au < bu)))
-    a_low = au < bu
-    joined = a.join(b, same_block & once).select(
-        F.least(au, bu).alias("u"),
-        F.greatest(au, bu).alias("v"),
-        F.when(a_low, F.col("a.n_items")).otherwise(F.col("b.n_items")).alias("n_u"),
-        F.when(a_low, F.col("b.n_items")).otherwise(F.col("a.n_items")).alias("n_v"),
-        (F.col("a.w") * F.col("b.w")).alias("prod"))
+    rows = profiles.select("item_id", "user_id", "n_items", "w")
+    hot = F.broadcast(hot_items(rows, block_size, max_hot_items))
+    ordinary = rows.join(hot, "item_id", "left_anti")
+    split = rows.join(hot, "item_id")
+    joined = _plain_pairs(ordinary).unionByName(_blocked_pairs(split))
     return joined.groupBy("u", "v").agg(
         F.count(F.lit(1)).alias("common"),
         F.sum("prod").alias("dot"),
