@@ -24,6 +24,10 @@ SPARK_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    # A sort-merge join becomes a shuffled hash join (no sorts) only when
+    # every partition of the build side is measured below this size, which
+    # bounds the in-memory hash table per task.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     "spark.sql.session.timeZone": "UTC",
     # Delete checkpoint files once the DataFrames using them are gone, so a
     # long session does not accumulate them in the shared folder.
