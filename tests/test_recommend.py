@@ -84,3 +84,13 @@ def test_recommend_for_selected_users(spark):
     assert some.keys() == every.keys()
     assert all(some[k][0] == every[k][0] and math.isclose(some[k][1], every[k][1], abs_tol=1e-12)
                for k in some)
+
+
+def test_unknown_user_gets_smallest_items_at_zero(spark):
+    rows = _random_ratings(seed=5, users=10, items=12, density=0.4)
+    items = spark.createDataFrame([(i, str(i)) for i in [40, 3, 17, 8, 25, 11]],
+                                  "item_id bigint, title string")
+    users = spark.createDataFrame([(99,)], "user_id bigint")
+    got = [(r.rank, r.item_id, r.pred) for r in
+           recommend(ratings_df(spark, rows), items, users, k=3, n=4).orderBy("rank").collect()]
+    assert got == [(1, 3, 0.0), (2, 8, 0.0), (3, 11, 0.0), (4, 17, 0.0)]
