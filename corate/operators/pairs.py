@@ -12,10 +12,10 @@ rows. If one item holds a large share of all ratings, a plain join on
 ``xxhash64(user) mod nb`` and every bucket pair ``(lo, hi)`` becomes its own
 join key, so each task sees at most about ``2 * block_size`` raters and the
 item's pairs are spread over ``nb (nb + 1) / 2`` tasks. Ordinary items take
-a plain self-join on ``item_id``; both joins feed one aggregation. The list
-of hot items is broadcast; it is cut at ``max_hot_items`` rows, which bounds
-the broadcast, and items past the cut take the plain join (unsplit), so the
-result never changes.
+a plain self-join on ``item_id``; both joins feed one aggregation. The hot
+item list is joined on ``item_id`` without a hint: AQE broadcasts it when
+its measured size is small, and otherwise keeps a sort-merge join, whose
+partitioning by ``item_id`` the ordinary self-join reuses.
 
 The pair product is pre-aggregated (partial hash aggregate in the join's
 stage) before the shuffle on ``(u, v)``.
@@ -28,23 +28,19 @@ from pyspark.sql import functions as F
 
 from corate.functions import jaccard
 
-# Raters per bucket of a split item, and the most hot items broadcast.
+# Raters per bucket of a split item.
 DEFAULT_BLOCK_SIZE = 4096
-DEFAULT_MAX_HOT_ITEMS = 100_000
 
 
-def hot_items(rows: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE,
-              max_hot_items: int = DEFAULT_MAX_HOT_ITEMS) -> DataFrame:
+def hot_items(rows: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(item_id, nb)`` for items with more than ``block_size`` raters.
 
-    ``nb`` is the number of buckets the item's raters are hashed into. At
-    most ``max_hot_items`` rows (the hottest first), so the table is safe
-    to broadcast.
+    ``nb`` is the number of buckets the item's raters are hashed into. The
+    degree count is a partial aggregate, so a hot item costs one partial
+    row per map task.
     """
     degree = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("degree"))
     return (degree.where(F.col("degree") > block_size)
-            .orderBy(F.desc("degree"), "item_id")
-            .limit(max_hot_items)
             .select("item_id",
                     F.ceil(F.col("degree") / F.lit(block_size)).cast("int").alias("nb")))
 
@@ -95,8 +91,7 @@ def _blocked_pairs(rows: DataFrame) -> DataFrame:
     return _pair_rows(a, b, same_block & once)
 
 
-def co_rating_pairs(profiles: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE,
-                    max_hot_items: int = DEFAULT_MAX_HOT_ITEMS) -> DataFrame:
+def co_rating_pairs(profiles: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(u, v, common, dot, n_u, n_v)`` for every co-rating pair ``u < v``.
 
     ``profiles`` needs ``user_id, item_id, n_items, w`` (see
@@ -109,7 +104,7 @@ def co_rating_pairs(profiles: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE,
     ``hot_items``) take the bucket-block join. Both feed one aggregation.
     """
     rows = profiles.select("item_id", "user_id", "n_items", "w")
-    hot = F.broadcast(hot_items(rows, block_size, max_hot_items))
+    hot = hot_items(rows, block_size)
     ordinary = rows.join(hot, "item_id", "left_anti")
     split = rows.join(hot, "item_id")
     joined = _plain_pairs(ordinary).unionByName(_blocked_pairs(split))

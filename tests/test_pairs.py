@@ -74,10 +74,13 @@ def test_hot_items_are_split_without_changing_the_result(spark):
     _assert_same(got, _brute_pairs(rows))
 
 
-def test_hot_item_cut_keeps_result_whole(spark):
-    rows = _random_ratings(seed=3, users=30, items=5, density=0.9)
+def test_mixed_hot_and_ordinary_items(spark):
+    # Items 0-2 are rated by nearly everyone (split), items 3-9 by few.
+    rows = [r for r in _random_ratings(seed=3, users=30, items=10, density=0.9)
+            if r[1] < 3 or r[0] % 7 == r[1] % 7]
     prof = normalize(ratings_df(spark, rows))
-    got = _collect(P.co_rating_pairs(prof, block_size=4, max_hot_items=1))
+    assert {r.item_id for r in P.hot_items(prof, block_size=6).collect()} == {0, 1, 2}
+    got = _collect(P.co_rating_pairs(prof, block_size=6))
     _assert_same(got, _brute_pairs(rows))
 
 
