@@ -65,3 +65,15 @@ def test_count_check_against_dataframe(spark):
     assert (row.expected, row.actual, row.ok) == (2, 2, True)
     row = checks.count_check("fixed", a, 3).first()
     assert (row.expected, row.actual, row.ok) == (3, 2, False)
+
+
+def test_user_means_and_assert_checks(spark):
+    import pytest
+
+    from corate.operators.ratings import user_means
+    df = ratings_df(spark, [(1, 1, 4), (1, 2, 2), (2, 1, 5)])
+    got = {r.user_id: (r.mean, r.n_items) for r in user_means(df).collect()}
+    assert got == {1: (3.0, 2), 2: (5.0, 1)}
+    checks.assert_checks(checks.count_check("rows", df, 3))
+    with pytest.raises(AssertionError, match="rows expected 4 got 3"):
+        checks.assert_checks(checks.count_check("rows", df, 4))
