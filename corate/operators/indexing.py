@@ -17,7 +17,11 @@ def dense_index(df: DataFrame, key: str, idx: str = "idx",
     would move every key into one task instead.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if num_partitions is None:
+        setting = spark.conf.get("spark.sql.shuffle.partitions", "")
+        num_partitions = int(setting) if setting.isdigit() else \
+            spark.sparkContext.defaultParallelism
+    n = num_partitions
     ranged = (df.select(key).repartitionByRange(n, key)
               .withColumn("_part", F.spark_partition_id()))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
