@@ -7,7 +7,6 @@ lists the settings the plans are written for, so a job submitter (or
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,39 +45,37 @@ def apply_conf(builder: SparkSession.Builder, shuffle_partitions: int | None = N
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and scratch tables.
+    """The shared folder for scratch tables.
 
-    Taken from the session (``spark.checkpoint.dir``). Only a local-mode
-    session without one gets a fresh temporary folder; on a cluster a
-    machine-local folder would not be visible to the executors, so that
-    case is an error.
+    Taken from the session (``spark.checkpoint.dir``, or the checkpoint
+    folder set on the context); it is the cluster's to name, whatever its
+    scheme. A session that names none has a warehouse, which all of its
+    executors share as well, and gets a folder there.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        configured = tempfile.mkdtemp(prefix="corate-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    current = spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or current
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/corate-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path under the shared folder, deleted when the
+    application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/corate-{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back.
 
-    Used for intermediates read by several actions (similarity pairs,
-    neighbour lists). A reliable checkpoint survives the loss of the
-    executors that computed it; a lost cache block or local checkpoint
-    would not.
+    Used for intermediates that several branches or actions read (similarity
+    pairs, neighbour lists). The table cuts the lineage, survives the loss
+    of the executors that computed it, is compressed, and lets each reader
+    take only the columns it needs.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
