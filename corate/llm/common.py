@@ -5,7 +5,6 @@ over blocks of Arrow text."""
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,18 +32,6 @@ def package_on_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join([*paths, _ROOT])
 
 
-def scratch(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the folder named in spark.checkpoint.dir and read it
-    back: cuts lineage, survives lost executors and keeps columns prunable."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def crc_fold(doc_id: Column | str, folds: int) -> Column:
     """crc32(doc_id as text) mod ``folds``; NULL for a NULL id."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -144,6 +131,15 @@ class Words:
         at = np.flatnonzero(row[: n - k + 1] == row[k - 1 :])
         return h[at], at
 
+    def window(self, first: int, n: int) -> np.uint64:
+        """Hash of the n words from word ``first`` on; never that of a window
+        of another length, as far as 64 bits go."""
+        with np.errstate(over="ignore"):
+            h = np.uint64(n) * np.uint64(0xE7037ED1A0B428DB)
+            for w in self.hash[first : first + n]:
+                h = h * np.uint64(0x9FB21C651E98DF25) + w
+            return mix64(np.array([h]))[0]
+
 
 def byte_table(pattern_bytes: bytes) -> np.ndarray:
     """Table that is True for all bytes but the given ones."""

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corate.llm.common import binary_texts
 
@@ -224,7 +225,16 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Needs unique
-    doc_ids, as documents have; of rows with equal id and text all stay."""
-    keep = content_groups(docs, table_bytes).select(F.col("keep_id").alias("__keep_id"))
-    return docs.join(keep, docs["doc_id"].eqNullSafe(F.col("__keep_id")), "left_semi")
+    """``docs`` with all columns, one row of each content: that with the
+    largest doc_id (any one of rows that repeat both)."""
+    keep = content_groups(docs, table_bytes).select(F.col("keep_id").alias("__keep_id"), F.col("digest").alias("__keep_digest"))
+    marked = docs.mapInArrow(with_digest, T.StructType([*docs.schema.fields, T.StructField("__digest", T.StringType())]))
+    same = marked["doc_id"].cast("long").eqNullSafe(F.col("__keep_id")) & (F.col("__digest") == F.col("__keep_digest"))
+    return marked.join(keep, same, "left_semi").dropDuplicates(["doc_id", "__digest"]).select(*docs.columns)
+
+
+def with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All columns and the digest of the normalised text."""
+    for batch in batches:
+        texts = binary_texts(batch.column(batch.schema.get_field_index("text")))
+        yield batch.append_column("__digest", pa.array([hashlib.sha256(normalise(t)).hexdigest() for t in texts], pa.string()))

@@ -1,2 +1,551 @@
-def similar_components(*a, **k):
-    raise NotImplementedError
+"""Exact n-gram Jaccard join with set-relation skipping.
+
+A document is the set of its word shingles' 64-bit hashes. Equal sets are
+one set. The index has, for every set, only its prefix in a global order
+(rarest first, by a corpus-wide count sketch): two sets that link share a
+token there.
+
+Skipping, in the order in which it is used:
+
+* Position blocks. An index entry carries its position. At the first common
+  token of a linking pair, what is left of both sets must still reach the
+  overlap, so entry pairs whose positions rule that out are skipped.
+* Answers of similar sets. Sets of a token are first compared with the
+  token's pivot. A set that links to its pivot joins the pivot's cluster,
+  and its answers derive from the pivot's: Jaccard distance is a metric, so
+  two clusters whose pivots are further apart than the threshold and both
+  radii hold no link, pivots that link connect all members, and only what
+  lies between is compared member by member.
+* Components. Pairs that links already connect are not compared.
+* Bitmaps. A set's parity bitmap bounds the symmetric difference from
+  below; only pairs that pass have their complete sets intersected.
+
+A hot group of near copies thus costs one comparison a member, and all
+index work is per (token, cluster). Nothing is capped: what a bound cannot
+decide is compared exactly.
+
+Defined results: NULL, empty or wordless text has an empty set (n_shingles
+0), is linked with nothing and its component is its own doc_id; with fewer
+words than a shingle, the whole sequence is the one shingle; equal rows
+share a component; a NULL doc_id is never the smallest unless all are NULL.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from corate.config import materialize
+from corate.llm.common import BLANKS, Words, binary_texts, blocks, byte_table, mix64
+from corate.llm.components import components
+
+WORD = byte_table(BLANKS)
+#: Counters of the frequency sketch, and counters of one of its rows.
+SKETCH_BITS = 20
+SKETCH_ROW = 1 << 14
+#: Sets that a task remembers so as not to index copies again.
+SEEN_SETS = 200_000
+#: Pivots that a set is compared with before clusters are formed.
+PIVOTS = 2
+
+
+class ShingleSets:
+    """Distinct shingle hashes of each text of a block, in rising order."""
+
+    def __init__(self, texts: list[bytes], k: int):
+        words = Words([t.lower() for t in texts], WORD)
+        grams, at = words.grams(k)
+        row = np.repeat(np.arange(len(texts)), words.count)[at]
+        short = np.flatnonzero((words.count > 0) & (words.count < k))
+        if len(short):
+            whole = [words.window(int(words.first[r]), int(words.count[r])) for r in short]
+            grams, row = np.concatenate((grams, np.array(whole, np.uint64))), np.concatenate((row, short))
+        order = np.lexsort((grams, row))
+        grams, row = grams[order], row[order]
+        new = np.ones(len(grams), bool)
+        new[1:] = (grams[1:] != grams[:-1]) | (row[1:] != row[:-1])
+        self.hash, self.row = grams[new], row[new]
+        self.bounds = np.searchsorted(self.row, np.arange(len(texts) + 1))
+        self.size = np.diff(self.bounds)
+
+    def ids(self) -> np.ndarray:
+        """A 64-bit id of each set; equal sets have equal ids."""
+        with np.errstate(over="ignore"):
+            totals = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(self.hash ^ np.uint64(s)), dtype=np.uint64))) for s in (0x51A3, 0xC0FFEE)]
+            a, b = (t[self.bounds[1:]] - t[self.bounds[:-1]] for t in totals)
+            return mix64(mix64(a) + b * np.uint64(0x9E3779B97F4A7C15) + self.size.astype(np.uint64)).view(np.int64)
+
+    def of(self, r: int) -> np.ndarray:
+        return self.hash[self.bounds[r] : self.bounds[r + 1]]
+
+
+def parity_bitmap(hashes: np.ndarray) -> bytes:
+    """Parity of the set's hashes in at least twice as many bits as hashes.
+    Folding the halves of a bitmap together gives the bitmap of half size."""
+    bits = max(64, 1 << int(2 * len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+# --- passes over the texts -------------------------------------------------
+
+SET_ROWS = "doc_id long, n long, sid long, part int, counts binary"
+
+
+def set_rows(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Size and id of every row's set, then the task's count sketch: how
+    many sets hold a token of each bucket, in parts of SKETCH_ROW buckets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = np.zeros(1 << SKETCH_BITS, np.int32)
+        for batch in batches:
+            texts = binary_texts(batch.column(1))
+            for a, b in blocks(texts):
+                sets = ShingleSets(texts[a:b], k)
+                sketch += np.bincount((sets.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.int32)
+                yield _batch(SET_ROWS, [batch.column(0).slice(a, b - a), sets.size, pa.array(sets.ids(), mask=sets.size == 0), [None] * (b - a), [None] * (b - a)])
+        parts = [(p, sketch[p * SKETCH_ROW : (p + 1) * SKETCH_ROW]) for p in range((1 << SKETCH_BITS) // SKETCH_ROW)]
+        parts = [(p, c.tobytes()) for p, c in parts if c.any()]
+        yield _batch(SET_ROWS, [[None] * len(parts)] * 3 + [[p for p, _ in parts], [c for _, c in parts]])
+    return run
+
+
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "boolean": pa.bool_()}
+
+
+def _batch(schema: str, columns: list) -> pa.RecordBatch:
+    """A batch of a schema given as DDL of simple fields."""
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [c if isinstance(c, pa.Array) and c.type == _TYPES[t] else pa.array(c, _TYPES[t]) for c, (_, t) in zip(columns, fields, strict=True)],
+        [n for n, _ in fields])
+
+
+def sum_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the parts of all tasks, one running sum a part."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            c = np.frombuffer(counts, np.int32)
+            total[part] = total[part] + c if part in total else c.astype(np.int64)
+    yield _batch("part int, counts binary", [list(total), [v.astype(np.int64).tobytes() for v in total.values()]])
+
+
+def frequency_classes(sketch: np.ndarray) -> np.ndarray:
+    """A class of each bucket: 0 for counts that the mean load explains,
+    then by powers of two of the excess over its deviation."""
+    mean = float(sketch.mean())
+    excess = (sketch - mean) / (3 * np.sqrt(mean) + 1)
+    return np.maximum(0, np.floor(np.log2(np.maximum(excess, 0.5))) + 1).astype(np.uint8)
+
+
+def prefix_length(n: int, percent: int) -> int:
+    """Tokens of a set of n of which a linking set holds one at least."""
+    return n - -(-percent * n // 100) + 1
+
+
+INDEX = "sid long, n long, tokens array<long>, bitmap binary"
+
+
+def index_rows(classes, k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Prefix and bitmap of each distinct set of the task (a set that many
+    tasks hold comes once a task)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, seen = classes.value, set()
+        for batch in batches:
+            texts = binary_texts(batch.column(1))
+            for a, b in blocks(texts):
+                sets, rows = ShingleSets(texts[a:b], k), []
+                kind = table[(sets.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                for r, sid in enumerate(sets.ids().tolist()):
+                    n = int(sets.size[r])
+                    if not n or sid in seen:
+                        continue
+                    if len(seen) < SEEN_SETS:
+                        seen.add(sid)
+                    hashes, c = sets.of(r), kind[sets.bounds[r] : sets.bounds[r + 1]]
+                    # hashes are sorted, so a stable sort by class orders by both
+                    prefix = hashes[np.argsort(c, kind="stable")[: prefix_length(n, percent)]]
+                    rows.append((sid, n, prefix.view(np.int64), parity_bitmap(hashes)))
+                yield _batch(INDEX, list(zip(*rows, strict=True)) if rows else [[]] * 4)
+    return run
+
+
+def pack_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, bit) rows to one bitmap of 8192 bits a part."""
+    parts: dict[int, np.ndarray] = {}
+    for batch in batches:
+        part, bit = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
+        for p in np.unique(part).tolist():
+            parts.setdefault(p, np.zeros(8192, bool))[bit[part == p]] = True
+    yield _batch("part long, bits binary", [list(parts), [np.packbits(v).tobytes() for v in parts.values()]])
+
+
+def wanted_filter(sids: DataFrame) -> tuple[int, np.ndarray]:
+    """Bits that are set for the given set ids: 16 a set, 2^26 at most (8
+    MB). It only drops sets without a partner; others may pass."""
+    bits = min(26, max(13, (16 * sids.count()).bit_length()))
+    position = F.shiftrightunsigned("sid", 64 - bits)
+    rows = sids.select((position / 8192).cast("long").alias("part"), (position % 8192).alias("bit"))
+    table = np.zeros((1 << bits) // 8, np.uint8)
+    for r in rows.repartition("part").mapInArrow(pack_bits, "part long, bits binary").collect():
+        table[r.part * 1024 : (r.part + 1) * 1024] = np.frombuffer(r.bits, np.uint8)
+    return bits, table
+
+
+SETS = 200_000
+#: Pivots that a set is compared with before clusters are formed.
+PIVOTS = 2
+
+
+class ShingleSets:
+    """Distinct shingle hashes of each text of a block, in rising order."""
+
+    def __init__(self, texts: list[bytes], k: int):
+        words = Words([t.lower() for t in texts], WORD)
+        grams, at = words.grams(k)
+        row = np.repeat(np.arange(len(texts)), words.count)[at]
+        short = np.flatnonzero((words.count > 0) & (words.count < k))
+        if len(short):
+            whole = [words.window(int(words.first[r]), int(words.count[r])) for r in short]
+            grams, row = np.concatenate((grams, np.array(whole, np.uint64))), np.concatenate((row, short))
+        order = np.lexsort((grams, row))
+        grams, row = grams[order], row[order]
+        new = np.ones(len(grams), bool)
+        new[1:] = (grams[1:] != grams[:-1]) | (row[1:] != row[:-1])
+        self.hash, self.row = grams[new], row[new]
+        self.bounds = np.searchsorted(self.row, np.arange(len(texts) + 1))
+        self.size = np.diff(self.bounds)
+
+    def ids(self) -> np.ndarray:
+        """A 64-bit id of each set; equal sets have equal ids."""
+        with np.errstate(over="ignore"):
+            totals = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(self.hash ^ np.uint64(s)), dtype=np.uint64))) for s in (0x51A3, 0xC0FFEE)]
+            a, b = (t[self.bounds[1:]] - t[self.bounds[:-1]] for t in totals)
+            return mix64(mix64(a) + b * np.uint64(0x9E3779B97F4A7C15) + self.size.astype(np.uint64)).view(np.int64)
+
+    def of(self, r: int) -> np.ndarray:
+        return self.hash[self.bounds[r] : self.bounds[r + 1]]
+
+
+def parity_bitmap(hashes: np.ndarray) -> bytes:
+    """Parity of the set's hashes in at least twice as many bits as hashes.
+    Folding the halves of a bitmap together gives the bitmap of half size."""
+    bits = max(64, 1 << int(2 * len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+# --- passes over the texts -------------------------------------------------
+
+SET_ROWS = "doc_id long, n long, sid long, part int, counts binary"
+
+
+def set_rows(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Size and id of every row's set, then the task's count sketch: how
+    many sets hold a token of each bucket, in parts of SKETCH_ROW buckets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = np.zeros(1 << SKETCH_BITS, np.int32)
+        for batch in batches:
+            texts = binary_texts(batch.column(1))
+            for a, b in blocks(texts):
+                sets = ShingleSets(texts[a:b], k)
+                sketch += np.bincount((sets.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.int32)
+                yield _batch(SET_ROWS, [batch.column(0).slice(a, b - a), sets.size, pa.array(sets.ids(), mask=sets.size == 0), [None] * (b - a), [None] * (b - a)])
+        parts = [(p, sketch[p * SKETCH_ROW : (p + 1) * SKETCH_ROW]) for p in range((1 << SKETCH_BITS) // SKETCH_ROW)]
+        parts = [(p, c.tobytes()) for p, c in parts if c.any()]
+        yield _batch(SET_ROWS, [[None] * len(parts)] * 3 + [[p for p, _ in parts], [c for _, c in parts]])
+    return run
+
+
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "boolean": pa.bool_()}
+
+
+def _batch(schema: str, columns: list) -> pa.RecordBatch:
+    """A batch of a schema given as DDL of simple fields."""
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [c if isinstance(c, pa.Array) and c.type == _TYPES[t] else pa.array(c, _TYPES[t]) for c, (_, t) in zip(columns, fields, strict=True)],
+        [n for n, _ in fields])
+
+
+def sum_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the parts of all tasks, one running sum a part."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            c = np.frombuffer(counts, np.int32)
+            total[part] = total[part] + c if part in total else c.astype(np.int64)
+    yield _batch("part int, counts binary", [list(total), [v.astype(np.int64).tobytes() for v in total.values()]])
+
+
+def frequency_classes(sketch: np.ndarray) -> np.ndarray:
+    """A class of each bucket: 0 for counts that the mean load explains,
+    then by powers of two of the excess over its deviation."""
+    mean = float(sketch.mean())
+    excess = (sketch - mean) / (3 * np.sqrt(mean) + 1)
+    return np.maximum(0, np.floor(np.log2(np.maximum(excess, 0.5))) + 1).astype(np.uint8)
+
+
+def prefix_length(n: int, percent: int) -> int:
+    """Tokens of a set of n of which a linking set holds one at least."""
+    return n - -(-percent * n // 100) + 1
+
+
+INDEX = "sid long, n long, tokens array<long>, bitmap binary"
+
+
+def index_rows(classes, k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Prefix and bitmap of each distinct set of the task (a set that many
+    tasks hold comes once a task)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, seen = classes.value, set()
+        for batch in batches:
+            texts = binary_texts(batch.column(1))
+            for a, b in blocks(texts):
+                sets, rows = ShingleSets(texts[a:b], k), []
+                kind = table[(sets.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                for r, sid in enumerate(sets.ids().tolist()):
+                    n = int(sets.size[r])
+                    if not n or sid in seen:
+                        continue
+                    if len(seen) < SEEN_SETS:
+                        seen.add(sid)
+                    hashes, c = sets.of(r), kind[sets.bounds[r] : sets.bounds[r + 1]]
+                    # hashes are sorted, so a stable sort by class orders by both
+                    prefix = hashes[np.argsort(c, kind="stable")[: prefix_length(n, percent)]]
+                    rows.append((sid, n, prefix.view(np.int64), parity_bitmap(hashes)))
+                yield _batch(INDEX, list(zip(*rows, strict=True)) if rows else [[]] * 4)
+    return run
+
+
+def wanted_filter(sids: DataFrame) -> tuple[int, np.ndarray]:
+    """Bits that are set for the given set ids: 16 a set, 2^26 at most (8
+    MB). It only drops sets without a partner; others may pass."""
+    n = sids.count()
+    bits = min(26, max(13, (16 * n).bit_length()))
+    position = F.shiftrightunsigned("sid", 64 - bits)
+    rows = sids.select((position / 8192).cast("long").alias("part"), (position % 8192).alias("bit")).groupBy("part").agg(F.collect_set("bit").alias("set"))
+    table = np.zeros(1 << bits, bool)
+    for r in rows.toLocalIterator():
+        table[r.part * 8192 + np.array(r.set, np.int64)] = True
+    return bits, np.packbits(table)
+
+
+SETS = "sid long, hashes binary"
+
+
+def complete_sets(wanted, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Complete hashes of the wanted sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, table = wanted.value
+        seen: set[int] = set()
+        for batch in batches:
+            texts = binary_texts(batch.column(1))
+            for a, b in blocks(texts):
+                sets, rows = ShingleSets(texts[a:b], k), []
+                ids = sets.ids()
+                at = ids.view(np.uint64) >> np.uint64(64 - bits)
+                hit = (table[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7)).astype(np.uint8))) & 1
+                for r in np.flatnonzero(hit.astype(bool) & (sets.size > 0)):
+                    sid = int(ids[r])
+                    if sid not in seen:
+                        if len(seen) < SEEN_SETS:
+                            seen.add(sid)
+                        rows.append((sid, sets.of(r).tobytes()))
+                if rows:
+                    yield _batch(SETS, list(zip(*rows, strict=True)))
+    return run
+
+
+# --- comparing pairs -------------------------------------------------------
+
+PASSED = "a long, b long"
+
+
+def passes_bitmap(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs (a, b, na, nb, slack, bitmap_a, bitmap_b) whose similarity may
+    reach percent minus slack."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for na, nb, slack, x, y in zip(*(batch.column(i).to_pylist() for i in range(2, 7)), strict=True):
+                d = least_difference(x, y)
+                keep.append(100 * (na + nb - d) >= (percent - 100 * slack - 1e-6) * (na + nb + d))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+VERIFIED = "a long, b long, common long, total long"
+
+
+def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes of intersection and union of pairs (a, b, hashes_a, hashes_b)."""
+    for batch in batches:
+        common, total = [], []
+        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            c = len(np.intersect1d(u, v, assume_unique=True))
+            common.append(c)
+            total.append(len(u) + len(v) - c)
+        yield _batch(VERIFIED, [batch.column(0), batch.column(1), common, total])
+
+
+class JaccardJoin:
+    """The join over one table; each step's table is kept in scratch."""
+
+    def __init__(self, docs: DataFrame, words: int, percent: int):
+        self.spark = docs.sparkSession
+        self.k, self.percent = words, percent
+        self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        rows = materialize(self.texts.mapInArrow(set_rows(words), SET_ROWS), "sets")
+        self.rows = rows.where("part is null").select("doc_id", "n", "sid")
+        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+        parts = rows.where("part is not null").select("part", "counts")
+        for r in parts.repartition("part").mapInArrow(sum_sketches, "part int, counts binary").collect():
+            sketch[r.part * SKETCH_ROW : (r.part + 1) * SKETCH_ROW] = np.frombuffer(r.counts, np.int64)
+        classes = self.spark.sparkContext.broadcast(frequency_classes(sketch))  # one byte a bucket
+        index = materialize(self.texts.mapInArrow(index_rows(classes, words, percent), INDEX), "index")
+        self.bitmaps = index.groupBy("sid").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
+        entries = index.select("sid", "n", F.posexplode("tokens").alias("position", "token"))
+        shared = entries.groupBy("token").agg(F.min("sid").alias("pivot"), F.max("sid").alias("last")).where("pivot < last").drop("last")
+        self.entries = materialize(entries.join(shared, "token").groupBy("token", "sid").agg(F.first("n").alias("n"), F.first("position").alias("position"), F.first("pivot").alias("pivot")), "entries")
+
+    def reach(self, na: Column, nb: Column) -> Column:
+        """Overlap times (100 + percent) that sets of these sizes need."""
+        return self.percent * (na + nb)
+
+    def sizes_fit(self, na: Column, nb: Column) -> Column:
+        return F.least(na, nb) * 100 >= F.greatest(na, nb) * self.percent
+
+    def verify(self, pairs: DataFrame, slack: Column | float = 0.0) -> DataFrame:
+        """Exact intersection and union of the pairs (a, b and, if slack
+        needs them, more columns) whose similarity may reach percent minus
+        slack."""
+        pairs = pairs.withColumn("slack", slack if isinstance(slack, Column) else F.lit(slack)).select("a", "b", "slack")
+        left, right = (self.bitmaps.select(F.col("sid").alias(s), F.col("n").alias(f"n{s}"), F.col("bitmap").alias(f"bitmap_{s}")) for s in "ab")
+        bounded = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "slack", "bitmap_a", "bitmap_b")
+        passed = materialize(bounded.mapInArrow(passes_bitmap(self.percent), PASSED), "passed")
+        sids = passed.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        wanted = self.spark.sparkContext.broadcast(wanted_filter(sids))
+        sets = (self.texts.mapInArrow(complete_sets(wanted, self.k), SETS).join(sids, "sid", "left_semi")
+                .groupBy("sid").agg(F.first("hashes").alias("hashes")))
+        sets = materialize(sets, "complete")
+        left, right = (sets.select(F.col("sid").alias(s), F.col("hashes").alias(f"hashes_{s}")) for s in "ab")
+        both = passed.join(left, "a").join(right, "b").select("a", "b", "hashes_a", "hashes_b")
+        return materialize(both.mapInArrow(intersect, VERIFIED), "verified")
+
+    def linked(self) -> Column:
+        return F.col("common") * 100 >= F.col("total") * self.percent
+
+    def pivot_links(self) -> DataFrame:
+        """Links between sets and pivots of their tokens (a the set, b the
+        pivot): the pivots that share most of its tokens are compared."""
+        sizes = self.entries.select(F.col("sid").alias("pivot"), F.col("n").alias("pivot_n")).distinct()
+        votes = self.entries.where("sid <> pivot").groupBy("sid", "pivot").agg(F.first("n").alias("n"), F.count("*").alias("votes"))
+        fit = votes.join(sizes, "pivot").where(self.sizes_fit(F.col("n"), F.col("pivot_n")))
+        by = Window.partitionBy("sid").orderBy(F.desc("votes"), "pivot")
+        pairs = fit.withColumn("r", F.row_number().over(by)).where(F.col("r") <= PIVOTS).select(F.col("sid").alias("a"), F.col("pivot").alias("b"))
+        return self.verify(pairs).where(self.linked())
+
+    def links(self) -> DataFrame:
+        """Links (a, b) of sets that connect all that link: a spanning part
+        of the links, enough for components."""
+        star = self.pivot_links()
+        best = star.groupBy("a").agg(F.max(F.struct((F.col("common") / F.col("total")).alias("similarity"), "b")).alias("m"))
+        member = best.select(F.col("a").alias("sid"), F.col("m.b").alias("cluster"), (1 - F.col("m.similarity")).alias("distance"))
+        centers = member.select(F.col("cluster").alias("sid")).distinct()
+        # a pivot that others chose stays the centre of its own cluster
+        member = materialize(member.join(centers, "sid", "left_anti"), "members")
+        entries = self.entries.join(member, "sid", "left").withColumns({"cluster": F.coalesce("cluster", "sid"), "distance": F.coalesce("distance", F.lit(0.0))})
+        lists = entries.groupBy("token", "cluster").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("position").alias("position"), F.max("distance").alias("radius"))
+        lists = materialize(lists, "lists")
+        pairs = materialize(self._cluster_pairs(lists), "cluster-pairs")
+        radius = member.groupBy("cluster").agg(F.max("distance").alias("radius"))
+        ra, rb = (radius.select(F.col("cluster").alias(s), F.col("radius").alias(f"r{s}")) for s in "ab")
+        loose = pairs.join(ra, "a", "left").join(rb, "b", "left").withColumn("slack", F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0)))
+        loose = materialize(loose.select("a", "b", "slack"), "loose")
+        compared = self.verify(loose, F.col("slack"))
+        found = star.select("a", "b").unionByName(compared.where(self.linked()).select("a", "b"))
+        found = materialize(found.distinct(), "links")
+        between = (compared.where(~self.linked()).join(loose, ["a", "b"])
+                   .where((F.col("slack") > 0) & (100 * F.col("common") >= (self.percent - 100 * F.col("slack") - 1e-6) * F.col("total"))))
+        between = materialize(between.select("a", "b", (1 - F.col("common") / F.col("total")).alias("apart")), "between")
+        if between.isEmpty():
+            return found
+        return found.unionByName(self._member_links(between, found, entries))
+
+    def _cluster_pairs(self, lists: DataFrame) -> DataFrame:
+        """Clusters that share a token, sizes and positions allowing a link."""
+        left, right = (lists.select("token", *(F.col(c).alias(c + s) for c in ("cluster", "least", "most", "position"))) for s in "ab")
+        t = F.lit(self.percent)
+        fit = (F.col("mosta") * 100 >= F.col("leastb") * t) & (F.col("mostb") * 100 >= F.col("leasta") * t)
+        rest = F.least(F.col("mosta") - F.col("positiona"), F.col("mostb") - F.col("positionb"))
+        enough = rest * (100 + t) >= self.reach(F.col("leasta"), F.col("leastb"))
+        joined = left.join(right, "token").where((F.col("clustera") < F.col("clusterb")) & fit & enough)
+        return joined.select(F.col("clustera").alias("a"), F.col("clusterb").alias("b")).distinct()
+
+    def _member_links(self, between: DataFrame, found: DataFrame, entries: DataFrame) -> DataFrame:
+        """Links between members of clusters that the pivots leave open and
+        that no link connects yet."""
+        roots = components(found)
+        ra, rb = (roots.select(F.col("node").alias(s), F.col("root").alias(f"r{s}")) for s in "ab")
+        open_pairs = (between.join(ra, "a", "left").join(rb, "b", "left")
+                      .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b", "apart"))
+        open_pairs = materialize(open_pairs, "open")
+        left, right = (entries.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("sid", "cluster", "n", "position", "distance"))) for s in "ab")
+        near = left.join(open_pairs.withColumnRenamed("a", "cluster_a"), "cluster_a")
+        both = near.join(right.withColumnRenamed("cluster_b", "b"), ["token", "b"])
+        rest = F.least(F.col("n_a") - F.col("position_a"), F.col("n_b") - F.col("position_b"))
+        pairs = both.where(
+            self.sizes_fit(F.col("n_a"), F.col("n_b")) & (rest * (100 + self.percent) >= self.reach(F.col("n_a"), F.col("n_b")))
+            & (F.col("apart") <= F.col("distance_a") + F.col("distance_b") + (1 - self.percent / 100) + 1e-9))
+        pairs = pairs.select(F.least("sid_a", "sid_b").alias("a"), F.greatest("sid_a", "sid_b").alias("b")).distinct()
+        return self.verify(pairs).where(self.linked()).select("a", "b")
+
+    def documents(self) -> DataFrame:
+        """doc_id, n_shingles, component_id, set_id of every row."""
+        sets = self.rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
+        roots = components(self.links())
+        labelled = sets.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
+        of_set = labelled.join(smallest, "root").select("sid", "component_id")
+        joined = self.rows.join(of_set, "sid", "left")
+        return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.col("sid").alias("set_id"))
+
+
+def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """Every row's set size, component (smallest doc_id that links reach) and
+    set id. ``docs`` needs doc_id and text."""
+    return JaccardJoin(docs, words, percent).documents()
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` (all columns) with one row of each component: the smallest
+    doc_id. Rows without shingles stay. Needs unique doc_ids."""
+    found = similar_components(docs, words, percent)
+    gone = found.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("__gone"))
+    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")

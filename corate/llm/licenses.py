@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corate.llm.common import Words, binary_texts, blocks, scratch
+from corate.config import materialize
+from corate.llm.common import Words, binary_texts, blocks
 
 # Base phrases and their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -158,7 +159,7 @@ def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, k: int
     table = spark.createDataFrame(rows, "label string, position long, hash long, windows long")
     rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # two branches read it; it holds no texts
-    scanned = scratch(rows_in.mapInArrow(scan(bitmap([r[2] for r in rows]), k), SCANNED), "license-scan")
+    scanned = materialize(rows_in.mapInArrow(scan(bitmap([r[2] for r in rows]), k), SCANNED), "license-scan")
     found = diagonal_spans(scanned.where(F.size("hashes") > 0), table)
     labels = found.groupBy("row_id").agg(F.collect_set("label").alias("found"), F.max("score").alias("best"))
     joined = scanned.drop("hashes", "at").join(labels, "row_id", "left")

@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corate.llm.common import blocks, scratch
+from corate.config import materialize
+from corate.llm.common import blocks
 
 CAPACITY = 4096
 END_ID = 1
@@ -240,7 +241,7 @@ def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_id:
     with open(tokenizer_file, encoding="utf-8") as f:
         definition = sc.broadcast(f.read())  # a file of fixed size
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = scratch(rows.mapInArrow(cut_pieces(definition, capacity, end_id), PIECES), "pieces")
+    pieces = materialize(rows.mapInArrow(cut_pieces(definition, capacity, end_id), PIECES), "pieces")
     per_task = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
     # at most `capacity` rows, one a length
     histogram = {r.length: r.n for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}

@@ -31,7 +31,7 @@ REPEAT_PERCENT = 50
 #: A text is kept when its calibrated probability of quality 1 is this high.
 KEEP_PROBABILITY = 0.5
 #: Labelled rows that the fit takes, and hash buckets of each n-gram kind.
-FIT_ROWS = 4_000
+FIT_ROWS = 3_000
 BUCKETS = 1 << 11
 
 WORD = byte_table(BLANKS)
@@ -103,13 +103,13 @@ def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def logistic_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float, steps: int = 150) -> tuple[np.ndarray, float]:
     """Weighted logistic regression by Nesterov's accelerated gradient."""
     n, d = x.shape
-    w, b = np.zeros(d), 0.0
+    w, b = np.zeros(d, x.dtype), 0.0
     vw, vb = w.copy(), b
-    weight = weight / weight.sum()
-    rate = 1.0 / (0.25 * float((weight * (np.square(x).sum(axis=1) + 1)).sum()) + l2)
+    weight = (weight / weight.sum()).astype(x.dtype)
+    rate = 1.0 / (0.25 * float((weight * (np.einsum("ij,ij->i", x, x) + 1)).sum()) + l2)
     for t in range(steps):
         p = 1 / (1 + np.exp(-(x @ vw + vb)))
-        g = weight * (p - y)
+        g = (weight * (p - y)).astype(x.dtype)
         nw, nb = vw - rate * (x.T @ g + l2 * vw), vb - rate * float(g.sum())
         k = t / (t + 3)
         vw, vb = nw + k * (nw - w), nb + k * (nb - b)
@@ -146,7 +146,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Qua
     order = np.argsort(x[:, :64] @ np.arange(1, 65), kind="stable")
     x, y = x[order], y[order]
     held = np.arange(len(y)) % 5 == 4
-    scale = np.sqrt(np.square(x).mean(axis=0)) + 1e-3
+    scale = np.sqrt(np.einsum("ij,ij->j", x, x) / len(x)) + 1e-3
     x /= scale.astype(np.float32)
     balance = np.where(y > 0, 0.5 / max(1, y[~held].sum()), 0.5 / max(1, (1 - y[~held]).sum()))
     w, b = logistic_fit(x[~held], y[~held], balance[~held], l2=0.02)
