@@ -14,22 +14,29 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step handles; a longer text is one block.
 BLOCK_BYTES = 1 << 20
+#: Rows of one Arrow batch.
+BATCH_ROWS = 1000
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of one input table."""
-    package_on_workers(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-def package_on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
+def prepare(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it,
+    and hand texts to them in batches of BATCH_ROWS at most: a batch of
+    Spark's default size holds ten times the memory, in the JVM and in the
+    worker."""
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
     if _ROOT not in paths:
         env["PYTHONPATH"] = ":".join([*paths, _ROOT])
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def crc_fold(doc_id: Column | str, folds: int) -> Column:

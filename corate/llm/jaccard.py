@@ -115,7 +115,8 @@ def set_rows(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
             texts = binary_texts(batch.column(1))
             for a, b in blocks(texts):
                 sets = ShingleSets(texts[a:b], k)
-                sketch += np.bincount((sets.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.int32)
+                counts = np.bincount((sets.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
+                np.add(sketch, counts, out=sketch, casting="unsafe")
                 yield _batch(SET_ROWS, [batch.column(0).slice(a, b - a), sets.size, pa.array(sets.ids(), mask=sets.size == 0), [None] * (b - a), [None] * (b - a)])
         parts = [(p, sketch[p * SKETCH_ROW : (p + 1) * SKETCH_ROW]) for p in range((1 << SKETCH_BITS) // SKETCH_ROW)]
         parts = [(p, c.tobytes()) for p, c in parts if c.any()]
@@ -273,7 +274,8 @@ def set_rows(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
             texts = binary_texts(batch.column(1))
             for a, b in blocks(texts):
                 sets = ShingleSets(texts[a:b], k)
-                sketch += np.bincount((sets.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.int32)
+                counts = np.bincount((sets.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
+                np.add(sketch, counts, out=sketch, casting="unsafe")
                 yield _batch(SET_ROWS, [batch.column(0).slice(a, b - a), sets.size, pa.array(sets.ids(), mask=sets.size == 0), [None] * (b - a), [None] * (b - a)])
         parts = [(p, sketch[p * SKETCH_ROW : (p + 1) * SKETCH_ROW]) for p in range((1 << SKETCH_BITS) // SKETCH_ROW)]
         parts = [(p, c.tobytes()) for p, c in parts if c.any()]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corate.config import materialize
 from corate.llm import exact_dedup, jaccard, packing, secrets, toxicity
-from corate.llm.common import crc_fold, package_on_workers, read_table
+from corate.llm.common import crc_fold, prepare, read_table
 from corate.llm.queries import tokenizer_path
 
 #: No SQL: classifiers, a tokenizer and a packing have no DuckDB statement.
@@ -24,7 +24,7 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity tagger (operator 5) doesn't reject. It
     learns from the labelled rows that operator 5's query learns from."""
-    package_on_workers(spark)
+    prepare(spark)
     labels = read_table(spark, sf_dir, "labels", "doc_id", "toxic")
     model = toxicity.fit_toxicity(docs.where(crc_fold("doc_id", 5) != 0), labels.where(crc_fold("doc_id", 5) != 0))
     return toxicity.drop_toxic(docs, model)
@@ -32,26 +32,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each content (operator 4): the largest doc_id."""
-    package_on_workers(spark)
+    prepare(spark)
     return exact_dedup.keep_one(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links join (operator 2) at five-word
     shingles and a similarity of 0.8 or more: the smallest doc_id."""
-    package_on_workers(spark)
+    prepare(spark)
     return jaccard.keep_one(docs, words=5, percent=80)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret span (operator 1) replaced by a mark."""
-    package_on_workers(spark)
+    prepare(spark)
     return secrets.redact_secrets(docs, secrets.fit_markov(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences (operator 6)."""
-    package_on_workers(spark)
+    prepare(spark)
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 
