@@ -1,9 +1,9 @@
 """corate: user-based collaborative filtering as Spark DataFrame operators.
 
 Subpackages: ``functions`` (column expressions), ``operators`` (ratings,
-pairs, neighbours, prediction, evaluation, capacity, recommendation,
-checks), ``sources`` (files, report sink, test-table view), ``plans``
-(reports and registered queries) and ``streaming`` (empty).
+blocks for hot keys, pairs, neighbours, prediction, evaluation, capacity,
+recommendation, personal ratings, checks), ``sources`` (files, report sink,
+test-table view) and ``plans`` (reports and registered queries).
 """
 
 __version__ = "0.1.0"

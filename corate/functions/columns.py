@@ -63,27 +63,23 @@ def ratio_or_zero(num: Column | str, den: Column | str) -> Column:
     return F.coalesce(F.try_divide(_col(num), _col(den)), F.lit(0.0))
 
 
-# Above this magnitude a double has no digits left to round at 6+ places,
-# and scaling it could overflow the long that floor() returns.
-_ROUNDABLE = 1e12
-
-
 def scaled_round(x: Column | str, digits: int) -> Column:
     """``x * 10^digits`` rounded half away from zero, as a whole number.
 
     A monotone key: equal for values that round equal at ``digits`` places.
     Plain arithmetic (codegen friendly), unlike ``round`` on doubles, which
-    goes through a decimal per value.
+    goes through a decimal per value. The whole part is taken in doubles, so
+    no magnitude overflows.
     """
     x = _col(x)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(10.0 ** digits) + F.lit(0.5))
+    y = F.abs(x) * F.lit(10.0 ** digits) + F.lit(0.5)
+    return F.signum(x) * (y - y % F.lit(1.0))
 
 
 def round_half_away(x: Column | str, digits: int) -> Column:
-    """``x`` rounded to ``digits`` places, half away from zero."""
+    """``x`` rounded to ``digits`` places, half away from zero; infinities stay."""
     x = _col(x)
-    return F.when(F.abs(x) < F.lit(_ROUNDABLE),
-                  scaled_round(x, digits) / F.lit(10.0 ** digits)).otherwise(x)
+    return F.nanvl(scaled_round(x, digits) / F.lit(10.0 ** digits), x)
 
 
 def rank_key(sim: Column | str) -> Column:

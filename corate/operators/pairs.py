@@ -10,8 +10,9 @@ rows. If one item holds a large share of all ratings, a plain join on
 ``item_id`` sends all of them to one task. Items with more than
 ``block_size`` raters are split: each rater gets a bucket
 ``xxhash64(user) mod nb`` and every bucket pair ``(lo, hi)`` becomes its own
-join key, so each task sees at most about ``2 * block_size`` raters and the
-item's pairs are spread over ``nb (nb + 1) / 2`` tasks. Ordinary items take
+join key with bucket ``lo`` on the left and bucket ``hi`` on the right, so
+each task sees at most about ``2 * block_size`` raters and the item's pairs
+are spread over ``nb (nb + 1) / 2`` tasks. Ordinary items take
 a plain self-join on ``item_id``; both joins feed one aggregation. The hot
 item list is joined on ``item_id`` without a hint: AQE broadcasts it when
 its measured size is small, and otherwise keeps a sort-merge join, whose
@@ -27,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corate.functions import jaccard
+from corate.operators.blocks import DEFAULT_BLOCK_SIZE, bucket, join_split, spread
 
-# Raters per bucket of a split item.
-DEFAULT_BLOCK_SIZE = 4096
+# What a rater row carries into the pair join.
+_VALUES = ["n_items", "w"]
 
 
 def hot_items(rows: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
@@ -67,27 +69,25 @@ def _plain_pairs(rows: DataFrame) -> DataFrame:
 def _blocked_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of raters of hot items, one join key per bucket pair.
 
-    ``rows`` carries ``nb``, the item's bucket count. A rater in bucket
-    ``bkt`` is copied into every block ``(min(bkt, o), max(bkt, o))``.
+    ``rows`` carries ``nb``, the item's bucket count. A block ``(lo, hi)``
+    pairs the raters of bucket ``lo``, on the left, with those of bucket
+    ``hi``, on the right; a block ``(x, x)`` pairs bucket ``x`` with itself,
+    by user id. So a rater in bucket ``bkt`` is a left row of the blocks
+    ``(bkt, hi >= bkt)`` and a right row of the blocks ``(lo <= bkt, bkt)``.
     """
-    bucketed = (rows.withColumn("bkt", F.pmod(F.xxhash64("user_id"),
-                                              F.col("nb").cast("long")).cast("int"))
-                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))))
-    blocks = bucketed.select(
-        "item_id",
-        F.least("bkt", "other").alias("blo"),
-        F.greatest("bkt", "other").alias("bhi"),
-        "bkt", "user_id", "n_items", "w")
-    a, b = blocks.alias("a"), blocks.alias("b")
+    bucketed = rows.withColumn("bkt", bucket(["user_id"], F.col("nb")))
+    keep = ["item_id", "user_id", *_VALUES]
+    block = ["item_id", "blo", "bhi"]
+    a = spread(bucketed.select(
+        *keep, F.col("bkt").alias("blo"),
+        F.explode(F.sequence(F.col("bkt"), F.col("nb") - 1)).alias("bhi")), block).alias("a")
+    b = spread(bucketed.select(
+        *keep, F.explode(F.sequence(F.lit(0), F.col("bkt"))).alias("blo"),
+        F.col("bkt").alias("bhi")), block).alias("b")
     same_block = ((F.col("a.item_id") == F.col("b.item_id"))
                   & (F.col("a.blo") == F.col("b.blo"))
                   & (F.col("a.bhi") == F.col("b.bhi")))
-    # Take each unordered pair once. A block (lo, hi) with lo < hi holds
-    # the raters of buckets lo and hi and pairs one of each; a block (x, x)
-    # pairs the raters of bucket x among themselves, by user id.
-    once = (((F.col("a.blo") < F.col("a.bhi")) & (F.col("a.bkt") < F.col("b.bkt")))
-            | ((F.col("a.blo") == F.col("a.bhi"))
-               & (F.col("a.user_id") < F.col("b.user_id"))))
+    once = (F.col("a.blo") < F.col("a.bhi")) | (F.col("a.user_id") < F.col("b.user_id"))
     return _pair_rows(a, b, same_block & once)
 
 
@@ -115,6 +115,16 @@ def co_rating_pairs(profiles: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -
         F.max("n_v").alias("n_v"))
 
 
+def co_rated_counts(ratings: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """``(u, v, common)`` straight from ``(user_id, item_id)``: no statistics,
+    norms or weights are computed for a mere count."""
+    rows = ratings.select("item_id", "user_id", F.lit(0).alias("n_items"), F.lit(0).alias("w"))
+    hot = hot_items(rows, block_size)
+    joined = _plain_pairs(rows.join(hot, "item_id", "left_anti")).unionByName(
+        _blocked_pairs(rows.join(hot, "item_id")))
+    return joined.groupBy("u", "v").agg(F.count(F.lit(1)).alias("common"))
+
+
 def co_rated(pairs: DataFrame) -> DataFrame:
     """``(u, v, common)``."""
     return pairs.select("u", "v", "common")
@@ -148,25 +158,26 @@ def symmetric(sim: DataFrame) -> DataFrame:
 
 
 def similarities_for(profiles: DataFrame, users: DataFrame,
-                     measure: str = "cosine") -> DataFrame:
+                     measure: str = "cosine",
+                     block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(user_id, neighbor_id, sim)`` for the given users only.
 
     Joins just the target users' rows with all rows on ``item_id`` instead
     of building the whole pair table; used when a few users are scored.
+    Nothing bounds ``users``, so hot items are split into blocks.
     ``measure`` is ``"cosine"`` or ``"jaccard"``.
     """
-    cols = ["item_id", "user_id", "n_items", "w"]
-    left = profiles.select(*cols).join(users.select("user_id").distinct(),
-                                       "user_id", "left_semi").alias("a")
-    right = profiles.select(*cols).alias("b")
-    joined = left.join(right, (F.col("a.item_id") == F.col("b.item_id"))
-                       & (F.col("a.user_id") != F.col("b.user_id")))
-    grouped = joined.groupBy(F.col("a.user_id").alias("user_id"),
-                             F.col("b.user_id").alias("neighbor_id")).agg(
+    left = profiles.select("item_id", "user_id", "n_items", "w").join(
+        users.select("user_id").distinct(), "user_id", "left_semi")
+    right = profiles.select("item_id", F.col("user_id").alias("neighbor_id"),
+                            F.col("n_items").alias("_n"), F.col("w").alias("_w"))
+    joined = join_split(left, right, "item_id", ["user_id"], ["neighbor_id"], block_size).where(
+        F.col("user_id") != F.col("neighbor_id"))
+    grouped = joined.groupBy("user_id", "neighbor_id").agg(
         F.count(F.lit(1)).alias("common"),
-        F.sum(F.col("a.w") * F.col("b.w")).alias("dot"),
-        F.max("a.n_items").alias("n_u"),
-        F.max("b.n_items").alias("n_v"))
+        F.sum(F.col("w") * F.col("_w")).alias("dot"),
+        F.max("n_items").alias("n_u"),
+        F.max("_n").alias("n_v"))
     if measure == "cosine":
         return grouped.where(F.col("dot").isNotNull()).select(
             "user_id", "neighbor_id", F.col("dot").alias("sim"))

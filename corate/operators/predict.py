@@ -10,12 +10,13 @@ unknown user has mean ``unknown_user_mean`` (0.0); an item nobody rated,
 or one whose raters have no similarity with ``u``, gives ``usws = 0`` and
 so the user's mean.
 
-Plan: targets are inner-joined with the item's raters on ``item_id`` (an
-item with many raters is a skewed key; AQE splits it on either side), then
-left-joined with the similarity table on the canonical pair ``(least,
-greatest)``, then grouped back per target with partial aggregation. A
-placeholder row per target keeps targets without raters, so no second
-join is needed to restore them.
+Plan: the distinct keys of the targets are joined with the item's raters on
+``item_id`` (an item with many raters and many targets is split into block
+pairs, see ``blocks``), then left-joined with the similarity table on the
+canonical pair ``(least, greatest)``, then grouped back per key with
+partial aggregation. A placeholder row per key keeps keys without raters.
+The predictions are joined back to all target rows, so a key that occurs in
+several rows is scored once and every row is answered.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from corate.functions import (
     pair_low,
     ratio_or_zero,
 )
+from corate.operators.blocks import DEFAULT_BLOCK_SIZE, join_split
 
 UNKNOWN_USER_MEAN = 0.0
 
@@ -41,40 +43,39 @@ UNKNOWN_USER_MEAN = 0.0
 KEYS = ["user_id", "item_id"]
 
 
-def _group(cand: DataFrame, extra: list[str], *aggs, by: list | None = None) -> DataFrame:
-    """Group by the target key (two longs) and carry the other columns.
-
-    Targets are unique per ``(user_id, item_id)``, so the carried columns
-    and the mean have one value per group; ``max`` picks it up without
-    widening the hash key with doubles.
-    """
-    carried = [F.max(c).alias(c) for c in extra] + [F.max("_mean").alias("_mean")]
-    return cand.groupBy(*KEYS, *(by or [])).agg(*carried, *aggs)
+def _group(cand: DataFrame, *aggs, by: list | None = None) -> DataFrame:
+    """Group by the target key and carry the mean, which has one value per
+    key; ``max`` picks it up without widening the hash key with a double."""
+    return cand.groupBy(*KEYS, *(by or [])).agg(F.max("_mean").alias("_mean"), *aggs)
 
 
 def _candidates(targets: DataFrame, profiles: DataFrame, means: DataFrame,
-                unknown_user_mean: float) -> tuple[DataFrame, list[str]]:
-    """Targets with their mean and one row per rater of the target item.
-
-    Targets must be unique per ``(user_id, item_id)``.
-    """
-    keys = targets.columns
-    t = (targets.join(means.select("user_id", F.col("mean").alias("_mean")), "user_id", "left")
+                unknown_user_mean: float, block_size: int, include_self: bool) -> DataFrame:
+    """One row per distinct target key and rater of its item, with the
+    user's mean, plus a placeholder row per key."""
+    t = (targets.select(*KEYS).distinct()
+         .join(means.select("user_id", F.col("mean").alias("_mean")), "user_id", "left")
          .withColumn("_mean", F.coalesce(F.col("_mean"), F.lit(unknown_user_mean))))
-    raters = profiles.select(F.col("item_id").alias("_item"),
-                             F.col("user_id").alias("_nb"),
-                             F.col("dev").alias("_ndev"))
-    # An inner join, so AQE may split a hot item on either side (a left
-    # outer join could only split the targets). One placeholder row per
-    # target, whose NULLs every sum skips, keeps targets without raters.
-    matched = t.join(raters, (F.col("item_id") == F.col("_item"))
-                     & (F.col("user_id") != F.col("_nb"))).drop("_item")
+    raters = profiles.select("item_id", F.col("user_id").alias("_nb"), F.col("dev").alias("_ndev"))
+    # An inner join plus one placeholder row per key, whose NULLs every sum
+    # skips: keys without raters need no outer join.
+    matched = join_split(t, raters, "item_id", ["user_id"], ["_nb"], block_size)
+    if not include_self:
+        matched = matched.where(F.col("user_id") != F.col("_nb"))
     placeholder = t.select("*", F.lit(None).cast("long").alias("_nb"),
                            F.lit(None).cast("double").alias("_ndev"))
-    return matched.unionByName(placeholder), keys
+    return matched.unionByName(placeholder)
+
 
+def _answer(targets: DataFrame, scored: DataFrame) -> DataFrame:
+    """All target rows with the predictions of their key (NULL keys too)."""
+    names = [c for c in scored.columns if c not in KEYS]
+    keyed = scored.select(F.col("user_id").alias("_u"), F.col("item_id").alias("_i"), *names)
+    same = targets["user_id"].eqNullSafe(F.col("_u")) & targets["item_id"].eqNullSafe(F.col("_i"))
+    return targets.join(keyed, same).drop("_u", "_i")
 
-def _aggregate(cand: DataFrame, keys: list[str], sims: Mapping[str, Column],
+
+def _aggregate(cand: DataFrame, sims: Mapping[str, Column],
                distinct_terms: bool, rating_min: float, rating_max: float) -> DataFrame:
     aggs = []
     for name, sim in sims.items():
@@ -86,17 +87,17 @@ def _aggregate(cand: DataFrame, keys: list[str], sims: Mapping[str, Column],
             num = F.sum(prod)
             den = F.sum(F.abs(sim))
         aggs += [num.alias(f"_num_{name}"), den.alias(f"_den_{name}")]
-    grouped = _group(cand, [c for c in keys if c not in KEYS], *aggs)
     preds = [denormalize("_mean", ratio_or_zero(f"_num_{name}", f"_den_{name}"),
                          rating_min, rating_max).alias(name) for name in sims]
-    return grouped.select(*keys, *preds)
+    return _group(cand, *aggs).select(*KEYS, *preds)
 
 
 def predict_with(targets: DataFrame, profiles: DataFrame, means: DataFrame,
                  pairs: DataFrame, sims: Mapping[str, Column],
                  distinct_terms: bool = False,
                  unknown_user_mean: float = UNKNOWN_USER_MEAN,
-                 rating_min: float = RATING_MIN, rating_max: float = RATING_MAX
+                 rating_min: float = RATING_MIN, rating_max: float = RATING_MAX,
+                 include_self: bool = False, block_size: int = DEFAULT_BLOCK_SIZE
                  ) -> DataFrame:
     """Targets plus one prediction column per entry of ``sims``.
 
@@ -109,35 +110,44 @@ def predict_with(targets: DataFrame, profiles: DataFrame, means: DataFrame,
     ``distinct_terms=True`` sums distinct products and distinct absolute
     similarities (rounded to 12 places first), which is what a set-based
     accumulation of the terms computes.
+
+    ``include_self=True`` also counts a target user's own rating of the
+    target item, with similarity 1 (the Jaccard index of a user with
+    themselves); without it a user is never their own neighbour.
     """
-    cand, keys = _candidates(targets, profiles, means, unknown_user_mean)
+    cand = _candidates(targets, profiles, means, unknown_user_mean, block_size, include_self)
     cand = cand.withColumn("_lo", pair_low("user_id", "_nb")).withColumn(
         "_hi", pair_high("user_id", "_nb"))
     right = pairs.select(F.col("u").alias("_lo"), F.col("v").alias("_hi"),
                          *[expr.alias(f"_sim_{name}") for name, expr in sims.items()])
     joined = cand.join(right, ["_lo", "_hi"], "left")
-    return _aggregate(joined, keys, {name: F.col(f"_sim_{name}") for name in sims},
-                      distinct_terms, rating_min, rating_max)
+    found = {name: F.col(f"_sim_{name}") for name in sims}
+    if include_self:
+        itself = F.col("user_id") == F.col("_nb")
+        found = {name: F.when(itself, F.lit(1.0)).otherwise(sim) for name, sim in found.items()}
+    return _answer(targets, _aggregate(joined, found, distinct_terms, rating_min, rating_max))
 
 
 def predict(targets: DataFrame, profiles: DataFrame, means: DataFrame,
             sim: DataFrame, distinct_terms: bool = False,
             unknown_user_mean: float = UNKNOWN_USER_MEAN,
-            rating_min: float = RATING_MIN, rating_max: float = RATING_MAX
+            rating_min: float = RATING_MIN, rating_max: float = RATING_MAX,
+            include_self: bool = False, block_size: int = DEFAULT_BLOCK_SIZE
             ) -> DataFrame:
     """Targets ``(user_id, item_id, ...)`` plus ``pred``, using all neighbours.
 
     ``sim`` is ``(u, v, sim)`` with ``u < v`` (cosine or Jaccard).
     """
     return predict_with(targets, profiles, means, sim, {"pred": F.col("sim")},
-                        distinct_terms, unknown_user_mean, rating_min, rating_max)
+                        distinct_terms, unknown_user_mean, rating_min, rating_max,
+                        include_self, block_size)
 
 
 def predict_knn(targets: DataFrame, profiles: DataFrame, means: DataFrame,
                 neighbors: DataFrame, ks: Sequence[int],
                 unknown_user_mean: float = UNKNOWN_USER_MEAN,
-                rating_min: float = RATING_MIN, rating_max: float = RATING_MAX
-                ) -> DataFrame:
+                rating_min: float = RATING_MIN, rating_max: float = RATING_MAX,
+                block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """Targets plus ``pred_<k>`` for each k, using only the top-k neighbours.
 
     ``neighbors`` is ``(user_id, neighbor_id, sim, rank)`` ranked to at least
@@ -145,29 +155,47 @@ def predict_knn(targets: DataFrame, profiles: DataFrame, means: DataFrame,
     limited to those who rated the item. All k share one candidate join and
     one aggregation with a pair of conditional sums per k.
     """
-    cand, keys = _candidates(targets, profiles, means, unknown_user_mean)
+    cand = _candidates(targets, profiles, means, unknown_user_mean, block_size, False)
     ks = sorted(ks)
     nb = neighbors.where(F.col("rank") <= ks[-1]).select(
         F.col("user_id").alias("_u"), F.col("neighbor_id").alias("_v"),
         F.col("sim").alias("_sim"), F.col("rank").alias("_rank"))
     joined = cand.join(nb, (F.col("user_id") == F.col("_u")) & (F.col("_nb") == F.col("_v")),
                        "left")
-    # Sum once per (target, rank band) where band b holds ranks in
-    # (ks[b-1], ks[b]]; the sum for k = ks[j] is then the sum of bands 0..j.
-    # Two sums per candidate row instead of two per k.
+    banded = joined.withColumn("_band", rank_band("_rank", ks))
+    num, den = F.col("_ndev") * F.col("_sim"), F.abs(F.col("_sim"))
+    per_key = _group(banded, *band_sums(num, den, ks))
+    preds = [denormalize("_mean", ratio_or_zero(f"_num_{j}", f"_den_{j}"),
+                         rating_min, rating_max).alias(f"pred_{k}") for j, k in enumerate(ks)]
+    return _answer(targets, up_to_band(per_key, ks).select(*KEYS, *preds))
+
+
+def rank_band(rank: str, ks: Sequence[int]) -> Column:
+    """The number of the band ``(ks[b-1], ks[b]]`` that holds a rank."""
     band = F.lit(None).cast("int")
     for b in reversed(range(len(ks))):
-        band = F.when(F.col("_rank") <= ks[b], F.lit(b)).otherwise(band)
-    extra = [c for c in keys if c not in KEYS]
-    per_band = _group(joined.withColumn("_band", band), extra,
-                      F.sum(F.col("_ndev") * F.col("_sim")).alias("_num"),
-                      F.sum(F.abs(F.col("_sim"))).alias("_den"), by=["_band"])
-    aggs = []
-    for j, k in enumerate(ks):
-        inside = F.col("_band") <= j
-        aggs += [F.sum(F.when(inside, F.col("_num"))).alias(f"_num_{k}"),
-                 F.sum(F.when(inside, F.col("_den"))).alias(f"_den_{k}")]
-    grouped = _group(per_band, extra, *aggs)
-    preds = [denormalize("_mean", ratio_or_zero(f"_num_{k}", f"_den_{k}"),
-                         rating_min, rating_max).alias(f"pred_{k}") for k in ks]
-    return grouped.select(*keys, *preds)
+        band = F.when(F.col(rank) <= ks[b], F.lit(b)).otherwise(band)
+    return band
+
+
+def band_sums(num: Column, den: Column, ks: Sequence[int]) -> list[Column]:
+    """Sums of ``num`` and ``den`` per ``_band``, as columns of one group:
+    partial sums leave the map side once per key, whatever the number of k."""
+    out = []
+    for b in range(len(ks)):
+        inside = F.col("_band") == b
+        out += [F.sum(F.when(inside, num)).alias(f"_bn_{b}"),
+                F.sum(F.when(inside, den)).alias(f"_bd_{b}")]
+    return out
+
+
+def up_to_band(grouped: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """``_num_<j>``, ``_den_<j>``: the sums of the bands 0..j, NULL if all are."""
+    cols = {}
+    for name, source in (("_num", "_bn"), ("_den", "_bd")):
+        so_far = None
+        for j in range(len(ks)):
+            part = F.col(f"{source}_{j}")
+            so_far = part if so_far is None else F.coalesce(so_far + part, so_far, part)
+            cols[f"{name}_{j}"] = so_far
+    return grouped.withColumns(cols)

@@ -31,19 +31,32 @@ def user_stats(ratings: DataFrame, rating_min: float = RATING_MIN,
     many rows as distinct rating values) and the two passes run over that
     histogram instead of over the ratings.
     """
-    hist = ratings.groupBy("user_id", "rating").agg(F.count(F.lit(1)).alias("c"))
-    means = hist.groupBy("user_id").agg(
-        (F.sum(F.col("rating") * F.col("c")) / F.sum("c")).alias("mean"),
-        F.sum("c").alias("n_items"))
+    hist = _histogram(ratings)
+    means = _means(hist)
     dev = normalized_deviation("rating", "mean", rating_min, rating_max)
     norms = hist.join(means, "user_id").groupBy("user_id").agg(
         F.sqrt(F.sum(F.col("c") * dev * dev)).alias("norm"))
     return means.join(norms, "user_id")
 
 
+def _histogram(ratings: DataFrame) -> DataFrame:
+    return ratings.groupBy("user_id", "rating").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _means(hist: DataFrame) -> DataFrame:
+    """A user whose ratings are all alike has exactly that rating as mean;
+    their sum divided by their number may differ in the last bit, which
+    would make a tiny norm of what is none."""
+    average = F.sum(F.col("rating") * F.col("c")) / F.sum("c")
+    same = F.min("rating") == F.max("rating")
+    return hist.groupBy("user_id").agg(
+        F.when(same, F.min("rating")).otherwise(average).alias("mean"),
+        F.sum("c").alias("n_items"))
+
+
 def user_means(ratings: DataFrame) -> DataFrame:
     """``(user_id, mean, n_items)``: average rating and number of ratings."""
-    return user_stats(ratings).select("user_id", "mean", "n_items")
+    return _means(_histogram(ratings))
 
 
 def normalize(ratings: DataFrame, stats: DataFrame | None = None,
@@ -69,26 +82,26 @@ def normalize(ratings: DataFrame, stats: DataFrame | None = None,
             .withColumn("w", F.try_divide(F.col("dev"), F.col("norm"))))
 
 
-def _paged_sets(ratings: DataFrame, key: str, member: str, out: str) -> DataFrame:
-    page = F.floor(F.col(member) / F.lit(SET_PAGE_SIZE)).cast("long")
+def _paged_sets(ratings: DataFrame, key: str, member: str, out: str, page_size: int) -> DataFrame:
+    page = F.floor(F.col(member) / F.lit(page_size)).cast("long")
     return (ratings.select(key, member, page.alias("page"))
             .groupBy(key, "page")
             .agg(F.count(F.lit(1)).alias("size"),
                  F.array_sort(F.collect_set(member)).alias(out)))
 
 
-def item_sets(ratings: DataFrame) -> DataFrame:
+def item_sets(ratings: DataFrame, page_size: int = SET_PAGE_SIZE) -> DataFrame:
     """``(user_id, page, size, items)``: the items a user rated.
 
-    Sorted arrays, one row per page of ``SET_PAGE_SIZE`` consecutive item
+    Sorted arrays, one row per page of ``page_size`` consecutive item
     ids; the union of a user's pages is the user's item set.
     """
-    return _paged_sets(ratings, "user_id", "item_id", "items")
+    return _paged_sets(ratings, "user_id", "item_id", "items", page_size)
 
 
-def rater_sets(ratings: DataFrame) -> DataFrame:
+def rater_sets(ratings: DataFrame, page_size: int = SET_PAGE_SIZE) -> DataFrame:
     """``(item_id, page, size, users)``: the users who rated an item, paged."""
-    return _paged_sets(ratings, "item_id", "user_id", "users")
+    return _paged_sets(ratings, "item_id", "user_id", "users", page_size)
 
 
 def duplicate_keys(ratings: DataFrame) -> DataFrame:

@@ -27,17 +27,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corate.config import materialize as checkpoint
-from corate.functions import denormalize, order_key, ratio_or_zero
+from corate.config import materialize
+from corate.functions import RATING_MAX, RATING_MIN, denormalize, order_key, ratio_or_zero
+from corate.operators.blocks import DEFAULT_BLOCK_SIZE, join_split
 from corate.operators.indexing import dense_index
 from corate.operators.neighbors import rank_neighbors
 from corate.operators.pairs import co_rating_pairs, cosine, similarities_for, symmetric
-from corate.operators.predict import UNKNOWN_USER_MEAN
+from corate.operators.predict import UNKNOWN_USER_MEAN, band_sums, rank_band, up_to_band
 from corate.operators.ratings import normalize, user_stats
 
 
+LIST_KEY = ["k", "user_id"]
+
+
 def _top(df: DataFrame, n: int) -> DataFrame:
-    order = Window.partitionBy("user_id").orderBy(order_key("pred").desc(),
+    """The n best rows of each list ``(k, user_id)``."""
+    order = Window.partitionBy(*LIST_KEY).orderBy(order_key("pred").desc(),
                                                   F.col("item_id").asc())
     return df.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= n)
 
@@ -45,98 +50,102 @@ def _top(df: DataFrame, n: int) -> DataFrame:
 def recommend_many(ratings: DataFrame, catalogue: DataFrame, users: DataFrame | None,
                    ks: Sequence[int], n: int = 5,
                    unknown_user_mean: float = UNKNOWN_USER_MEAN,
-                   materialize: bool = True) -> DataFrame:
+                   rating_min: float = RATING_MIN, rating_max: float = RATING_MAX,
+                   block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(k, user_id, rank, item_id, title, pred)`` for each k in ``ks``.
 
     ``ratings`` is ``(user_id, item_id, rating)``; ``catalogue`` is
     ``(item_id, title)``; ``users`` (``user_id``) limits the users served,
     ``None`` serves every user in ``ratings``. Similarities are cosine.
-    Statistics, normalised ratings and neighbour ranks (to the largest k)
-    are computed once for all k.
 
-    With ``materialize`` the user statistics, normalised ratings, neighbour
-    ranks and covered-item scores, each read by several branches, are
-    written once to the checkpoint folder (see ``config.materialize``).
+    All k share one join of the ranked neighbours with the neighbours'
+    ratings: sums are taken per band of ranks and added up per k. A
+    neighbour in many lists is a hot key of that join and is split into
+    blocks. What several branches read (normalised ratings, neighbour ranks,
+    covered scores, best lists) is written once to the shared folder;
+    ``ratings`` is read as it is.
     """
-    keep = checkpoint if materialize else (lambda df: df)
-    ratings = keep(ratings.select("user_id", "item_id", "rating"))
-    stats = keep(user_stats(ratings))
-    profiles = keep(normalize(ratings, stats))
+    ks = sorted(ks)
+    ratings = ratings.select("user_id", "item_id", "rating")
+    stats = materialize(user_stats(ratings, rating_min, rating_max), "stats")
+    profiles = materialize(normalize(ratings, stats, rating_min, rating_max), "profiles")
     if users is None:
         targets = stats.select("user_id")
-        directed = symmetric(cosine(co_rating_pairs(profiles)))
+        directed = symmetric(cosine(co_rating_pairs(profiles, block_size)))
     else:
         targets = users.select("user_id").distinct()
-        directed = similarities_for(profiles, targets)
-    ranked = keep(rank_neighbors(directed, max(ks)))
-    means = (targets.join(stats.select("user_id", "mean"), "user_id", "left")
-             .withColumn("mean", F.coalesce(F.col("mean"), F.lit(unknown_user_mean))))
-    rated = ratings.select("user_id", "item_id")
+        directed = similarities_for(profiles, targets, block_size=block_size)
+    ranked = rank_neighbors(directed, ks[-1])
+    rated = profiles.select("user_id", "item_id")
     items = catalogue.select("item_id")
-    index = dense_index(items, "item_id")
-    ratings_by_neighbor = profiles.select(F.col("user_id").alias("neighbor_id"), "item_id",
-                                          F.col("dev").alias("ndev"))
-    out = []
-    for k in ks:
-        neighbors = ranked.where(F.col("rank") <= k).select("user_id", "neighbor_id", "sim")
-        covered = keep(neighbors.join(ratings_by_neighbor, "neighbor_id")
-                       .join(rated, ["user_id", "item_id"], "left_anti")
-                       .join(items, "item_id", "left_semi")
-                       .groupBy("user_id", "item_id")
-                       .agg(F.sum(F.col("ndev") * F.col("sim")).alias("num"),
-                            F.sum(F.abs(F.col("sim"))).alias("den")))
-        out.append(_top_n(covered, means, rated, index, n, keep)
-                   .select(F.lit(k).cast("long").alias("k"), "*"))
-    result = out[0]
-    for part in out[1:]:
-        result = result.unionByName(part)
-    return result.join(catalogue.select("item_id", "title"), "item_id").select(
+    lists = F.explode(F.array(*[F.lit(k).cast("long") for k in ks])).alias("k")
+    means = (targets.join(stats.select("user_id", "mean"), "user_id", "left")
+             .select("user_id", F.coalesce(F.col("mean"), F.lit(unknown_user_mean)).alias("mean"), lists))
+
+    by_neighbor = profiles.select(F.col("user_id").alias("neighbor_id"), "item_id",
+                                  F.col("dev").alias("_ndev"))
+    banded = ranked.select("user_id", "neighbor_id", "sim", rank_band("rank", ks).alias("_band"))
+    num, den = F.col("_ndev") * F.col("sim"), F.abs(F.col("sim"))
+    sums = (join_split(banded, by_neighbor, "neighbor_id", ["user_id"], ["item_id"], block_size)
+            .groupBy("user_id", "item_id").agg(*band_sums(num, den, ks))
+            .join(rated, ["user_id", "item_id"], "left_anti")
+            .join(items, "item_id", "left_semi"))
+    per_k = F.explode(F.array(*[
+        F.struct(F.lit(k).cast("long").alias("k"), F.col(f"_num_{j}").alias("num"),
+                 F.col(f"_den_{j}").alias("den")) for j, k in enumerate(ks)])).alias("s")
+    # an item is covered for k if one of the first k neighbours rated it
+    covered = materialize(up_to_band(sums, ks).select("user_id", "item_id", per_k)
+                          .select("s.k", "user_id", "item_id", "s.num", "s.den")
+                          .where(F.col("den").isNotNull()), "covered")
+    best = _top_n(covered, means, rated, dense_index(items, "item_id"), n, rating_min, rating_max)
+    return best.join(catalogue.select("item_id", "title"), "item_id").select(
         "k", "user_id", "rank", "item_id", "title", "pred")
 
 
 def _top_n(covered: DataFrame, means: DataFrame, rated: DataFrame, index: DataFrame,
-           n: int, keep) -> DataFrame:
-    """``(user_id, rank, item_id, pred)`` from covered scores plus mean fillers.
+           n: int, rating_min: float, rating_max: float) -> DataFrame:
+    """``(k, user_id, rank, item_id, pred)`` from covered scores plus mean fillers.
 
-    ``best`` (at most n rows per user) and ``open_users`` are read by
-    several branches, so ``keep`` materialises them instead of letting each
-    branch re-rank all covered items.
+    ``best`` (at most n rows per list) and ``open_lists`` are read by several
+    branches, so they are written instead of re-ranking all covered items in
+    each.
     """
-    scored = covered.join(means, "user_id").select(
-        "user_id", "item_id",
-        denormalize("mean", ratio_or_zero("num", "den")).alias("pred"))
-    best = keep(_top(scored, n))
+    pred = denormalize("mean", ratio_or_zero("num", "den"), rating_min, rating_max)
+    scored = covered.join(means, LIST_KEY).select(*LIST_KEY, "item_id", pred.alias("pred"))
+    best = materialize(_top(scored, n), "best")
 
-    # Users whose list can still take an item at the mean.
-    summary = best.groupBy("user_id").agg(F.count(F.lit(1)).alias("m"),
+    # Lists that can still take an item at the mean.
+    summary = best.groupBy(*LIST_KEY).agg(F.count(F.lit(1)).alias("m"),
                                           F.min(order_key("pred")).alias("lowest"))
-    open_users = keep(means.join(summary, "user_id", "left")
-                      .where(F.col("m").isNull() | (F.col("m") < n)
-                             | (F.col("lowest") <= order_key("mean")))
-                      .select("user_id", "mean"))
-    excluded = (rated.unionByName(covered.select("user_id", "item_id"))
-                .join(open_users.select("user_id"), "user_id", "left_semi")
+    open_lists = materialize(
+        means.join(summary, LIST_KEY, "left")
+        .where(F.col("m").isNull() | (F.col("m") < n) | (F.col("lowest") <= order_key("mean")))
+        .select(*LIST_KEY, "mean"), "open")
+    keys = open_lists.select(*LIST_KEY)
+    excluded = (rated.join(keys, "user_id").select(*LIST_KEY, "item_id")
+                .unionByName(covered.select(*LIST_KEY, "item_id").join(keys, LIST_KEY, "left_semi"))
                 .join(index, "item_id"))
-    after = (excluded.select("user_id", "idx", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("step"))
-             .select("user_id", (F.col("idx") + F.col("step")).alias("idx")))
-    front = open_users.select("user_id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("idx"))
+    after = (excluded.select(*LIST_KEY, "idx", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("step"))
+             .select(*LIST_KEY, (F.col("idx") + F.col("step")).alias("idx")))
+    front = keys.select(*LIST_KEY, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("idx"))
     free = (after.unionByName(front).distinct()
             .join(index, "idx")
-            .join(excluded.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti"))
+            .join(excluded.select(*LIST_KEY, "item_id"), [*LIST_KEY, "item_id"], "left_anti"))
     first_free = (free.withColumn("r", F.row_number().over(
-        Window.partitionBy("user_id").orderBy("idx"))).where(F.col("r") <= n))
-    filler = first_free.join(open_users, "user_id").select(
-        "user_id", "item_id", F.col("mean").alias("pred"))
-    return _top(best.select("user_id", "item_id", "pred").unionByName(filler), n).select(
-        "user_id", "rank", "item_id", "pred")
+        Window.partitionBy(*LIST_KEY).orderBy("idx"))).where(F.col("r") <= n))
+    filler = first_free.join(open_lists, LIST_KEY).select(
+        *LIST_KEY, "item_id", F.col("mean").alias("pred"))
+    return _top(best.select(*LIST_KEY, "item_id", "pred").unionByName(filler), n).select(
+        *LIST_KEY, "rank", "item_id", "pred")
 
 
 def recommend(ratings: DataFrame, catalogue: DataFrame, users: DataFrame | None = None,
               k: int = 30, n: int = 5, unknown_user_mean: float = UNKNOWN_USER_MEAN,
-              materialize: bool = True) -> DataFrame:
+              rating_min: float = RATING_MIN, rating_max: float = RATING_MAX,
+              block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(user_id, rank, item_id, title, pred)``: the n best unrated items.
 
     See ``recommend_many``; this is the single-k form.
     """
     return recommend_many(ratings, catalogue, users, [k], n, unknown_user_mean,
-                          materialize).drop("k")
+                          rating_min, rating_max, block_size).drop("k")

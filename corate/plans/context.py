@@ -1,8 +1,7 @@
 """Shared intermediates of the registered queries over the test tables.
 
-A ``TestdataContext`` builds DataFrames lazily; nothing runs until an
-action. Queries that need the same intermediate several times in one plan
-get one subtree that Spark's exchange reuse shares.
+A ``TestdataContext`` builds each DataFrame on first use. What a query reads
+several times is written once to the shared folder.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corate.config import materialize as checkpoint
+from corate.config import materialize
 from corate.functions import round_half_away
 from corate.operators import pairs as P
 from corate.operators.ratings import normalize, user_stats
@@ -37,31 +36,27 @@ def rounded(df: DataFrame, digits: int = OUTPUT_DIGITS) -> DataFrame:
 class TestdataContext:
     """Rating view, split and model intermediates for one scale factor.
 
-    With ``materialize`` the rating view, the per-user statistics and the
-    normalised training ratings are checkpointed on first use: each feeds
-    several branches of a query (train and test, the pair join and the
-    candidate join), and a short lineage keeps both planning and recovery
-    after an executor loss cheap.
+    ``ratings``, ``train`` and ``test`` are plans over the tables: a query
+    that reads one of them once runs nothing before its action. The model's
+    intermediates are read by several branches (test rows, the pair join and
+    the candidate join), so ``split_kept`` writes the rating view once, and
+    ``profiles`` and ``pairs_kept`` are tables of which each reader takes the
+    columns it needs.
     """
 
     __test__ = False  # not a pytest test class
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self._keep = checkpoint if materialize else (lambda df: df)
 
     @cached_property
     def ratings(self) -> DataFrame:
-        return self._folded.select("user_id", "item_id", "rating")
-
-    @cached_property
-    def _folded(self) -> DataFrame:
-        return self._keep(testdata.ratings(self.spark, self.sf_dir, with_fold=True))
+        return testdata.ratings(self.spark, self.sf_dir)
 
     @cached_property
     def _split(self) -> tuple[DataFrame, DataFrame]:
-        return testdata.split(self._folded)
+        return testdata.split(testdata.ratings(self.spark, self.sf_dir, with_fold=True))
 
     @cached_property
     def train(self) -> DataFrame:
@@ -71,9 +66,19 @@ class TestdataContext:
     def test(self) -> DataFrame:
         return self._split[1]
 
+    @cached_property
+    def split_kept(self) -> tuple[DataFrame, DataFrame]:
+        """``(train, test)`` of the rating view, written once."""
+        view = testdata.ratings(self.spark, self.sf_dir, with_fold=True)
+        return testdata.split(materialize(view, "ratings"))
+
+    @cached_property
+    def test_kept(self) -> DataFrame:
+        return self.split_kept[1]
+
     @cached_property
     def stats(self) -> DataFrame:
-        return self._keep(user_stats(self.train))
+        return materialize(user_stats(self.split_kept[0]), "stats")
 
     @cached_property
     def means(self) -> DataFrame:
@@ -81,16 +86,17 @@ class TestdataContext:
 
     @cached_property
     def profiles(self) -> DataFrame:
-        return self._keep(normalize(self.train, self.stats))
-
-    @property
-    def dev(self) -> DataFrame:
-        return self.profiles
+        return materialize(normalize(self.split_kept[0], self.stats), "profiles")
 
     @cached_property
     def pairs(self) -> DataFrame:
         return P.co_rating_pairs(self.profiles)
 
+    @cached_property
+    def pairs_kept(self) -> DataFrame:
+        """The pair table, written once for plans that read it twice."""
+        return materialize(self.pairs, "pairs")
+
     @cached_property
     def cosine(self) -> DataFrame:
         return P.cosine(self.pairs)

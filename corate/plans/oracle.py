@@ -13,8 +13,11 @@ distinct sums round to 12 places first, top-n orders to 9.
 
 from __future__ import annotations
 
-from corate.operators.capacity import RAM_BYTES
-from corate.operators.evaluate import BASELINE_MAE, KNN_KS
+# Fixed values, stated here again so that a wrong constant of the engine
+# shows: the baseline MAE, the neighbourhood sizes and the RAM in bytes.
+BASELINE_MAE = 0.7669
+KNN_KS = (10, 30, 50, 100, 200, 300, 400, 800, 942)
+RAM_BYTES = 16_138_216_000
 
 R6 = 6
 
@@ -31,6 +34,10 @@ test AS (
   SELECT * FROM ratings WHERE (user_id * 7919 + item_id * 104729) % 10007 % 5 = 0)"""
 
 
+# A user whose ratings are all alike has that rating as mean, exactly.
+MEAN = "CASE WHEN min(rating) = max(rating) THEN min(rating) ELSE avg(rating) END"
+
+
 def scale(x: str, mean: str) -> str:
     return (f"(CASE WHEN {x} > {mean} THEN 5.0 - {mean} "
             f"WHEN {x} < {mean} THEN {mean} - 1.0 ELSE 1.0 END)")
@@ -39,7 +46,7 @@ def scale(x: str, mean: str) -> str:
 def model(source: str) -> str:
     """means, dev, norms, w, pairs, cos, jac over the ratings in ``source``."""
     return f"""means AS (
-  SELECT user_id, avg(rating) AS mean, count(*) AS n_items FROM {source} GROUP BY user_id),
+  SELECT user_id, {MEAN} AS mean, count(*) AS n_items FROM {source} GROUP BY user_id),
 dev AS (
   SELECT t.user_id, t.item_id, t.rating, m.mean, m.n_items,
          (t.rating - m.mean) / {scale('t.rating', 'm.mean')} AS dev
@@ -179,7 +186,7 @@ top_{k} AS (
     union = "\n  UNION ALL ".join(
         f"SELECT CAST({k} AS BIGINT) AS k, user_id, rank, item_id, title, pred FROM top_{k}"
         for k in ks)
-    return f"""rmeans AS (SELECT user_id, avg(rating) AS mean FROM {source} GROUP BY user_id),
+    return f"""rmeans AS (SELECT user_id, {MEAN} AS mean FROM {source} GROUP BY user_id),
 rdev AS (
   SELECT t.user_id, t.item_id, (t.rating - m.mean) / {scale('t.rating', 'm.mean')} AS dev
   FROM {source} t JOIN rmeans m ON t.user_id = m.user_id),
@@ -251,6 +258,25 @@ FROM train GROUP BY 1, 2"""
                                  ("predict_jaccard_distinct", "jac", True)]:
         q[key] = (f"{BASE},\n{prediction_cte('p', table, distinct)}\n"
                   f"SELECT user_id, item_id, round(pred, {R6}) AS pred FROM p")
+    q["sim_cosine_blocked"] = q["sim_cosine"]
+    q["predict_cosine_blocked"] = q["predict_cosine"]
+    q["predict_jaccard_self"] = f"""{BASE},
+cand AS (
+  SELECT t.user_id, t.item_id, coalesce(m.mean, 0.0) AS mean, r.dev AS ndev,
+         CASE WHEN r.user_id = t.user_id THEN 1.0 ELSE s.sim END AS sim
+  FROM ratings t
+  LEFT JOIN means m ON m.user_id = t.user_id
+  LEFT JOIN dev r ON r.item_id = t.item_id
+  LEFT JOIN jac s ON s.u = least(t.user_id, r.user_id) AND s.v = greatest(t.user_id, r.user_id)),
+agg AS (
+  SELECT user_id, item_id, mean, coalesce(sum(ndev * sim) / nullif(sum(abs(sim)), 0), 0.0) AS usws
+  FROM cand GROUP BY user_id, item_id, mean)
+SELECT user_id, item_id, round({_denorm('mean', 'usws')}, {R6}) AS pred FROM agg"""
+    q["mae_repeated_targets"] = f"""{BASE},
+{prediction_cte('p', 'cos', False)}
+SELECT count(*) AS n_rows, round(avg(abs(r.rating - p.pred)), {R6}) AS mae
+FROM raw r JOIN p ON p.user_id = r.user_id AND p.item_id = r.item_id
+WHERE (r.user_id * 7919 + r.item_id * 104729) % 10007 % 5 = 0"""
     q["predict_knn"] = (f"{BASE},\n{knn_cte('knn', [50])}\n"
                         f"SELECT user_id, item_id, round(pred_50, {R6}) AS pred FROM knn")
 
@@ -330,6 +356,15 @@ ratings AS (
 {recommend_sql('ratings', 'me', [30, 300])}
 SELECT k, rank, item_id, title, round(pred, {R6}) AS pred FROM recs"""
 
+    q["recommend_from_csv"] = q["recommend_personal"]
+    q["check_personal"] = f"""WITH {PERSONAL},
+odd AS (SELECT item_id, CASE WHEN item_id % 64 = 0 THEN rating * 2 ELSE rating END AS rating FROM personal),
+found AS (
+  SELECT 'personal_ratings_outside_scale' AS "check", (SELECT count(*) FROM odd WHERE rating < 1 OR rating > 5) AS actual
+  UNION ALL SELECT 'personal_items_twice', (SELECT count(*) FROM (SELECT item_id FROM odd GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL SELECT 'personal_ratings_missing', greatest(20 - (SELECT count(rating) FROM odd), 0))
+SELECT "check", CAST(0 AS BIGINT) AS expected, CAST(actual AS BIGINT) AS actual, actual = 0 AS ok FROM found"""
+
     sim_rows = f"""SELECT 'Q2.3.1' AS section, 'CosineBasedMae' AS metric, c AS value FROM m
   UNION ALL SELECT 'Q2.3.1', 'CosineMinusBaselineDifference', c - {BASELINE_MAE} FROM m
   UNION ALL SELECT 'Q2.3.2', 'JaccardMae', j FROM m
@@ -362,9 +397,15 @@ SELECT section, metric, round(value, {R6}) AS value FROM (
   UNION ALL SELECT 'Q3.2.1', 'LowestKWithBetterMaeThanBaseline', CAST(lowest_k AS DOUBLE) FROM lk
   UNION ALL SELECT 'Q3.2.1', 'LowestKMaeMinusBaselineMae', mae_minus_baseline FROM lk
   UNION ALL SELECT 'Q3.2.3', 'SizeOfRamInBytes', CAST({RAM_BYTES} AS DOUBLE) FROM u
+  UNION ALL SELECT 'Q3.2.3', 'MaximumNumberOfUsersThatCanFitInRam', CAST({RAM_BYTES} // ({max(ks)} * 8) + 1 AS DOUBLE) FROM u
   UNION ALL {ram_rows})"""
     q["report_recommend"] = q["recommend_personal"].replace(
         "SELECT k, rank, item_id, title, round(pred, 6) AS pred FROM recs",
         "SELECT 'Q3.2.5' AS section, 'Top5WithK=' || CAST(k AS VARCHAR) AS metric, rank, item_id, "
         "title, round(pred, 6) AS value FROM recs")
+    whole = ("regexp_matches(metric, '^(NumberOf|TotalBytes|LowestKWith|MinNumberOfBytes|SizeOfRam|"
+             "MaximumNumberOfUsers)') AS whole")
+    for key in ("report_similarity", "report_knn"):
+        q[f"{key}_json"] = f"SELECT section, metric, value, {whole} FROM ({q[key]})"
+    q["report_recommend_json"] = q["report_recommend"]
     return q

@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corate.config import scratch_path
-from corate.operators import capacity, checks, evaluate, neighbors, ratings, recommend
+from corate.config import materialize, scratch_path
+from corate.operators import capacity, checks, evaluate, neighbors, personal, ratings, recommend
 from corate.operators import pairs as P
 from corate.functions import jaccard
 from corate.operators.predict import predict, predict_knn, predict_with
 from corate.plans import reports
 from corate.plans.context import TestdataContext, rounded
-from corate.sources import files, testdata
+from corate.sources import files, report_json, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,7 @@ KNN_PREDICT_K = 50  # neighbours used by predict_knn
 LIST_K = 10         # neighbours per list in knn_lists
 TOP_N = 5
 RECOMMEND_KS = (30, 300)
+BLOCK = 8           # rows per block in the *_blocked queries, so that items split
 
 
 def _ctx(spark: SparkSession, sf_dir: str) -> TestdataContext:
@@ -41,8 +42,12 @@ def _joined(col: str) -> F.Column:
 # -- sources and checks ----------------------------------------------------
 
 def src_ratings_tsv(spark, sf_dir):
+    """The ratings through a file as other programs write it: a fourth field
+    and blanks around the fields."""
     path = scratch_path(spark, "ratings-tsv")
-    files.write_ratings_tsv(testdata.ratings(spark, sf_dir), path)
+    line = F.concat_ws("\t", F.concat(F.lit(" "), F.col("user_id")), F.concat("item_id", F.lit(" ")),
+                       F.col("rating").cast("string"), F.lit("881250949"))
+    testdata.ratings(spark, sf_dir).select(line.alias("value")).write.text(path)
     return files.read_ratings_tsv(spark, path)
 
 
@@ -75,31 +80,37 @@ def item_user_sets(spark, sf_dir):
 
 
 def user_mean(spark, sf_dir):
-    return rounded(_ctx(spark, sf_dir).means)
+    return rounded(ratings.user_means(_ctx(spark, sf_dir).train))
 
 
 def normalized_deviation(spark, sf_dir):
-    return rounded(_ctx(spark, sf_dir).profiles.select("user_id", "item_id", "rating", "mean", "dev"))
+    train = _ctx(spark, sf_dir).split_kept[0]
+    return rounded(ratings.normalize(train).select("user_id", "item_id", "rating", "mean", "dev"))
 
 
 def user_norm(spark, sf_dir):
-    return rounded(_ctx(spark, sf_dir).stats.select("user_id", "norm"))
+    return rounded(ratings.user_stats(_ctx(spark, sf_dir).train).select("user_id", "norm"))
 
 
 def unit_weights(spark, sf_dir):
-    return rounded(_ctx(spark, sf_dir).profiles.select("user_id", "item_id", "w"))
+    return rounded(ratings.normalize(_ctx(spark, sf_dir).split_kept[0]).select("user_id", "item_id", "w"))
 
 
 # -- similarity ------------------------------------------------------------
 
 def co_rated_pairs(spark, sf_dir):
-    return P.co_rated(_ctx(spark, sf_dir).pairs)
+    return P.co_rated_counts(_ctx(spark, sf_dir).split_kept[0])
 
 
 def sim_cosine(spark, sf_dir):
     return rounded(_ctx(spark, sf_dir).cosine)
 
 
+def sim_cosine_blocked(spark, sf_dir):
+    """The similarities with every item of more than BLOCK raters split."""
+    return rounded(P.cosine(P.co_rating_pairs(_ctx(spark, sf_dir).profiles, BLOCK)))
+
+
 def sim_symmetric(spark, sf_dir):
     return rounded(P.symmetric(_ctx(spark, sf_dir).cosine))
 
@@ -114,17 +125,31 @@ def _predict(measure: str, distinct: bool) -> Query:
     def run(spark, sf_dir):
         c = _ctx(spark, sf_dir)
         sim = c.cosine if measure == "cosine" else c.jaccard
-        out = predict(c.test.select("user_id", "item_id"), c.profiles, c.means, sim,
+        out = predict(c.test_kept.select("user_id", "item_id"), c.profiles, c.means, sim,
                       distinct_terms=distinct)
         return rounded(out)
     run.__name__ = f"predict_{measure}{'_distinct' if distinct else ''}"
     return run
 
 
+def predict_cosine_blocked(spark, sf_dir):
+    """The predictions with items split into blocks of BLOCK rows."""
+    c = _ctx(spark, sf_dir)
+    return rounded(predict(c.test_kept.select("user_id", "item_id"), c.profiles, c.means, c.cosine,
+                           block_size=BLOCK))
+
+
+def predict_jaccard_self(spark, sf_dir):
+    """Jaccard predictions of train and test keys, own ratings included."""
+    c = _ctx(spark, sf_dir)
+    keys = c.split_kept[0].unionByName(c.test_kept).select("user_id", "item_id")
+    return rounded(predict(keys, c.profiles, c.means, c.jaccard, include_self=True))
+
+
 def predict_knn_query(spark, sf_dir):
     c = _ctx(spark, sf_dir)
     ranked = neighbors.nearest_neighbors(c.cosine, KNN_PREDICT_K)
-    out = predict_knn(c.test.select("user_id", "item_id"), c.profiles, c.means, ranked,
+    out = predict_knn(c.test_kept.select("user_id", "item_id"), c.profiles, c.means, ranked,
                       [KNN_PREDICT_K])
     return rounded(out.select("user_id", "item_id", F.col(f"pred_{KNN_PREDICT_K}").alias("pred")))
 
@@ -150,7 +175,17 @@ def knn_lists(spark, sf_dir):
 
 def _test_predictions(c: TestdataContext, measure: str) -> DataFrame:
     sim = c.cosine if measure == "cosine" else c.jaccard
-    return predict(c.test, c.profiles, c.means, sim)
+    return predict(c.test_kept, c.profiles, c.means, sim)
+
+
+def mae_repeated_targets(spark, sf_dir):
+    """MAE over the test lines before they are made unique: a key that was
+    ordered several times is several rows, each with its own rating."""
+    c = _ctx(spark, sf_dir)
+    lines = testdata.raw_ratings(spark, sf_dir).where(testdata.fold() == 0)
+    preds = predict(lines, c.profiles, c.means, c.cosine)
+    return rounded(preds.agg(F.count(F.lit(1)).alias("n_rows"),
+                             F.avg(F.abs(F.col("rating") - F.col("pred"))).alias("mae")))
 
 
 def mae_cosine(spark, sf_dir):
@@ -163,7 +198,7 @@ def mae_jaccard(spark, sf_dir):
 
 def _both_maes(c: TestdataContext) -> DataFrame:
     sims = {"pred_cosine": F.col("dot"), "pred_jaccard": jaccard("common", "n_u", "n_v")}
-    preds = predict_with(c.test, c.profiles, c.means, c.pairs, sims)
+    preds = predict_with(c.test_kept, c.profiles, c.means, c.pairs, sims)
     return evaluate.mae_columns(preds, {"cosine": "pred_cosine", "jaccard": "pred_jaccard"})
 
 
@@ -171,20 +206,22 @@ def mae_comparison(spark, sf_dir):
     return rounded(evaluate.mae_comparison("cosine", "jaccard", _both_maes(_ctx(spark, sf_dir))))
 
 
-def _by_k(c: TestdataContext) -> DataFrame:
-    ranked = neighbors.nearest_neighbors(c.cosine, max(evaluate.KNN_KS))
-    preds = predict_knn(c.test, c.profiles, c.means, ranked, evaluate.KNN_KS)
+def _by_k(c: TestdataContext, cosine: DataFrame) -> DataFrame:
+    ranked = neighbors.nearest_neighbors(cosine, max(evaluate.KNN_KS))
+    preds = predict_knn(c.test_kept, c.profiles, c.means, ranked, evaluate.KNN_KS)
     return evaluate.mae_by_k(preds, evaluate.KNN_KS)
 
 
 def mae_knn_by_k(spark, sf_dir):
-    return rounded(_by_k(_ctx(spark, sf_dir)))
+    c = _ctx(spark, sf_dir)
+    return rounded(_by_k(c, c.cosine))
 
 
 def lowest_k(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    by_k = _by_k(c)
-    cosine_mae = evaluate.mae(_test_predictions(c, "cosine")).scalar()
+    cosine = P.cosine(c.pairs_kept)
+    by_k = materialize(_by_k(c, cosine), "by-k")
+    cosine_mae = evaluate.mae(predict(c.test_kept, c.profiles, c.means, cosine)).scalar()
     rows = [evaluate.lowest_k(by_k, evaluate.BASELINE_MAE).select(
                 F.lit("reference").alias("baseline_name"),
                 F.lit(evaluate.BASELINE_MAE).alias("baseline"), "*"),
@@ -195,26 +232,33 @@ def lowest_k(spark, sf_dir):
 
 # -- cost and capacity -----------------------------------------------------
 
+def _overlap(spark, sf_dir) -> DataFrame:
+    train = _ctx(spark, sf_dir).split_kept[0]
+    return capacity.pair_overlap_stats(_user_counts(train), P.co_rated_counts(train))
+
+
+def _user_counts(train: DataFrame) -> DataFrame:
+    return train.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_items"))
+
+
 def pair_overlap_stats(spark, sf_dir):
-    c = _ctx(spark, sf_dir)
-    return rounded(capacity.pair_overlap_stats(c.means, c.pairs))
+    return rounded(_overlap(spark, sf_dir))
 
 
 def similarity_cost(spark, sf_dir):
-    return capacity.similarity_cost(_ctx(spark, sf_dir).means)
+    return capacity.similarity_cost(_user_counts(_ctx(spark, sf_dir).train))
 
 
 def similarity_storage(spark, sf_dir):
-    c = _ctx(spark, sf_dir)
-    return capacity.similarity_storage(capacity.pair_overlap_stats(c.means, c.pairs))
+    return capacity.similarity_storage(_overlap(spark, sf_dir))
 
 
 def knn_storage(spark, sf_dir):
-    return capacity.knn_storage(_ctx(spark, sf_dir).means)
+    return capacity.knn_storage(_user_counts(_ctx(spark, sf_dir).train))
 
 
 def knn_capacity(spark, sf_dir):
-    return capacity.knn_capacity(_ctx(spark, sf_dir).means)
+    return capacity.knn_capacity(_user_counts(_ctx(spark, sf_dir).train))
 
 
 def summary_stats(spark, sf_dir):
@@ -226,13 +270,16 @@ def summary_stats(spark, sf_dir):
 
 def recommend_topn(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    return rounded(recommend.recommend(c.ratings, c.items, None, k=KNN_K, n=TOP_N))
+    rated = materialize(c.ratings, "ratings")
+    return rounded(recommend.recommend(rated, c.items, None, k=KNN_K, n=TOP_N))
 
 
-def _personal(spark, sf_dir):
+def _personal(spark, sf_dir, catalogue: DataFrame | None = None):
     c = _ctx(spark, sf_dir)
-    rated, _ = testdata.with_personal(c.ratings, testdata.personal_catalogue(c.items))
-    users = c.ratings.agg((F.max("user_id") + 1).alias("user_id"))
+    mine = testdata.personal_catalogue(c.items) if catalogue is None else catalogue
+    known = materialize(c.ratings, "ratings")
+    rated, _ = personal.append_personal(known, mine)
+    users = known.agg((F.max("user_id") + 1).alias("user_id"))
     return c, rated, users
 
 
@@ -242,16 +289,40 @@ def recommend_personal(spark, sf_dir):
     return rounded(recs.select("k", "rank", "item_id", "title", "pred"))
 
 
+def _personal_file(spark, sf_dir) -> DataFrame:
+    path = scratch_path(spark, "personal-csv")
+    files.write_items_csv(testdata.personal_catalogue(testdata.items(spark, sf_dir)), path)
+    return files.read_items_csv(spark, path)
+
+
+def recommend_from_csv(spark, sf_dir):
+    """The third program's main path: a personal CSV file, checked and
+    appended, then the top n per k."""
+    mine = _personal_file(spark, sf_dir)
+    checks.assert_checks(personal.personal_checks(mine))
+    c, rated, users = _personal(spark, sf_dir, mine)
+    recs = recommend.recommend_many(rated, mine.select("item_id", "title"), users, RECOMMEND_KS, TOP_N)
+    return rounded(recs.select("k", "rank", "item_id", "title", "pred"))
+
+
+def check_personal(spark, sf_dir):
+    """Check rows of the personal ratings, doubled where the item id is a
+    multiple of 64 so that some lie outside the scale."""
+    mine = testdata.personal_catalogue(testdata.items(spark, sf_dir))
+    odd = mine.withColumn("rating", F.when(F.col("item_id") % 64 == 0, F.col("rating") * 2).otherwise(F.col("rating")))
+    return personal.personal_checks(odd)
+
+
 # -- reports ---------------------------------------------------------------
 
 def report_similarity(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    return rounded(reports.similarity_report(c.train, c.test))
+    return rounded(reports.similarity_report(*c.split_kept))
 
 
 def report_knn(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    return rounded(reports.knn_report(c.train, c.test))
+    return rounded(reports.knn_report(*c.split_kept))
 
 
 def report_recommend(spark, sf_dir):
@@ -259,6 +330,38 @@ def report_recommend(spark, sf_dir):
     return rounded(reports.recommend_report(rated, c.items, users, RECOMMEND_KS, TOP_N))
 
 
+def report_similarity_json(spark, sf_dir):
+    """The fields of the similarity report as its JSON text states them."""
+    return _fields(report_similarity(spark, sf_dir))
+
+
+def report_knn_json(spark, sf_dir):
+    return _fields(report_knn(spark, sf_dir))
+
+
+def report_recommend_json(spark, sf_dir):
+    """The entries of the recommendation report's JSON lists."""
+    text = report_json.report_to_json(report_recommend(spark, sf_dir))
+    parsed = text.select(F.from_json("json", "map<string,map<string,array<struct<item_id:bigint,title:string,value:double>>>>").alias("j"))
+    lists = parsed.select(F.explode("j").alias("section", "m")).select("section", F.explode("m").alias("metric", "rows"))
+    return lists.select("section", "metric", F.posexplode("rows").alias("at", "r")).select(
+        "section", "metric", (F.col("at") + 1).cast("long").alias("rank"), "r.item_id", "r.title", "r.value")
+
+
+def _fields(report: DataFrame) -> DataFrame:
+    """``(section, metric, value, whole)`` parsed back from the JSON text;
+    ``whole`` tells whether the number stands there without a fraction."""
+    text = report_json.report_to_json(report, reports.WHOLE_METRICS)
+    sections = text.select(F.explode(F.from_json("json", "map<string,map<string,string>>")).alias("section", "m"))
+    flat = sections.select("section", F.explode("m").alias("metric", "raw"))
+    nested = flat.where(F.startswith("raw", F.lit("{"))).select(
+        "section", "metric", F.explode(F.from_json("raw", "map<string,string>")).alias("sub", "raw"))
+    rows = flat.where(~F.startswith("raw", F.lit("{"))).unionByName(
+        nested.select("section", F.concat_ws(".", "metric", "sub").alias("metric"), "raw"))
+    return rows.select("section", "metric", F.col("raw").cast("double").alias("value"),
+                       (~F.col("raw").rlike("[.eE]")).alias("whole"))
+
+
 QUERIES: dict[str, Query] = {
     "src_ratings_tsv": src_ratings_tsv,
     "src_items_csv": src_items_csv,
@@ -271,18 +374,22 @@ QUERIES: dict[str, Query] = {
     "unit_weights": unit_weights,
     "co_rated_pairs": co_rated_pairs,
     "sim_cosine": sim_cosine,
+    "sim_cosine_blocked": sim_cosine_blocked,
     "sim_symmetric": sim_symmetric,
     "sim_jaccard": sim_jaccard,
     "predict_cosine": _predict("cosine", False),
     "predict_cosine_distinct": _predict("cosine", True),
     "predict_jaccard": _predict("jaccard", False),
     "predict_jaccard_distinct": _predict("jaccard", True),
+    "predict_cosine_blocked": predict_cosine_blocked,
+    "predict_jaccard_self": predict_jaccard_self,
     "predict_knn": predict_knn_query,
     "knn_neighbors": knn_neighbors,
     "knn_neighbors_half": knn_neighbors_half,
     "knn_lists": knn_lists,
     "mae_cosine": mae_cosine,
     "mae_jaccard": mae_jaccard,
+    "mae_repeated_targets": mae_repeated_targets,
     "mae_comparison": mae_comparison,
     "mae_knn_by_k": mae_knn_by_k,
     "lowest_k": lowest_k,
@@ -294,7 +401,12 @@ QUERIES: dict[str, Query] = {
     "summary_stats": summary_stats,
     "recommend_topn": recommend_topn,
     "recommend_personal": recommend_personal,
+    "recommend_from_csv": recommend_from_csv,
+    "check_personal": check_personal,
     "report_similarity": report_similarity,
     "report_knn": report_knn,
     "report_recommend": report_recommend,
+    "report_similarity_json": report_similarity_json,
+    "report_knn_json": report_knn_json,
+    "report_recommend_json": report_recommend_json,
 }

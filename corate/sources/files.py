@@ -13,30 +13,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-ITEMS_SCHEMA = T.StructType([
-    T.StructField("item_id", T.LongType(), False),
-    T.StructField("title", T.StringType(), True),
-    T.StructField("rating", T.DoubleType(), True),
-])
 
+def _all_valid(rows: DataFrame, valid, message) -> DataFrame:
+    """``rows``, failing on the first that isn't ``valid``.
 
-def _field_or_fail(parts, i: int, line, kind: str):
-    raw = F.trim(F.try_element_at(parts, F.lit(i + 1)))
-    value = raw.try_cast(kind)
-    message = F.concat(F.lit(f"bad ratings line (field {i + 1}): "), line)
-    return F.when(value.isNull(), F.raise_error(message)).otherwise(value)
+    The test is a filter, so it runs over every row whatever columns the
+    caller reads, ``count()`` included; a test inside a column would be
+    pruned with the column.
+    """
+    return rows.where(F.when(valid, F.lit(True)).otherwise(
+        F.raise_error(message).cast("boolean")))
 
 
 def read_ratings_tsv(spark: SparkSession, path: str) -> DataFrame:
     """``(user_id BIGINT, item_id BIGINT, rating DOUBLE)`` from tab-separated text."""
-    line = F.col("value")
-    parts = F.split(line, "\t")
-    return spark.read.text(path).select(
-        _field_or_fail(parts, 0, line, "bigint").alias("user_id"),
-        _field_or_fail(parts, 1, line, "bigint").alias("item_id"),
-        _field_or_fail(parts, 2, line, "double").alias("rating"))
+    parts = F.split(F.col("value"), "\t")
+    kinds = {"user_id": "bigint", "item_id": "bigint", "rating": "double"}
+    values = {name: F.trim(F.try_element_at(parts, F.lit(i + 1))).try_cast(kind)
+              for i, (name, kind) in enumerate(kinds.items())}
+    valid = F.lit(True)
+    for value in values.values():
+        valid = valid & value.isNotNull()
+    lines = _all_valid(spark.read.text(path), valid,
+                       F.concat(F.lit("bad ratings line: "), F.col("value")))
+    return lines.select(*[value.alias(name) for name, value in values.items()])
 
 
 def write_ratings_tsv(ratings: DataFrame, path: str) -> None:
@@ -46,11 +47,24 @@ def write_ratings_tsv(ratings: DataFrame, path: str) -> None:
 
 
 def read_items_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``(item_id, title, rating)`` from comma-separated text, failing on bad lines."""
-    return (spark.read.schema(ITEMS_SCHEMA)
-            .option("header", "false").option("mode", "FAILFAST")
-            .option("quote", '"').option("escape", '"')
-            .csv(path))
+    """``(item_id, title, rating)`` from comma-separated text.
+
+    Fails on a line without three fields, without an item id or with a
+    rating that is no number, whatever columns are read: fields are read as
+    text, and the test needs all of them.
+    """
+    lines = (spark.read.schema("item_id string, title string, rating string, _line string")
+             .option("header", "false").option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", "_line").option("columnPruning", "false")
+             .option("quote", '"').option("escape", '"')
+             .csv(path))
+    item, rating = F.trim("item_id").try_cast("bigint"), F.trim("rating").try_cast("double")
+    valid = (F.col("_line").isNull() & item.isNotNull()
+             & (F.col("rating").isNull() | rating.isNotNull()))
+    message = F.concat(F.lit("bad items line: "), F.coalesce(
+        F.col("_line"), F.concat_ws(",", "item_id", "title", "rating")))
+    return _all_valid(lines, valid, message).select(
+        item.alias("item_id"), "title", rating.alias("rating"))
 
 
 def write_items_csv(items: DataFrame, path: str) -> None:

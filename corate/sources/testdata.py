@@ -90,19 +90,3 @@ def personal_catalogue(catalogue: DataFrame) -> DataFrame:
     rated = (F.col("item_id") * SPLIT_USER_FACTOR) % SPLIT_MODULUS % PERSONAL_FOLDS == 0
     value = (F.lit(1) + (F.col("item_id") * 31 + F.length("title")) % 5).cast("double")
     return catalogue.select("item_id", "title", F.when(rated, value).alias("rating"))
-
-
-def personal_user_id(rated: DataFrame):
-    """A scalar column: one more than the largest user id (a scalar subquery)."""
-    return rated.select((F.max("user_id") + 1).alias("user_id")).scalar()
-
-
-def with_personal(rated: DataFrame, catalogue_with_ratings: DataFrame) -> tuple[DataFrame, object]:
-    """Append the personal user's ratings; returns ``(ratings, personal id column)``.
-
-    The new user's id is ``max(user_id) + 1`` of ``rated``.
-    """
-    new_id = personal_user_id(rated)
-    mine = catalogue_with_ratings.where(F.col("rating").isNotNull()).select(
-        new_id.alias("user_id"), "item_id", "rating")
-    return rated.unionByName(mine), new_id

@@ -1,4 +1,5 @@
-"""Print the physical plan trees of the core operators (no job is run).
+"""Print the physical plan trees of the core operators as they run (what a
+plan reads twice is written to the shared folder first).
 
     python tools/explain_plans.py /root/testdata/sf0.01
 """
@@ -11,7 +12,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, ".")
 from corate.config import apply_conf  # noqa: E402
-from corate.operators import capacity, evaluate, neighbors, predict  # noqa: E402
+from corate.operators import capacity, evaluate, neighbors, pairs, predict  # noqa: E402
 from corate.plans.context import TestdataContext  # noqa: E402
 
 
@@ -24,14 +25,14 @@ def main() -> None:
     sf_dir = sys.argv[1]
     spark = apply_conf(SparkSession.builder.master("local[8]"), 16).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    c = TestdataContext(spark, sf_dir, materialize=False)
+    c = TestdataContext(spark, sf_dir)
     ranked = neighbors.nearest_neighbors(c.cosine, 942)
     plans = {
         "co_rating_pairs": c.pairs,
-        "predict (cosine) + mae": evaluate.mae(predict.predict(c.test, c.profiles, c.means, c.cosine)),
+        "predict (cosine) + mae": evaluate.mae(predict.predict(c.test_kept, c.profiles, c.means, c.cosine)),
         "nearest_neighbors (k=942)": ranked,
-        "predict_knn sweep": predict.predict_knn(c.test, c.profiles, c.means, ranked, evaluate.KNN_KS),
-        "pair_overlap_stats": capacity.pair_overlap_stats(c.means, c.pairs),
+        "predict_knn sweep": predict.predict_knn(c.test_kept, c.profiles, c.means, ranked, evaluate.KNN_KS),
+        "pair_overlap_stats": capacity.pair_overlap_stats(c.means, pairs.co_rated_counts(c.split_kept[0])),
     }
     for name, df in plans.items():
         print(f"===== {name}\n{tree(df)}\n")
