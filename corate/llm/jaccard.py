@@ -433,8 +433,20 @@ class JaccardJoin:
         index = materialize(self.texts.mapInArrow(index_rows(classes, words, percent), INDEX), "index")
         self.bitmaps = index.groupBy("sid").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
         entries = index.select("sid", "n", F.posexplode("tokens").alias("position", "token"))
-        shared = entries.groupBy("token").agg(F.min("sid").alias("pivot"), F.max("sid").alias("last")).where("pivot < last").drop("last")
-        self.entries = materialize(entries.join(shared, "token").groupBy("token", "sid").agg(F.first("n").alias("n"), F.first("position").alias("position"), F.first("pivot").alias("pivot")), "entries")
+        shared = entries.groupBy("token").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a < b").select("token")
+        shared = materialize(entries.join(shared, "token").groupBy("token", "sid").agg(F.first("n").alias("n"), F.first("position").alias("position")), "shared")
+        self.entries = materialize(self._with_pivots(shared), "entries")
+
+    def _with_pivots(self, shared: DataFrame) -> DataFrame:
+        """Entries with their token's pivot: the set of which the largest
+        share of prefix tokens is shared. The text that others are edited
+        copies of shares all of its tokens; its copies have some of their
+        own, and are nearer to it than to each other."""
+        prefix = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
+        share = shared.groupBy("sid").agg((F.count("*") / F.first(prefix)).alias("share"))
+        ranked = shared.join(share, "sid")
+        pivots = ranked.groupBy("token").agg(F.min(F.struct((-F.col("share")).alias("share"), "sid")).alias("p"))
+        return ranked.join(pivots.select("token", F.col("p.sid").alias("pivot")), "token").select("token", "sid", "n", "position", "pivot")
 
     def reach(self, na: Column, nb: Column) -> Column:
         """Overlap times (100 + percent) that sets of these sizes need."""
@@ -498,7 +510,7 @@ class JaccardJoin:
         between = materialize(between.select("a", "b", (1 - F.col("common") / F.col("total")).alias("apart")), "between")
         if between.isEmpty():
             return found
-        return found.unionByName(self._member_links(between, found, entries))
+        return found.unionByName(self._member_links(between, found, entries, lists))
 
     def _cluster_pairs(self, lists: DataFrame) -> DataFrame:
         """Clusters that share a token, sizes and positions allowing a link."""
@@ -510,17 +522,22 @@ class JaccardJoin:
         joined = left.join(right, "token").where((F.col("clustera") < F.col("clusterb")) & fit & enough)
         return joined.select(F.col("clustera").alias("a"), F.col("clusterb").alias("b")).distinct()
 
-    def _member_links(self, between: DataFrame, found: DataFrame, entries: DataFrame) -> DataFrame:
+    def _member_links(self, between: DataFrame, found: DataFrame, entries: DataFrame, lists: DataFrame) -> DataFrame:
         """Links between members of clusters that the pivots leave open and
-        that no link connects yet."""
+        that no link connects yet. Members meet only in the tokens that
+        their clusters share."""
         roots = components(found)
         ra, rb = (roots.select(F.col("node").alias(s), F.col("root").alias(f"r{s}")) for s in "ab")
         open_pairs = (between.join(ra, "a", "left").join(rb, "b", "left")
                       .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b", "apart"))
         open_pairs = materialize(open_pairs, "open")
-        left, right = (entries.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("sid", "cluster", "n", "position", "distance"))) for s in "ab")
-        near = left.join(open_pairs.withColumnRenamed("a", "cluster_a"), "cluster_a")
-        both = near.join(right.withColumnRenamed("cluster_b", "b"), ["token", "b"])
+        spans = lists.select("token", "cluster")
+        ends = open_pairs.select(F.explode(F.array("a", "b")).alias("cluster")).distinct()
+        spans = spans.join(ends, "cluster", "left_semi")
+        tokens = (spans.withColumnRenamed("cluster", "a").join(spans.withColumnRenamed("cluster", "b"), "token")
+                  .where("a < b").join(open_pairs, ["a", "b"]))
+        left, right = (entries.select("token", F.col("cluster").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "position", "distance"))) for s in "ab")
+        both = tokens.join(left, ["token", "a"]).join(right, ["token", "b"])
         rest = F.least(F.col("n_a") - F.col("position_a"), F.col("n_b") - F.col("position_b"))
         pairs = both.where(
             self.sizes_fit(F.col("n_a"), F.col("n_b")) & (rest * (100 + self.percent) >= self.reach(F.col("n_a"), F.col("n_b")))
