@@ -35,21 +35,27 @@ from corate.llm.common import blocks
 CAPACITY = 4096
 END_ID = 1
 #: Entries after which a worker's word cache starts anew (bounds its memory).
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 600_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, local_rank long"
 
 
 class WordTokenizer:
-    """Ids of whole texts by a tokenizer whose pre-tokens never span blanks.
-
-    A text's ids are the ids of its blank-separated chunks, one after the
-    other; ids of a chunk are kept as bytes (little-endian unsigned 32-bit).
-    A chunk of letters with trailing punctuation is two pre-tokens, each the
-    same whatever its case."""
-
-    #: Letters whose lower case and composition are one code point each.
-    SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\[-`{-~]*)")
+    """Ids of whole texts by a tokenizer that splits words, single digits and
+    runs of punctuation, drops blanks and folds case.
+
+    A text of plain characters is cut into those parts in one pass; ids of
+    each distinct part are learned once, many parts in one call, and kept as
+    bytes (little-endian unsigned 32-bit). In other texts, blanks still
+    separate chunks that are encoded on their own."""
+
+    #: Letters and punctuation that folding case and composing keep one to
+    #: one; what else a text holds makes its chunk one to encode as it is.
+    LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+    PUNCTUATION = r"!-/:-@\[-`{-~"
+    ODD = re.compile(f"[^0-9{LETTERS}{PUNCTUATION} \n]|<\\|(?:start|end)oftext\\|>")
+    # Endings that the tokenizer cuts off first.
+    PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[{PUNCTUATION}]+")
     SUFFIX = "</w>"
 
     def __init__(self, definition: str):
@@ -60,55 +66,41 @@ class WordTokenizer:
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith(self.SUFFIX)]] = True
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {"": b""}
+        self.ids: dict[str, bytes] = {}
+
+    def parts(self, text: str) -> list[str]:
+        """What the text is cut into; odd chunks stay whole."""
+        if not self.ODD.search(text):
+            return self.PARTS.findall(text.lower())
+        out = []
+        for chunk in text.replace("\n", " ").split(" "):
+            out += [chunk] if self.ODD.search(chunk) else self.PARTS.findall(chunk.lower())
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text. Line ends and blanks separate chunks alike."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.chunks) > CACHE_ENTRIES:
-            self.chunks = {}
-        if len(self.words) > CACHE_ENTRIES:
-            self.words = {"": b""}
-        missing: set[str] = set()
-        for s in split:
-            missing.update(s)
-        self._learn(missing.difference(self.chunks))
-        get = self.chunks.__getitem__
-        return [b"".join(map(get, s)) for s in split]
-
-    def _learn(self, chunks: set[str]) -> None:
-        simple, other, wanted = [], [], set()
-        for c in chunks:
-            m = self.SIMPLE.fullmatch(c)
-            if m:
-                word, tail = m.group(1).lower(), m.group(2)
-                simple.append((c, word, tail))
-                wanted.add(word)
-                wanted.add(tail)
-            else:
-                other.append(c)
-        self._learn_words([w for w in wanted if w not in self.words])
-        for c, word, tail in simple:
-            self.chunks[c] = self.words[word] + self.words[tail]
-        for first in range(0, len(other), 1000):
-            part = other[first : first + 1000]
-            for c, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.chunks[c] = np.array(e.ids, "<u4").tobytes()
-
-    def _learn_words(self, words: list[str]) -> None:
-        """Encode many single pre-tokens as one text; the word-end mark of
-        the last token of each shows where it ends."""
-        for first in range(0, len(words), 400):
-            part = words[first : first + 400]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            cut = np.flatnonzero(self.ends[ids]) + 1
-            if len(cut) == len(part):
-                for w, piece in zip(part, np.split(ids, cut[:-1]), strict=True):
-                    self.words[w] = piece.tobytes()
-            else:
-                for w in part:
-                    self.words[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+        cut = [self.parts(t) for t in texts]
+        if len(self.ids) > CACHE_ENTRIES:
+            self.ids = {}
+        self._learn(set().union(*cut).difference(self.ids))
+        get = self.ids.__getitem__
+        return [b"".join(map(get, c)) for c in cut]
+
+    def _learn(self, parts: set[str]) -> None:
+        """Encode many parts as one text: each is one pre-token, whose last
+        token has the word-end mark. Odd chunks are encoded one by one."""
+        plain = [p for p in parts if not self.ODD.search(p)]
+        odd = list(parts.difference(plain))
+        texts = [plain[i : i + 400] for i in range(0, len(plain), 400)]
+        for part, e in zip(texts, self.tokenizer.encode_batch_fast([" ".join(t) for t in texts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            raw, cut = ids.tobytes(), (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(cut) != len(part):
+                raise ValueError("a part isn't one pre-token")
+            self.ids.update({p: raw[a:b] for p, a, b in zip(part, [0, *cut], cut, strict=False)})
+        for first in range(0, len(odd), 1000):
+            part = odd[first : first + 1000]
+            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.ids[p] = np.array(e.ids, "<u4").tobytes()
 
 
 _tokenizers: dict[int, WordTokenizer] = {}
