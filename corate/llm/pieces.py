@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from corate.llm.common import blocks
 
 SPACE = "▁"
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 # Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -113,8 +113,20 @@ class PieceModel:
         self.text_of_id = [str(i) for i in range(len(self.pieces))]
         self.source_length = np.array([len(s) for s in self.surface], np.int64)
         self.cache: dict[str, bytes] = {}
-        #: every text without space marks of its own maps one to one
+        #: texts without space marks of their own or runs of blanks map one to
+        #: one, and may be cut at blanks, line ends and before punctuation
         self.plain = self.charmap.empty and not self.trim and self.dummy_prefix and self.cut_at_space and self.cut_at_line
+        stops = re.escape("".join(sorted(self._stops())))
+        self.segment = re.compile(f" ?[^ \n{stops}]+| ?[{stops}]+[^ \n{stops}]*|[ \n]" if stops else " ?[^ \n]+|[ \n]")
+
+    def _stops(self) -> set[str]:
+        """Punctuation that follows, in every piece, only its like or a space
+        mark: no merge reaches across a place before it."""
+        stops = {c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum()}
+        pairs = {(a, b) for p in self.ids for a, b in zip(p, p[1:], strict=False)}
+        while bad := {b for a, b in pairs if b in stops and a not in stops and a != SPACE}:
+            stops -= bad
+        return stops
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """Normalised text, and for every byte of it (and its end) the source
@@ -218,7 +230,7 @@ class PieceModel:
         """Ids of a text, and start and end of each piece's source bytes."""
         if not text:
             return np.zeros(0, "<u2"), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if self.plain and SPACE not in text and "  " not in text and " \n" not in text and text[0] not in " \n":
+        if self.plain and SPACE not in text and "  " not in text and text[0] != " ":
             ids = np.frombuffer(self._plain_ids(text), "<u2")
             ends = np.cumsum(self.source_length[ids]) - 1  # the prefix mark has no source
             starts = np.concatenate(([0], ends[:-1]))
@@ -242,15 +254,14 @@ class PieceModel:
         return source[edges[:-1]], source[edges[1:]]
 
     def _plain_ids(self, text: str) -> bytes:
-        """Segments by their source text: a leading line end stands for a
-        segment without a space mark, else the mark goes without saying."""
-        words = text.replace("\n", " \n").split(" ")
+        """Ids as bytes, by segments whose merges don't depend on each other."""
+        segments = self.segment.findall(" " + text)
         cache = self.cache
         if len(cache) > CACHE_ENTRIES:
             cache.clear()
-        for w in set(words).difference(cache):
-            cache[w] = np.array(self.merge(w if w.startswith("\n") else SPACE + w), "<u2").tobytes()
-        return b"".join(map(cache.__getitem__, words))
+        for s in set(segments).difference(cache):
+            cache[s] = np.array(self.merge(s.replace(" ", SPACE)), "<u2").tobytes()
+        return b"".join(map(cache.__getitem__, segments))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: byte pieces join to characters, space marks
