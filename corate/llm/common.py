@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step handles; a longer text is one block.
 BLOCK_BYTES = 1 << 20
+#: What one step takes of a very long text, so that its memory stays bounded.
+SLICE_BYTES = 4 << 20
 #: Rows of one Arrow batch.
 BATCH_ROWS = 1000
 
@@ -99,6 +101,32 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Polynomial hash of each word, whatever its place, from running sums
+    over slices of about SLICE_BYTES that end with a word."""
+    out, i = np.empty(len(start), np.uint64), 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + SLICE_BYTES, side="right")))
+        a, b = start[i:j] - start[i], end[i:j] - start[i]
+        part = data[start[i] : end[j - 1]]
+        power, inverse = _power_tables(len(part) + 1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: len(part)], out=total[1:])
+            out[i:j] = mix64((total[b] - total[a]) * inverse[a] + (b - a).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+        i = j
+    return out
+
+
+def text_slices(text: str) -> Iterator[str]:
+    """A text in slices of about SLICE_BYTES characters, cut before blanks."""
+    at = 0
+    while len(text) - at > SLICE_BYTES and (cut := text.find(" ", at + SLICE_BYTES)) >= 0:
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
 class Words:
     """Words of a block of byte texts: 64-bit hash of each word and the row
     it stands in, found without a Python loop over words.
@@ -112,12 +140,7 @@ class Words:
         if len(mask) and mask[0]:
             edge = np.concatenate(([0], edge))
         self.start, self.end = edge[0::2], edge[1::2]
-        power, inverse = _power_tables(len(data) + 1)
-        total = np.zeros(len(data) + 1, np.uint64)
-        with np.errstate(over="ignore"):
-            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=total[1:])
-            raw = (total[self.end] - total[self.start]) * inverse[self.start]
-            self.hash = mix64(raw + (self.end - self.start).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+        self.hash = _word_hashes(data, self.start, self.end)
         self.text_start = np.cumsum([0, *(len(t) + 1 for t in texts)])
         #: row r holds words first[r] to first[r + 1]
         self.first = np.searchsorted(self.start, self.text_start)

@@ -142,7 +142,7 @@ class LanguageModel:
         bits = self.phrases(raw) * self.pointer_bits / np.maximum(1, [len(r) for r in raw])[:, None]
         names, scores = [], []
         for text, b in zip(texts, bits, strict=True):
-            if not text or not self.languages or not LETTER.search(text):
+            if not text or not self.languages or not any(m.group().isalpha() for m in LETTER.finditer(text)):
                 names.append("und")
                 scores.append(0.0)
                 continue

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corate.config import materialize
-from corate.llm.common import blocks
+from corate.llm.common import SLICE_BYTES, blocks, text_slices
 
 CAPACITY = 4096
 END_ID = 1
@@ -69,7 +69,7 @@ class WordTokenizer:
         self.ids: dict[str, bytes] = {}
 
     def parts(self, text: str) -> list[str]:
-        """What the text is cut into; odd chunks stay whole."""
+        """What a slice of text is cut into; odd chunks stay whole."""
         if not self.ODD.search(text):
             return self.PARTS.findall(text.lower())
         out = []
@@ -78,6 +78,11 @@ class WordTokenizer:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if len(texts) == 1 and len(texts[0]) > 2 * SLICE_BYTES:
+            return [b"".join(self._encode([s])[0] for s in text_slices(texts[0]))]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.parts(t) for t in texts]
         if len(self.ids) > CACHE_ENTRIES:
             self.ids = {}

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corate.llm.common import BLANKS, Words, binary_texts, blocks, bounded_sample, byte_table, mix64
+from corate.llm.common import BLANKS, SLICE_BYTES, Words, binary_texts, blocks, bounded_sample, byte_table, mix64
 
 # Symbols and thresholds of the base rule.
 SYMBOLS = b"#*$%&|<>"
@@ -64,27 +64,24 @@ def base_counts(texts: list[bytes], words: Words) -> tuple[np.ndarray, ...]:
     return words.count.astype(np.int64), chars, symbols, dup, repeat
 
 
-def hashed_ngrams(texts: list[bytes], words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For words, word pairs and character (byte) trigrams: the bucket of
-    each n-gram and the text in which it stands. Buckets of the kinds don't
-    overlap."""
+def hashed_ngrams(texts: list[bytes], words: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For words, word pairs and character (byte) trigrams, slice by slice:
+    the kind, the bucket of each n-gram and the text in which it stands.
+    Buckets of the kinds don't overlap."""
     row = np.repeat(np.arange(len(words.count)), words.count)
     pairs, at = words.grams(2)
-    data = np.frombuffer(b"\x00".join(texts) + b"\x00", np.uint8).astype(np.uint32)
-    code = (data[:-2] * 961 + data[1:-1] * 31 + data[2:]) * np.uint32(2654435761)
-    length = np.array([len(t) for t in texts])
-    text = np.repeat(np.arange(len(texts)), length + 1)
-    inside = (text[:-2] == text[2:]) & (data[2:] != 0)
+    yield 0, (words.hash % np.uint64(BUCKETS)).astype(np.int64), row
+    yield 1, (pairs % np.uint64(BUCKETS)).astype(np.int64) + BUCKETS, row[at]
+    joined = np.frombuffer(b"\x00".join(texts) + b"\x00", np.uint8)
+    ends = np.cumsum([len(t) + 1 for t in texts])
     bits = np.uint32(32 - BUCKETS.bit_length() + 1)
-    return [
-        ((words.hash % np.uint64(BUCKETS)).astype(np.int64), row),
-        ((pairs % np.uint64(BUCKETS)).astype(np.int64) + BUCKETS, row[at]),
-        ((code >> bits).astype(np.int64)[inside] + 2 * BUCKETS, text[:-2][inside]),
-    ]
-
-
-def _row_sums(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    return np.bincount(rows, weights=values, minlength=n)
+    for first in range(0, len(joined) - 2, SLICE_BYTES):
+        data = joined[first : first + SLICE_BYTES + 2].astype(np.uint32)
+        code = (data[:-2] * 961 + data[1:-1] * 31 + data[2:]) * np.uint32(2654435761)
+        # a separator (or a NUL of the text) ends the trigrams before it
+        inside = np.flatnonzero((data[:-2] != 0) & (data[1:-1] != 0) & (data[2:] != 0))
+        text = np.searchsorted(ends, first + inside, side="right")
+        yield 2, (code[inside] >> bits).astype(np.int64) + 2 * BUCKETS, text
 
 
 def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,9 +91,10 @@ def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in blocks(texts):
             words = Words(texts[a:b], WORD)
             x = np.zeros((b - a, 3 * BUCKETS), np.float32)
-            for bucket, row in hashed_ngrams(texts[a:b], words):
-                n = np.maximum(np.bincount(row, minlength=b - a), 1)
-                np.add.at(x, (row, bucket), (1.0 / n[row]).astype(np.float32))
+            for _, bucket, row in hashed_ngrams(texts[a:b], words):
+                np.add.at(x, (row, bucket), 1)
+            kinds = x.reshape(b - a, 3, BUCKETS)
+            kinds /= np.maximum(kinds.sum(axis=2, keepdims=True), 1)
             yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a).cast(pa.int32()), pa.array([v.tobytes() for v in x], pa.binary())], ["label", "x"])
 
 
@@ -125,10 +123,11 @@ class QualityModel:
         self.weights, self.bias, self.slope, self.offset = weights, bias, slope, offset
 
     def probability(self, texts: list[bytes], words: Words) -> np.ndarray:
-        margin = np.full(len(texts), self.bias)
-        for bucket, row in hashed_ngrams(texts, words):
-            n = np.maximum(np.bincount(row, minlength=len(texts)), 1)
-            margin += _row_sums(self.weights[bucket], row, len(texts)) / n
+        sums, counts = np.zeros((3, len(texts))), np.zeros((3, len(texts)))
+        for kind, bucket, row in hashed_ngrams(texts, words):
+            sums[kind] += np.bincount(row, weights=self.weights[bucket], minlength=len(texts))
+            counts[kind] += np.bincount(row, minlength=len(texts))
+        margin = self.bias + (sums / np.maximum(counts, 1)).sum(axis=0)
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 

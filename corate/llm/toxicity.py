@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corate.llm.common import bounded_sample
+from corate.llm.common import bounded_sample, text_slices
 from corate.llm.quality import logistic_fit
 
 #: Labelled documents that the fit takes, features it keeps, and words of a
@@ -105,15 +105,18 @@ class ToxicityModel:
         """The n-th power of the neutral step, up to a positive factor."""
         return self._main + self._ratio**n * self._rest
 
-    def telling(self, words: list[bytes]) -> list[tuple[int, float]]:
-        """(index, emission) of the words that have features."""
+    def telling(self, text: str) -> tuple[int, list[tuple[int, float]]]:
+        """Number of words, and (index, emission) of those with features."""
         stems, weight = self.stems, self.weight
-        out = []
-        for i in [i for i, w in enumerate(words) if w[:3] in stems]:
-            found = [weight[f] for f in features_of(words[i]) if f in weight]
-            if found:
-                out.append((i, sum(found)))
-        return out
+        out, n = [], 0
+        for part in text_slices(text):
+            words = words_of(part)
+            for i in [i for i, w in enumerate(words) if w[:3] in stems]:
+                found = [weight[f] for f in features_of(words[i]) if f in weight]
+                if found:
+                    out.append((n + i, sum(found)))
+            n += len(words)
+        return n, out
 
     def marginals(self, n_words: int, telling: list[tuple[int, float]]) -> list[float]:
         """Probability of the toxic state at each telling word: exact
@@ -263,8 +266,8 @@ def summaries(model: ToxicityModel) -> Callable[[Iterator[pa.RecordBatch]], Iter
         for batch in batches:
             rows = []
             for text, toxic, doc_id in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                words = words_of(text or "")
-                rows.append((doc_id, toxic, *model.summary(len(words), model.marginals(len(words), model.telling(words)))))
+                n, telling = model.telling(text or "")
+                rows.append((doc_id, toxic, *model.summary(n, model.marginals(n, telling))))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64()), strict=True)], ["doc_id", "toxic", "x0", "x1", "x2"])
     return run
 
@@ -274,14 +277,13 @@ SCORED = "doc_id long, score double, spans array<struct<start:long,end:long,marg
 
 def score_text(model: ToxicityModel, text: str) -> tuple[float, list[dict]]:
     """Score and toxic spans (code points) of one text."""
-    words = words_of(text)
-    telling = model.telling(words)
-    marginals = model.marginals(len(words), telling)
+    n, telling = model.telling(text)
+    marginals = model.marginals(n, telling)
     hits = {i: p for (i, _), p in zip(telling, marginals, strict=True) if p >= SPAN_MARGINAL}
     spans = []
     if hits:
         spans = [{"start": m.start(), "end": m.end(), "marginal": hits[i]} for i, m in enumerate(WORD.finditer(text)) if i in hits]
-    return model.score(len(words), marginals), spans
+    return model.score(n, marginals), spans
 
 
 def score_batches(model: ToxicityModel) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -52,40 +52,39 @@ def test_spans_cover_the_source(model):
             assert data[s:e].replace("▁".encode(), b" ") == surface or data[s:e] in ("▁".encode(), b""), repr(text)
 
 
-@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf"])
-def test_character_map_equals_the_library(rule):
-    """Longest-prefix normalisation by a compiled map of the library."""
-    normalizer = sentencepiece.SentencePieceNormalizer(rule_name=rule)
+def normaliser_of(rule):
+    """The library's normaliser of a rule, and ours of its compiled map."""
+    library = sentencepiece.SentencePieceNormalizer(rule_name=rule)
     from sentencepiece import sentencepiece_model_pb2 as proto
 
-    spec = proto.ModelProto()
-    spec.ParseFromString(normalizer.serialized_model_proto())
-    charmap = pieces.CharacterMap(spec.normalizer_spec.precompiled_charsmap)
-    assert not charmap.empty
-
-    def normalise(text):
-        data, at, out = text.encode(), 0, b""
-        while at < len(data):
-            n, new = charmap.longest(data, at)
-            out += new
-            at += n
-        return out.decode()
-
-    for text in ["ﬁne", "①㎡", "é", "ＡＢ", "ẛ̣", "Straße ™", "plain"]:
-        assert normalise(text) == normalizer.normalize(text), repr(text)
+    m = proto.ModelProto()
+    m.ParseFromString(library.serialized_model_proto())
+    ours = pieces.PieceModel.__new__(pieces.PieceModel)
+    ours.charmap = pieces.CharacterMap(m.normalizer_spec.precompiled_charsmap)
+    ours.dummy_prefix, ours.trim = m.normalizer_spec.add_dummy_prefix, m.normalizer_spec.remove_extra_whitespaces
+    assert not ours.charmap.empty
+    return library, ours
 
 
-def test_alignment_of_expanding_characters(model):
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf"])
+def test_normalisation_equals_the_library(rule):
+    """Longest-prefix normalisation by a compiled map of the library."""
+    library, ours = normaliser_of(rule)
+    rng = random.Random(6)
+    alphabet = ["ﬁ", "①", "㎡", "e\u0301", "\u0301", "Ａ", "Ｂ", "ẛ̣", "ß", "S", "™", "a", "b", " ", "  ", "\u3000", "\t", "\n", "가", "ᄀ", "ᅡ", "Σ"]
+    for _ in range(2000):
+        text = "".join(rng.choices(alphabet, k=rng.randint(0, 10)))
+        got, source = ours.normalise(text)
+        assert got == library.normalize(text), repr(text)
+        assert len(source) == len(got.encode()) + 1
+        assert (source[1:] >= source[:-1]).all() and source[-1] <= len(text.encode())
+
+
+def test_alignment_of_expanding_characters():
     """A ligature becomes two letters; both point at its source bytes."""
-    normalizer = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc")
-    from sentencepiece import sentencepiece_model_pb2 as proto
-
-    spec = proto.ModelProto()
-    spec.ParseFromString(normalizer.serialized_model_proto())
-    other = pieces.PieceModel.__new__(pieces.PieceModel)
-    other.charmap = pieces.CharacterMap(spec.normalizer_spec.precompiled_charsmap)
-    other.dummy_prefix, other.trim = True, True
-    text, source = other.normalise("  aﬁ  b ")
+    _, ours = normaliser_of("nmt_nfkc")
+    ours.dummy_prefix, ours.trim = True, True
+    text, source = ours.normalise("  aﬁ  b ")
     assert text == "▁afi▁b"
     assert source.tolist() == [2, 2, 2, 2, 3, 3, 6, 6, 6, 8, 9]
 

@@ -33,7 +33,7 @@ def model(spark, docs_df):
 
 def brute_marginals(model, words):
     """Sum over all label sequences."""
-    telling = dict(model.telling(words))
+    telling = dict(model.telling(" ".join(w.decode() for w in words))[1])
     total, toxic = 0.0, np.zeros(len(words))
     for states in itertools.product((0, 1), repeat=len(words)):
         score, before = 0.0, 0
@@ -48,15 +48,15 @@ def brute_marginals(model, words):
 
 @pytest.mark.parametrize("text", ["grimlout", "rano losa grimlout miku", "grimtoad foulbeast rano rano rano rano grimlout", "rano " * 9 + "foulbeast"])
 def test_marginals_equal_all_sequences(model, text):
-    words = toxicity.words_of(text)
-    want = brute_marginals(model, words)
-    telling = model.telling(words)
-    assert model.marginals(len(words), telling) == pytest.approx([want[i] for i, _ in telling], rel=1e-6)
+    want = brute_marginals(model, toxicity.words_of(text))
+    n, telling = model.telling(text)
+    assert model.marginals(n, telling) == pytest.approx([want[i] for i, _ in telling], rel=1e-6)
 
 
 def test_marginals_of_a_long_text_stay_finite(model):
-    words = toxicity.words_of("rano " * 100_000 + "grimlout " * 2_000 + "rano " * 100_000)
-    p = model.marginals(len(words), model.telling(words))
+    n, telling = model.telling("rano " * 100_000 + "grimlout " * 2_000 + "rano " * 100_000)
+    p = model.marginals(n, telling)
+    assert n == 202_000
     assert len(p) == 2_000 and np.isfinite(p).all() and min(p) > 0.5
 
 
