@@ -207,156 +207,6 @@ def wanted_filter(sids: DataFrame) -> tuple[int, np.ndarray]:
     return bits, table
 
 
-SETS = 200_000
-#: Pivots that a set is compared with before clusters are formed.
-PIVOTS = 2
-
-
-class ShingleSets:
-    """Distinct shingle hashes of each text of a block, in rising order."""
-
-    def __init__(self, texts: list[bytes], k: int):
-        words = Words([t.lower() for t in texts], WORD)
-        grams, at = words.grams(k)
-        row = np.repeat(np.arange(len(texts)), words.count)[at]
-        short = np.flatnonzero((words.count > 0) & (words.count < k))
-        if len(short):
-            whole = [words.window(int(words.first[r]), int(words.count[r])) for r in short]
-            grams, row = np.concatenate((grams, np.array(whole, np.uint64))), np.concatenate((row, short))
-        order = np.lexsort((grams, row))
-        grams, row = grams[order], row[order]
-        new = np.ones(len(grams), bool)
-        new[1:] = (grams[1:] != grams[:-1]) | (row[1:] != row[:-1])
-        self.hash, self.row = grams[new], row[new]
-        self.bounds = np.searchsorted(self.row, np.arange(len(texts) + 1))
-        self.size = np.diff(self.bounds)
-
-    def ids(self) -> np.ndarray:
-        """A 64-bit id of each set; equal sets have equal ids."""
-        with np.errstate(over="ignore"):
-            totals = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(self.hash ^ np.uint64(s)), dtype=np.uint64))) for s in (0x51A3, 0xC0FFEE)]
-            a, b = (t[self.bounds[1:]] - t[self.bounds[:-1]] for t in totals)
-            return mix64(mix64(a) + b * np.uint64(0x9E3779B97F4A7C15) + self.size.astype(np.uint64)).view(np.int64)
-
-    def of(self, r: int) -> np.ndarray:
-        return self.hash[self.bounds[r] : self.bounds[r + 1]]
-
-
-def parity_bitmap(hashes: np.ndarray) -> bytes:
-    """Parity of the set's hashes in at least twice as many bits as hashes.
-    Folding the halves of a bitmap together gives the bitmap of half size."""
-    bits = max(64, 1 << int(2 * len(hashes) - 1).bit_length())
-    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
-
-
-def least_difference(a: bytes, b: bytes) -> int:
-    """A lower bound of the symmetric difference of two sets."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
-
-
-# --- passes over the texts -------------------------------------------------
-
-SET_ROWS = "doc_id long, n long, sid long, part int, counts binary"
-
-
-def set_rows(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Size and id of every row's set, then the task's count sketch: how
-    many sets hold a token of each bucket, in parts of SKETCH_ROW buckets."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int32)
-        for batch in batches:
-            texts = binary_texts(batch.column(1))
-            for a, b in blocks(texts):
-                sets = ShingleSets(texts[a:b], k)
-                counts = np.bincount((sets.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
-                np.add(sketch, counts, out=sketch, casting="unsafe")
-                yield _batch(SET_ROWS, [batch.column(0).slice(a, b - a), sets.size, pa.array(sets.ids(), mask=sets.size == 0), [None] * (b - a), [None] * (b - a)])
-        parts = [(p, sketch[p * SKETCH_ROW : (p + 1) * SKETCH_ROW]) for p in range((1 << SKETCH_BITS) // SKETCH_ROW)]
-        parts = [(p, c.tobytes()) for p, c in parts if c.any()]
-        yield _batch(SET_ROWS, [[None] * len(parts)] * 3 + [[p for p, _ in parts], [c for _, c in parts]])
-    return run
-
-
-_TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "boolean": pa.bool_()}
-
-
-def _batch(schema: str, columns: list) -> pa.RecordBatch:
-    """A batch of a schema given as DDL of simple fields."""
-    fields = [f.split() for f in schema.split(", ")]
-    return pa.RecordBatch.from_arrays(
-        [c if isinstance(c, pa.Array) and c.type == _TYPES[t] else pa.array(c, _TYPES[t]) for c, (_, t) in zip(columns, fields, strict=True)],
-        [n for n, _ in fields])
-
-
-def sum_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add the parts of all tasks, one running sum a part."""
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            c = np.frombuffer(counts, np.int32)
-            total[part] = total[part] + c if part in total else c.astype(np.int64)
-    yield _batch("part int, counts binary", [list(total), [v.astype(np.int64).tobytes() for v in total.values()]])
-
-
-def frequency_classes(sketch: np.ndarray) -> np.ndarray:
-    """A class of each bucket: 0 for counts that the mean load explains,
-    then by powers of two of the excess over its deviation."""
-    mean = float(sketch.mean())
-    excess = (sketch - mean) / (3 * np.sqrt(mean) + 1)
-    return np.maximum(0, np.floor(np.log2(np.maximum(excess, 0.5))) + 1).astype(np.uint8)
-
-
-def prefix_length(n: int, percent: int) -> int:
-    """Tokens of a set of n of which a linking set holds one at least."""
-    return n - -(-percent * n // 100) + 1
-
-
-INDEX = "sid long, n long, tokens array<long>, bitmap binary"
-
-
-def index_rows(classes, k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Prefix and bitmap of each distinct set of the task (a set that many
-    tasks hold comes once a task)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = classes.value, set()
-        for batch in batches:
-            texts = binary_texts(batch.column(1))
-            for a, b in blocks(texts):
-                sets, rows = ShingleSets(texts[a:b], k), []
-                kind = table[(sets.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                for r, sid in enumerate(sets.ids().tolist()):
-                    n = int(sets.size[r])
-                    if not n or sid in seen:
-                        continue
-                    if len(seen) < SEEN_SETS:
-                        seen.add(sid)
-                    hashes, c = sets.of(r), kind[sets.bounds[r] : sets.bounds[r + 1]]
-                    # hashes are sorted, so a stable sort by class orders by both
-                    prefix = hashes[np.argsort(c, kind="stable")[: prefix_length(n, percent)]]
-                    rows.append((sid, n, prefix.view(np.int64), parity_bitmap(hashes)))
-                yield _batch(INDEX, list(zip(*rows, strict=True)) if rows else [[]] * 4)
-    return run
-
-
-def wanted_filter(sids: DataFrame) -> tuple[int, np.ndarray]:
-    """Bits that are set for the given set ids: 16 a set, 2^26 at most (8
-    MB). It only drops sets without a partner; others may pass."""
-    n = sids.count()
-    bits = min(26, max(13, (16 * n).bit_length()))
-    position = F.shiftrightunsigned("sid", 64 - bits)
-    rows = sids.select((position / 8192).cast("long").alias("part"), (position % 8192).alias("bit")).groupBy("part").agg(F.collect_set("bit").alias("set"))
-    table = np.zeros(1 << bits, bool)
-    for r in rows.toLocalIterator():
-        table[r.part * 8192 + np.array(r.set, np.int64)] = True
-    return bits, np.packbits(table)
-
-
 SETS = "sid long, hashes binary"
 
 
@@ -498,19 +348,31 @@ class JaccardJoin:
         lists = entries.groupBy("token", "cluster").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("position").alias("position"), F.max("distance").alias("radius"))
         lists = materialize(lists, "lists")
         pairs = materialize(self._cluster_pairs(lists), "cluster-pairs")
-        radius = member.groupBy("cluster").agg(F.max("distance").alias("radius"))
-        ra, rb = (radius.select(F.col("cluster").alias(s), F.col("radius").alias(f"r{s}")) for s in "ab")
-        loose = pairs.join(ra, "a", "left").join(rb, "b", "left").withColumn("slack", F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0)))
-        loose = materialize(loose.select("a", "b", "slack"), "loose")
+        radius = materialize(member.groupBy("cluster").agg(F.max("distance").alias("radius")), "radius")
+        loose = self._with_radii(pairs, radius).withColumn("slack", F.col("ra") + F.col("rb"))
+        loose = materialize(loose, "loose")
         compared = self.verify(loose, F.col("slack"))
         found = star.select("a", "b").unionByName(compared.where(self.linked()).select("a", "b"))
         found = materialize(found.distinct(), "links")
-        between = (compared.where(~self.linked()).join(loose, ["a", "b"])
-                   .where((F.col("slack") > 0) & (100 * F.col("common") >= (self.percent - 100 * F.col("slack") - 1e-6) * F.col("total"))))
-        between = materialize(between.select("a", "b", (1 - F.col("common") / F.col("total")).alias("apart")), "between")
+        between = compared.where(~self.linked()).join(loose, ["a", "b"]).withColumn("apart", self.apart())
+        between = materialize(between.where((F.col("slack") > 0) & (F.col("apart") <= self.farthest() + F.col("slack"))).select("a", "b", "apart", "ra", "rb"), "between")
         if between.isEmpty():
             return found
-        return found.unionByName(self._member_links(between, found, entries, lists))
+        return found.unionByName(self._member_links(between, found, member))
+
+    def apart(self) -> Column:
+        """Jaccard distance of a compared pair."""
+        return 1 - F.col("common") / F.col("total")
+
+    def farthest(self) -> float:
+        """The distance up to which sets link, and a little for rounding."""
+        return 1 - self.percent / 100 + 1e-9
+
+    def _with_radii(self, pairs: DataFrame, radius: DataFrame) -> DataFrame:
+        """Pairs of clusters with the largest distance of a member from each
+        pivot (0 for a set by itself)."""
+        ra, rb = (radius.select(F.col("cluster").alias(s), F.col("radius").alias(f"r{s}")) for s in "ab")
+        return pairs.join(ra, "a", "left").join(rb, "b", "left").select("a", "b", F.coalesce("ra", F.lit(0.0)).alias("ra"), F.coalesce("rb", F.lit(0.0)).alias("rb"))
 
     def _cluster_pairs(self, lists: DataFrame) -> DataFrame:
         """Clusters that share a token, sizes and positions allowing a link."""
@@ -522,28 +384,43 @@ class JaccardJoin:
         joined = left.join(right, "token").where((F.col("clustera") < F.col("clusterb")) & fit & enough)
         return joined.select(F.col("clustera").alias("a"), F.col("clusterb").alias("b")).distinct()
 
-    def _member_links(self, between: DataFrame, found: DataFrame, entries: DataFrame, lists: DataFrame) -> DataFrame:
+    def _member_links(self, between: DataFrame, found: DataFrame, member: DataFrame) -> DataFrame:
         """Links between members of clusters that the pivots leave open and
-        that no link connects yet. Members meet only in the tokens that
-        their clusters share."""
+        that no link connects yet.
+
+        First the members that may link are compared with the other cluster's
+        pivot, one comparison a member; such a link closes the pair of
+        clusters. For the others these answers bound the distances once more:
+        x of A and y of B can link only if x is no further from B's pivot
+        than the threshold and y's own distance from it together."""
+        far = F.lit(self.farthest())
         roots = components(found)
-        ra, rb = (roots.select(F.col("node").alias(s), F.col("root").alias(f"r{s}")) for s in "ab")
+        ra, rb = (roots.select(F.col("node").alias(s), F.col("root").alias(f"root_{s}")) for s in "ab")
         open_pairs = (between.join(ra, "a", "left").join(rb, "b", "left")
-                      .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b", "apart"))
+                      .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "apart", "ra", "rb"))
         open_pairs = materialize(open_pairs, "open")
-        spans = lists.select("token", "cluster")
-        ends = open_pairs.select(F.explode(F.array("a", "b")).alias("cluster")).distinct()
-        spans = spans.join(ends, "cluster", "left_semi")
-        tokens = (spans.withColumnRenamed("cluster", "a").join(spans.withColumnRenamed("cluster", "b"), "token")
-                  .where("a < b").join(open_pairs, ["a", "b"]))
-        left, right = (entries.select("token", F.col("cluster").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "position", "distance"))) for s in "ab")
-        both = tokens.join(left, ["token", "a"]).join(right, ["token", "b"])
-        rest = F.least(F.col("n_a") - F.col("position_a"), F.col("n_b") - F.col("position_b"))
-        pairs = both.where(
-            self.sizes_fit(F.col("n_a"), F.col("n_b")) & (rest * (100 + self.percent) >= self.reach(F.col("n_a"), F.col("n_b")))
-            & (F.col("apart") <= F.col("distance_a") + F.col("distance_b") + (1 - self.percent / 100) + 1e-9))
-        pairs = pairs.select(F.least("sid_a", "sid_b").alias("a"), F.greatest("sid_a", "sid_b").alias("b")).distinct()
-        return self.verify(pairs).where(self.linked()).select("a", "b")
+
+        def against_pivot(own: str, other: str) -> DataFrame:
+            """Members of cluster ``own`` that may link into cluster ``other``."""
+            inside = member.select(F.col("cluster").alias(own), "sid", "distance")
+            near = open_pairs.join(inside, own).where(F.col("apart") - F.col("distance") <= far + F.col(f"r{other}"))
+            return near.select(F.col("sid").alias("a"), F.col(other).alias("b"), F.col(f"r{other}").alias("slack"))
+
+        asked = against_pivot("a", "b").unionByName(against_pivot("b", "a"))
+        asked = asked.groupBy("a", "b").agg(F.max("slack").alias("slack"))
+        answered = self.verify(asked, F.col("slack"))
+        links = answered.where(self.linked()).select("a", "b")
+        of = member.select(F.col("sid").alias("a"), "cluster")
+        closed = links.join(of, "a").select(F.least("cluster", "b").alias("a"), F.greatest("cluster", "b").alias("b")).distinct()
+        left_open = open_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(closed, ["a", "b"], "left_anti")
+
+        x = (answered.where(~self.linked()).join(of, "a")
+             .select(F.col("a").alias("x"), F.col("cluster").alias("a"), "b", self.apart().alias("to_pivot"))
+             .join(left_open, ["a", "b"], "left_semi"))
+        y = member.select(F.col("cluster").alias("b"), F.col("sid").alias("y"), "distance")
+        pairs = x.join(y, "b").where(F.col("to_pivot") <= far + F.col("distance"))
+        pairs = pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+        return links.unionByName(self.verify(pairs).where(self.linked()).select("a", "b"))
 
     def documents(self) -> DataFrame:
         """doc_id, n_shingles, component_id, set_id of every row."""
