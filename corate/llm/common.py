@@ -55,7 +55,8 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     if n <= rows:
         return df
     share = F.pmod(F.xxhash64(F.col(key), F.lit("fit")), F.lit(1_000_000))
-    return df.where(share < F.lit(int(1_000_000 * rows / n))).limit(rows)
+    # the limit makes one partition; dealt out again, tasks share the work
+    return df.where(share < F.lit(int(1_000_000 * rows / n))).limit(rows).repartition(key)
 
 
 def binary_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
