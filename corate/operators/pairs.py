@@ -60,7 +60,11 @@ def _pair_rows(a: DataFrame, b: DataFrame, condition) -> DataFrame:
 
 
 def _plain_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of raters of ordinary items: one join key, ``u < v`` in the join."""
+    """Pairs of raters of ordinary items: one join key, ``u < v`` in the join.
+
+    The rows are dealt to a stated number of partitions: they are few bytes
+    and many pairs, and merged partitions would form the pairs in one task."""
+    rows = spread(rows, ["item_id"])
     a, b = rows.alias("a"), rows.alias("b")
     return _pair_rows(a, b, (F.col("a.item_id") == F.col("b.item_id"))
                       & (F.col("a.user_id") < F.col("b.user_id")))
