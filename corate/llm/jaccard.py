@@ -91,6 +91,12 @@ def parity_bitmap(hashes: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def short_bitmap(hashes: np.ndarray) -> np.ndarray:
+    """The parity bitmap of 1024 bits as 16 longs, for join conditions."""
+    odd = np.bincount((hashes & np.uint64(1023)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def least_difference(a: bytes, b: bytes) -> int:
     """A lower bound of the symmetric difference of two sets."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -158,7 +164,7 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-INDEX = "sid long, n long, tokens array<long>, bitmap binary"
+INDEX = "sid long, n long, tokens array<long>, bitmap binary, bits array<long>"
 
 
 def index_rows(classes, k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -180,8 +186,8 @@ def index_rows(classes, k: int, percent: int) -> Callable[[Iterator[pa.RecordBat
                     hashes, c = sets.of(r), kind[sets.bounds[r] : sets.bounds[r + 1]]
                     # hashes are sorted, so a stable sort by class orders by both
                     prefix = hashes[np.argsort(c, kind="stable")[: prefix_length(n, percent)]]
-                    rows.append((sid, n, prefix.view(np.int64), parity_bitmap(hashes)))
-                yield _batch(INDEX, list(zip(*rows, strict=True)) if rows else [[]] * 4)
+                    rows.append((sid, n, prefix.view(np.int64), parity_bitmap(hashes), short_bitmap(hashes)))
+                yield _batch(INDEX, list(zip(*rows, strict=True)) if rows else [[]] * 5)
     return run
 
 
@@ -282,6 +288,7 @@ class JaccardJoin:
         classes = self.spark.sparkContext.broadcast(frequency_classes(sketch))  # one byte a bucket
         index = materialize(self.texts.mapInArrow(index_rows(classes, words, percent), INDEX), "index")
         self.bitmaps = index.groupBy("sid").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
+        self.bits = index.groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
         entries = index.select("sid", "n", F.posexplode("tokens").alias("position", "token"))
         shared = entries.groupBy("token").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a < b").select("token")
         shared = materialize(entries.join(shared, "token").groupBy("token", "sid").agg(F.first("n").alias("n"), F.first("position").alias("position")), "shared")
@@ -305,6 +312,14 @@ class JaccardJoin:
     def sizes_fit(self, na: Column, nb: Column) -> Column:
         return F.least(na, nb) * 100 >= F.greatest(na, nb) * self.percent
 
+    def may_link(self, a: str, b: str, slack: Column) -> Column:
+        """Whether the short bitmaps leave two sets (columns n and bits with
+        the suffixes) a similarity of percent minus slack; for the condition
+        of a join, so that other pairs are never made."""
+        d = F.aggregate(F.zip_with(f"bits_{a}", f"bits_{b}", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        both = F.col(f"n_{a}") + F.col(f"n_{b}")
+        return 100 * (both - d) >= (self.percent - 100 * slack - 1e-6) * (both + d)
+
     def verify(self, pairs: DataFrame, slack: Column | float = 0.0) -> DataFrame:
         """Exact intersection and union of the pairs (a, b and, if slack
         needs them, more columns) whose similarity may reach percent minus
@@ -399,11 +414,18 @@ class JaccardJoin:
         open_pairs = (between.join(ra, "a", "left").join(rb, "b", "left")
                       .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "apart", "ra", "rb"))
         open_pairs = materialize(open_pairs, "open")
+        ends = open_pairs.select(F.explode(F.array("a", "b")).alias("cluster")).distinct()
+        inside = member.join(ends, "cluster", "left_semi")
+        known = self.bits.join(inside.select("sid").unionByName(ends.withColumnRenamed("cluster", "sid")).distinct(), "sid", "left_semi")
+        known = materialize(known, "bits")
+        inside = materialize(inside.join(known, "sid").select("cluster", "sid", "distance", F.col("n").alias("n_x"), F.col("bits").alias("bits_x")), "inside")
 
         def against_pivot(own: str, other: str) -> DataFrame:
             """Members of cluster ``own`` that may link into cluster ``other``."""
-            inside = member.select(F.col("cluster").alias(own), "sid", "distance")
-            near = open_pairs.join(inside, own).where(F.col("apart") - F.col("distance") <= far + F.col(f"r{other}"))
+            asking = open_pairs.join(known.select(F.col("sid").alias(other), F.col("n").alias("n_y"), F.col("bits").alias("bits_y")), other)
+            slack = F.col(f"r{other}")
+            near = asking.join(inside.withColumnRenamed("cluster", own), own).where(
+                (F.col("apart") - F.col("distance") <= far + slack) & self.may_link("x", "y", slack))
             return near.select(F.col("sid").alias("a"), F.col(other).alias("b"), F.col(f"r{other}").alias("slack"))
 
         asked = against_pivot("a", "b").unionByName(against_pivot("b", "a"))
@@ -414,11 +436,12 @@ class JaccardJoin:
         closed = links.join(of, "a").select(F.least("cluster", "b").alias("a"), F.greatest("cluster", "b").alias("b")).distinct()
         left_open = open_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(closed, ["a", "b"], "left_anti")
 
-        x = (answered.where(~self.linked()).join(of, "a")
-             .select(F.col("a").alias("x"), F.col("cluster").alias("a"), "b", self.apart().alias("to_pivot"))
+        x = (answered.where(~self.linked()).withColumn("to_pivot", self.apart())
+             .join(inside.select(F.col("sid").alias("a"), "cluster", "n_x", "bits_x"), "a")
+             .select(F.col("a").alias("x"), F.col("cluster").alias("a"), "b", "to_pivot", "n_x", "bits_x")
              .join(left_open, ["a", "b"], "left_semi"))
-        y = member.select(F.col("cluster").alias("b"), F.col("sid").alias("y"), "distance")
-        pairs = x.join(y, "b").where(F.col("to_pivot") <= far + F.col("distance"))
+        y = inside.select(F.col("cluster").alias("b"), F.col("sid").alias("y"), "distance", F.col("n_x").alias("n_y"), F.col("bits_x").alias("bits_y"))
+        pairs = x.join(y, "b").where((F.col("to_pivot") <= far + F.col("distance")) & self.may_link("x", "y", F.lit(0.0)))
         pairs = pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
         return links.unionByName(self.verify(pairs).where(self.linked()).select("a", "b"))
 
