@@ -54,8 +54,8 @@ class WordTokenizer:
     LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
     PUNCTUATION = r"!-/:-@\[-`{-~"
     ODD = re.compile(f"[^0-9{LETTERS}{PUNCTUATION} \n]|<\\|(?:start|end)oftext\\|>")
-    # Endings that the tokenizer cuts off first.
-    PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[{PUNCTUATION}]+")
+    # The endings that the tokenizer cuts off first.
+    PARTS = re.compile(f"[{LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[{PUNCTUATION}]+")
     SUFFIX = "</w>"
 
     def __init__(self, definition: str):
@@ -68,13 +68,18 @@ class WordTokenizer:
         self.ends[[i for t, i in vocab.items() if t.endswith(self.SUFFIX)]] = True
         self.ids: dict[str, bytes] = {}
 
-    def parts(self, text: str) -> list[str]:
-        """What a slice of text is cut into; odd chunks stay whole."""
+    def parts(self, text: str, odd: set[str]) -> list[str]:
+        """What a slice of text is cut into; odd chunks stay whole and are
+        added to ``odd``."""
         if not self.ODD.search(text):
             return self.PARTS.findall(text.lower())
         out = []
         for chunk in text.replace("\n", " ").split(" "):
-            out += [chunk] if self.ODD.search(chunk) else self.PARTS.findall(chunk.lower())
+            if self.ODD.search(chunk):
+                odd.add(chunk)
+                out.append(chunk)
+            else:
+                out += self.PARTS.findall(chunk.lower())
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -83,18 +88,18 @@ class WordTokenizer:
         return self._encode(texts)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.parts(t) for t in texts]
+        odd: set[str] = set()
+        cut = [self.parts(t, odd) for t in texts]
         if len(self.ids) > CACHE_ENTRIES:
             self.ids = {}
-        self._learn(set().union(*cut).difference(self.ids))
+        missing = set().union(*cut).difference(self.ids)
+        self._learn(list(missing.difference(odd)), list(missing.intersection(odd)))
         get = self.ids.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
-    def _learn(self, parts: set[str]) -> None:
+    def _learn(self, plain: list[str], odd: list[str]) -> None:
         """Encode many parts as one text: each is one pre-token, whose last
         token has the word-end mark. Odd chunks are encoded one by one."""
-        plain = [p for p in parts if not self.ODD.search(p)]
-        odd = list(parts.difference(plain))
         texts = [plain[i : i + 400] for i in range(0, len(plain), 400)]
         for part, e in zip(texts, self.tokenizer.encode_batch_fast([" ".join(t) for t in texts], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, "<u4")
