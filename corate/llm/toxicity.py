@@ -138,9 +138,12 @@ class ToxicityModel:
         return out[::-1]
 
     def summary(self, n_words: int, marginals: list[float]) -> tuple[float, float, float]:
-        """What the document score is made of."""
-        total = sum(marginals)
-        return max(marginals, default=0.0), np.log1p(total), total / np.sqrt(n_words + 20.0)
+        """What the document score is made of: the evidence -log(1 - p) of
+        the surest word, that of all (together: that some word is toxic),
+        and that of all for the length."""
+        evidence = [-np.log1p(-min(p, 0.9999)) for p in marginals]
+        total = sum(evidence)
+        return max(evidence, default=0.0), np.log1p(total), total / np.sqrt(n_words + 20.0)
 
     def score(self, n_words: int, marginals: list[float]) -> float:
         if self.calibration is None:

@@ -59,7 +59,7 @@ def near_copies(seed, groups, copies, words):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "k", "percent"), [(1, 4, 85), (2, 5, 80), (3, 2, 60)])
+@pytest.mark.parametrize(("seed", "k", "percent"), [(1, 4, 85), (3, 2, 60)])
 def test_components_equal_brute_force(docs_df, seed, k, percent):
     rows = near_copies(seed, 25, 12, 120)
     got = jaccard.similar_components(docs_df(rows), k, percent).select("doc_id", "n_shingles", "component_id").collect()
