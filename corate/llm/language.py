@@ -23,14 +23,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled text of one language: rows at most, bytes of the longest row
-#: that is taken, and bytes of the automaton's text at most.
+from corate.llm.common import binary_texts
+
+#: Labelled text of one language: bytes of the automaton's text at most, rows
+#: that share them at least (where there are so many), and bytes of a slice.
 FIT_ROWS = 60
-FIT_ROW_BYTES = 1 << 16
 FIT_BYTES = 24_000
+FIT_SLICE = FIT_BYTES // FIT_ROWS
+#: Parts in which a language's slices are merged before they meet.
+FIT_PARTS = 16
 #: Bytes of a lane, and lanes' bytes of a block.
 LANE = 2048
 BLOCK = 6 << 20
@@ -142,7 +146,7 @@ class LanguageModel:
         bits = self.phrases(raw) * self.pointer_bits / np.maximum(1, [len(r) for r in raw])[:, None]
         names, scores = [], []
         for text, b in zip(texts, bits, strict=True):
-            if not text or not self.languages or not any(m.group().isalpha() for m in LETTER.finditer(text)):
+            if not text or not self.languages or not has_letter(text):
                 names.append("und")
                 scores.append(0.0)
                 continue
@@ -152,18 +156,98 @@ class LanguageModel:
         return names, scores
 
 
-def fit_languages(docs: DataFrame, rows: int = FIT_ROWS) -> LanguageModel:
-    """Learn from text and lang of ``docs``: of each language the ``rows``
-    rows with the smallest hash, as far as FIT_BYTES go. Rows of more than
-    FIT_ROW_BYTES are left out of the fit."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.octet_length("text") <= FIT_ROW_BYTES))
-    chosen = (usable.select("lang", "text", F.xxhash64("doc_id", F.lit("lang")).alias("h"))
-              .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("r") <= rows))
+FITTED = "lang string, turn int, h long, slice string"
+
+
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in LETTER.finditer(text))
+
+
+class Slices:
+    """Of each language the slices with the smallest (turn, hash) that fill
+    FIT_BYTES; equal slices count once. Merging such fillings gives the
+    filling of all their rows, however the rows were dealt out."""
+
+    def __init__(self):
+        self.kept: dict[str, list[tuple[int, int, str]]] = {}
+        self.size: dict[str, int] = {}
+        self.last: dict[str, tuple[int, int]] = {}
+
+    def wants(self, lang: str, turn: int, h: int) -> bool:
+        return lang not in self.last or (turn, h) <= self.last[lang]
+
+    def add(self, lang: str, turn: int, h: int, text: str) -> None:
+        self.kept.setdefault(lang, []).append((turn, h, text))
+        self.size[lang] = self.size.get(lang, 0) + len(text.encode()) + 1
+        if self.size[lang] > 4 * FIT_BYTES:
+            self.shrink(lang)
+
+    def shrink(self, lang: str) -> None:
+        keep, seen, size = [], set(), 0
+        for turn, h, text in sorted(self.kept[lang]):
+            if text not in seen:
+                seen.add(text)
+                keep.append((turn, h, text))
+                size += len(text.encode()) + 1
+                if size >= FIT_BYTES:
+                    self.last[lang] = (turn, h)
+                    break
+        self.kept[lang], self.size[lang] = keep, size
+
+    def batch(self) -> pa.RecordBatch:
+        for lang in self.kept:
+            self.shrink(lang)
+        rows = [(lang, *x) for lang, kept in self.kept.items() for x in kept]
+        types = (pa.string(), pa.int32(), pa.int64(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, types, strict=True)], ["lang", "turn", "h", "slice"])
+
+
+def cut_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of rows (lang, h, text), anywhere in the text: the hash says
+    where a row's first slice lies, and further turns go evenly round the
+    text. A row that offers no letter in its turns gives its first letter."""
+    out = Slices()
+    for batch in batches:
+        for lang, h, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), binary_texts(batch.column(2)), strict=True):
+            cells = -(-len(raw) // FIT_SLICE)
+            turns, lettered = min(cells, FIT_ROWS), False
+            for turn in range(turns):
+                if not out.wants(lang, turn, h):
+                    break
+                at = (h + turn * (cells // turns)) % cells * FIT_SLICE
+                piece = raw[at : at + FIT_SLICE].decode(errors="ignore")
+                if has_letter(piece):
+                    lettered = True
+                    out.add(lang, turn, h, piece)
+            else:
+                if not lettered:
+                    text = raw.decode()
+                    at = next((m.start() for m in LETTER.finditer(text) if m.group().isalpha()), None)
+                    if at is not None:
+                        out.add(lang, turns, h, text[at : at + FIT_SLICE].encode()[:FIT_SLICE].decode(errors="ignore"))
+    yield out.batch()
+
+
+def merge_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    out = Slices()
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            if out.wants(*row[:3]):
+                out.add(*row)
+    yield out.batch()
+
+
+def fit_languages(docs: DataFrame) -> LanguageModel:
+    """Learn from text and lang of ``docs``: of each language slices of
+    FIT_SLICE bytes, chosen by hash, until FIT_BYTES are full. Every row
+    gives its first slice before any gives a second; a row of any length
+    takes part, and every language with a labelled row has a model."""
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    slices = usable.select("lang", F.xxhash64("doc_id", "text", F.lit("lang")).alias("h"), "text").mapInArrow(cut_slices, FITTED)
+    merged = slices.repartition("lang", F.pmod("h", F.lit(FIT_PARTS))).mapInArrow(merge_slices, FITTED)
     texts: dict[str, list[str]] = {}
-    for r in chosen.orderBy("lang", "r").collect():
-        have = texts.setdefault(r.lang, [])
-        if sum(map(len, have)) < FIT_BYTES and r.text not in have:
-            have.append(r.text)
+    for r in sorted(merged.repartition("lang").mapInArrow(merge_slices, FITTED).collect()):
+        texts.setdefault(r.lang, []).append(r.slice)
     return LanguageModel({k: "\n".join(v) for k, v in texts.items()})
 
 

@@ -68,6 +68,31 @@ def test_fit_from_labelled_rows(docs_df, odd_docs):
     assert language.identify(odd_docs, model).count() == odd_docs.count()
 
 
+def test_long_rows_are_learned_from(docs_df):
+    """A language of long rows only has a model, and no row fills it alone."""
+    def long(k, i):
+        return f"{k}{i} " + (TEXTS[k] + " ") * 1500
+
+    rows = [(i, long(k, i), k) for i, k in enumerate(["de", "fr"] * 3)] + [(9, TEXTS["en"], "en"), (None, "1 " * 200_000 + "\u00e9t\u00e9", "xx")]
+    model = language.fit_languages(docs_df(rows))
+    assert model.languages == ["de", "en", "fr", "xx"]
+    docs = docs_df([(1, TEXTS["de"]), (2, TEXTS["fr"]), (3, TEXTS["en"])])
+    assert [r.lang_pred for r in language.identify(docs, model).orderBy("doc_id").collect()] == ["de", "fr", "en"]
+
+
+def test_many_rows_share_the_fit_wherever_they_are_cut(docs_df):
+    """Rows of 30 KB: each of 60 gives a slice, whatever the partitions."""
+    rows = [(i, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}q{chr(97 + j % 26)}" for j in range(6000)), "aa") for i in range(60)]
+    docs = docs_df(rows)
+    model = language.fit_languages(docs)
+    again = language.fit_languages(docs.repartition(7))
+    assert model.table.tolist() == again.table.tolist()
+    # the words of a row are known where it gave a slice
+    parts = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}q".encode() for i in range(60)]
+    known = sum(int(model.phrases([p])[0][0]) == 1 for p in parts)
+    assert known >= 55
+
+
 def test_nothing_learned(docs_df):
     model = language.fit_languages(docs_df([(1, "text", None)]))
     assert [r.lang_pred for r in language.identify(docs_df([(1, "text")]), model).collect()] == ["und"]
