@@ -1,10 +1,12 @@
 """Secret scans: fixed rules plus a pair of character Markov models.
 
-The rules give the base spans. The method adds spans: every long run of
-token characters that no rule covers is scored by two first-order Markov
+The rules give the base spans. The method adds spans: what the rules leave
+of every long run of token characters is scored by two first-order Markov
 models, one of random strings and one of ordinary identifiers, and is
-reported when the log-likelihood ratio speaks for a random string. The
-models are trained from labelled samples ``(token, label)``.
+reported when the log-likelihood ratio speaks for a random string. Without
+a digit the ratio must be stricter; without a letter it is a number or a
+line and is left alone. The models are trained from labelled samples
+``(token, label)``.
 
 Defined results: NULL or empty text has no spans; a run is never cut, so a
 very long token is one span; spans of the method never overlap base spans;
@@ -14,6 +16,7 @@ model is uniform, with no labelled identifiers that model is uniform.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -40,6 +43,10 @@ TOKEN_CHARS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.ASCII)
 LEAST_RATIO = 8.0
 LEAST_RATIO_PER_CHAR = 0.25
+#: The same for runs without a digit, which words may be: over their distinct
+#: transitions, of which a letter or syllable repeated has few.
+LEAST_TRANSITIONS = 8
+LEAST_RATIO_PER_TRANSITION = 1.0
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{5,}", re.ASCII)
 
 #: Documents from which the labelled samples are drawn.
@@ -69,12 +76,13 @@ class MarkovPair:
 
     @classmethod
     def from_counts(cls, random: dict[tuple[int, int], int], ordinary: dict[tuple[int, int], int]) -> MarkovPair:
-        """Each row of transitions is smoothed by one count in all; with no
-        counts it is uniform. State 0 is the start."""
+        """Each transition is smoothed, that of random strings by a whole
+        count: labelled ones are few, and what they happen not to hold is no
+        less random. With no counts it is uniform. State 0 is the start."""
         n = len(TOKEN_CHARS) + 1
         logs = []
-        for counts in (random, ordinary):
-            table = np.full((n, n), 0.05)
+        for counts, least in ((random, 1.0), (ordinary, 0.05)):
+            table = np.full((n, n), least)
             for (a, b), c in counts.items():
                 table[a, b] += c
             logs.append(np.log(table[:, 1:] / table[:, 1:].sum(axis=1, keepdims=True)))
@@ -89,12 +97,15 @@ class MarkovPair:
         return total
 
     def is_secret(self, token: str) -> bool:
-        """Only runs that mix letters and digits can be random strings;
-        numbers and plain words are left alone."""
-        if token.isalpha() or not any(c.isdigit() for c in token) or not any(c.isalpha() for c in token):
+        """The models decide; only numbers and lines, which hold no letter
+        and of which neither model knows anything, are left alone."""
+        if not any(c.isalpha() for c in token):
             return False
-        s = self.score(token)
-        return s >= max(LEAST_RATIO, LEAST_RATIO_PER_CHAR * len(token))
+        if any(c.isdigit() for c in token):
+            return self.score(token) >= max(LEAST_RATIO, LEAST_RATIO_PER_CHAR * len(token))
+        codes = [0, *(self.code[c] for c in token)]
+        once = set(itertools.pairwise(codes))
+        return len(once) >= LEAST_TRANSITIONS and sum(self.ratio[a][b] for a, b in sorted(once)) >= LEAST_RATIO_PER_TRANSITION * len(once)
 
 
 def labelled_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,9 +157,19 @@ def all_spans(text: str, raw: bytes, model: MarkovPair) -> list[tuple[int, int,
     """Base spans and the method's, sorted by start, then kind."""
     base = base_spans(text, raw)
     extra = []
+    first = 0
     for m in CANDIDATE.finditer(text):
-        if model.is_secret(m.group()) and not any(s < m.end() and m.start() < e for s, _, e in base):
-            extra.append((m.start(), 3, m.end()))
+        at, end = m.span()
+        # base spans are sorted by start; a span may reach over several runs
+        while first < len(base) and base[first][2] <= at:
+            first += 1
+        for start, _, stop in itertools.chain(itertools.islice(base, first, None), [(end, 0, end)]):
+            start = min(start, end)
+            if at < start and model.is_secret(text[at:start]):
+                extra.append((at, 3, start))
+            at = max(at, stop)
+            if start == end:
+                break
     return sorted(base + extra) if extra else base
 
 
