@@ -3,9 +3,12 @@
 A task hashes every rolling window of K words of its texts. Spark joins the
 hashes to the templates' window positions. A hit at document word i and
 template word j lies on diagonal i - j; hits are counted per (row, template,
-diagonal), neighbouring diagonals are merged (words may be missing or
-added), and a merged run is verified: its hits must cover enough of the
-template. The verified template's label is the method's label.
+diagonal), and neighbouring diagonals are merged (words may be missing or
+added). One hit makes a candidate. It is verified word by word: the words of
+the template that stand in order in the document there must be enough of it,
+and always are if only one is missing, added or replaced. The verified
+template's label is the method's label. A template of fewer than 2 K words
+votes with its first and last half, of which one edit leaves one.
 
 Windows whose hash is in no template cannot join; a bitmap of the template
 hashes drops them before the shuffle, as a runtime filter does. It only
@@ -18,6 +21,8 @@ repeated doc_ids stay apart (a row number is carried through the join).
 
 from __future__ import annotations
 
+import bisect
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,10 +37,12 @@ from corate.llm.common import Words, binary_texts, blocks
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
 #: Words of one window, tolerance between merged diagonals, and the share of
-#: a template's windows that must be hit.
+#: a template's windows that the words aligned in one piece would hit.
 K = 4
 NEIGHBOUR = 3
 VERIFY_SHARE = 0.6
+#: What a document word between two aligned ones costs.
+EXTRA_WORD = 0.5
 
 # Notices as their licenses prescribe them.
 TEMPLATES = {
@@ -54,6 +61,13 @@ TEMPLATES = {
     "unlicense": "This is free and unencumbered software released into the public domain",
 }
 
+# The word by which a template names its license. Without it
+# the text is plain prose or another template's, or, if one of the other names
+# stands there, another license's.
+NAMES = {"apache-2.0": "apache", "mit-reference": "mit", "lgpl-notice": "lesser", "cc-by-sa-4.0": "sharealike", "mpl-2.0": "mozilla"}
+NAMED_ONLY = {"mit-reference", "lgpl-notice", "cc-by-sa-4.0"}
+OTHER_NAMES = ("apache", "mit", "bsd", "gnu", "gpl", "lgpl", "agpl", "mozilla", "mpl", "eclipse", "educational", "academic", "artistic", "microsoft", "netscape", "php", "zope")
+
 #: Word bytes after lower-casing: digits, a-z and all bytes of other letters.
 _SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 _TO_SPACE = bytes(0x20 if c in _SEPARATORS else c for c in range(256))
@@ -66,18 +80,79 @@ def normalise(text: bytes) -> bytes:
     return text.lower().translate(_TO_SPACE)
 
 
+def template_words(text: str) -> list[str]:
+    return normalise(text.encode()).decode().split()
+
+
 def template_windows(templates: dict[str, str] = TEMPLATES, k: int = K) -> list[tuple[str, int, int, int]]:
-    """(label, position, hash, windows of the template); a template shorter
-    than k words is rejected."""
+    """(label, position, hash, windows of the template, 0 if they don't cover
+    it); a template shorter than k words is rejected."""
     rows = []
     for label, text in templates.items():
-        grams, at = Words([normalise(text.encode())], WORD).grams(k)
-        if not len(grams):
+        words = Words([normalise(text.encode())], WORD)
+        n = len(words.hash)
+        if n < k:
             raise ValueError(f"template {label} has fewer than {k} words")
-        rows += [(label, int(i), int(h), len(grams)) for i, h in zip(at, grams.view(np.int64), strict=True)]
+        grams, at = words.grams(k if n >= 2 * k else n // 2)
+        if n >= 2 * k:
+            rows += [(label, int(i), int(h), len(grams)) for i, h in zip(at, grams.view(np.int64), strict=True)]
+        else:
+            rows += [(label, int(at[i]), int(grams[i : i + 1].view(np.int64)[0]), 0) for i in sorted({0, len(grams) - 1})]
     return rows
 
 
+def window_sizes(templates: dict[str, str], k: int = K) -> list[int]:
+    """Words of the windows that the templates vote with."""
+    sizes = [len(template_words(t)) for t in templates.values()]
+    return sorted({k if n >= 2 * k else n // 2 for n in sizes})
+
+
+def vocabulary(templates: dict[str, str]) -> dict[int, str]:
+    """The words that verification looks at, by their hashes."""
+    words = sorted({w for t in templates.values() for w in template_words(t)} | set(OTHER_NAMES))
+    return dict(zip(Words([" ".join(words).encode()], WORD).hash.view(np.int64).tolist(), words, strict=True))
+
+
+class Aligner:
+    """Word-level comparison of one template with a piece of a document."""
+
+    def __init__(self, label: str, text: str, k: int = K, share: float = VERIFY_SHARE):
+        self.words = template_words(text)
+        self.places: dict[str, list[int]] = {}
+        for j, w in enumerate(self.words):
+            self.places.setdefault(w, []).insert(0, j)
+        n = len(self.words)
+        self.need = min(n - 1, math.ceil(share * (n - k + 1) + k - 1 - 1e-9))
+        self.name, self.named_only = NAMES.get(label), label in NAMED_ONLY
+        self.others = set(OTHER_NAMES) - set(self.words)
+
+    def share(self, at: list[int], words: list[str]) -> float:
+        """The largest share of template words that stand in order in a dense
+        piece of the document, given by its known words' places; 0 if it is
+        not enough. Chains of aligned words are extended word by word."""
+        best = 0.0
+        # by last template word: value plus cost up to here, words, first place
+        chains: list[tuple[float, int, int]] = [(-math.inf, 0, 0)] * len(self.words)
+        for i, (p, w) in enumerate(zip(at, words, strict=True)):
+            for j in self.places.get(w, ()):
+                value, n, first = chains[j - 1] if j else (-math.inf, 0, 0)
+                value -= EXTRA_WORD * p
+                value, n, first = (value + 1, n + 1, first) if value > 0 else (1.0, 1, p)
+                entry = (value + EXTRA_WORD * (p + 1), n, first)
+                for t in range(j, len(chains)):
+                    if chains[t] >= entry:
+                        break
+                    chains[t] = entry
+                if n >= self.need and n > best * len(self.words) and 2 * n >= p - first + 1 and self.right_name(words[bisect.bisect_left(at, first) : i + 1]):
+                    best = n / len(self.words)
+        return best
+
+    def right_name(self, words: list[str]) -> bool:
+        if self.name is None or self.name in words:
+            return True
+        return not self.named_only and self.others.isdisjoint(words)
+
+
 def bitmap(hashes: list[int]) -> np.ndarray:
     bits = np.zeros(1 << BITMAP_BITS, bool)
     bits[np.array(hashes, np.int64).view(np.uint64) >> np.uint64(64 - BITMAP_BITS)] = True
@@ -97,11 +172,12 @@ def phrase_places(text: bytes) -> list[tuple[int, str]]:
     return places
 
 
-SCANNED = "row_id string, doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, hashes array<long>, at array<long>"
+SCANNED = "row_id string, doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, hashes array<long>, at array<long>, words array<long>, words_at array<long>"
 
 
-def scan(bits: np.ndarray, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Base results of every row, with the windows that may match a template."""
+def scan(bits: np.ndarray, sizes: list[int], known: np.ndarray, reach: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Base results of every row, with the windows that may match a template
+    and the ``known`` words within ``reach`` words of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -110,11 +186,22 @@ def scan(bits: np.ndarray, k: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
             texts = [normalise(t) for t in binary_texts(batch.column(1))]
             for a, b in blocks(texts):
                 words = Words(texts[a:b], WORD)
-                grams, at = words.grams(k)
-                hit = np.flatnonzero(bits[grams >> np.uint64(64 - BITMAP_BITS)])
-                grams, at = grams[hit].view(np.int64), at[hit]
+                hits = []
+                for k in sizes:
+                    grams, at = words.grams(k)
+                    hit = np.flatnonzero(bits[grams >> np.uint64(64 - BITMAP_BITS)])
+                    hits.append((grams[hit].view(np.int64), at[hit]))
+                grams, at = (np.concatenate(x) for x in zip(*hits, strict=True))
+                order = np.argsort(at, kind="stable")
+                grams, at = grams[order], at[order]
                 row = np.searchsorted(words.first, at, side="right") - 1
                 bounds = np.searchsorted(row, np.arange(b - a + 1))
+                near = np.zeros(len(words.hash) + 1, np.int64)
+                np.add.at(near, np.maximum(at - reach, words.first[row]), 1)
+                np.add.at(near, np.minimum(at + reach, words.first[row + 1]), -1)
+                place = np.flatnonzero(np.cumsum(near)[:-1] > 0)
+                place = place[np.isin(words.hash[place].view(np.int64), known)]
+                word_bounds = np.searchsorted(place, words.first)
                 base = [phrase_places(t) for t in texts[a:b]]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([f"{task}-{number + i}" for i in range(b - a)]),
@@ -126,13 +213,17 @@ def scan(bits: np.ndarray, k: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
                     pa.array([sorted({y for _, y in x}) for x in base], pa.list_(pa.string())),
                     pa.array([grams[s:e] for s, e in zip(bounds, bounds[1:], strict=False)], pa.list_(pa.int64())),
                     pa.array([at[s:e] - words.first[i] for i, (s, e) in enumerate(zip(bounds, bounds[1:], strict=False))], pa.list_(pa.int64())),
+                    pa.array([words.hash[place[s:e]].view(np.int64) for s, e in zip(word_bounds, word_bounds[1:], strict=False)], pa.list_(pa.int64())),
+                    pa.array([place[s:e] - words.first[i] for i, (s, e) in enumerate(zip(word_bounds, word_bounds[1:], strict=False))], pa.list_(pa.int64())),
                 ], [f.split()[0] for f in SCANNED.split(", ")])
                 number += b - a
     return run
 
 
-def diagonal_spans(scanned: DataFrame, templates: DataFrame, neighbour: int = NEIGHBOUR, share: float = VERIFY_SHARE) -> DataFrame:
-    """Verified template spans: row_id, label, first_at, last_at, score.
+def candidate_spans(scanned: DataFrame, templates: DataFrame, neighbour: int = NEIGHBOUR) -> DataFrame:
+    """Candidates of each row: row_id and an array of (label, whole, spans),
+    spans being the least and largest merged diagonal; whole says that all
+    windows of the template were hit on one diagonal.
 
     ``scanned`` holds row_id and the arrays hashes and at; ``templates`` has
     label, position, hash and windows. Votes are counted per diagonal first,
@@ -140,29 +231,57 @@ def diagonal_spans(scanned: DataFrame, templates: DataFrame, neighbour: int = NE
     hits = scanned.select("row_id", F.explode(F.arrays_zip("hashes", "at")).alias("h")).select("row_id", F.col("h.hashes").alias("hash"), F.col("h.at").alias("at"))
     votes = (hits.join(templates, "hash")
              .groupBy("row_id", "label", "windows", (F.col("at") - F.col("position")).alias("diagonal"))
-             .agg(F.count("*").alias("hits"), F.min("at").alias("first_at"), F.max("at").alias("last_at")))
+             .agg(F.count("*").alias("hits")))
     by = Window.partitionBy("row_id", "label").orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(by)
     runs = votes.withColumn("run", F.sum(F.when(gap <= neighbour, 0).otherwise(1)).over(by))
-    merged = runs.groupBy("row_id", "label", "windows", "run").agg(F.sum("hits").alias("hits"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
-    score = F.least(F.lit(1.0), F.col("hits") / F.col("windows"))
-    # verification: enough of the template's windows, on a span of its size
-    dense = F.col("hits") * 2 >= F.col("last_at") - F.col("first_at") + 1
-    return merged.where((score >= share) & dense).select("row_id", "label", "first_at", "last_at", score.alias("score"))
+    merged = runs.groupBy("row_id", "label", "run").agg(F.max(F.col("hits") == F.col("windows")).alias("whole"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
+    labels = merged.groupBy("row_id", "label").agg(F.max("whole").alias("whole"), F.collect_list(F.struct("low", "high")).alias("spans"))
+    return labels.groupBy("row_id").agg(F.collect_list(F.struct("label", "whole", "spans")).alias("candidates"))
+
+
+VERIFIED = "row_id string, found array<string>, best double"
+
+
+def verify(templates: dict[str, str], k: int = K, slack: int = NEIGHBOUR) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Labels of the candidates (row_id, words, words_at, candidates) whose
+    words align with their template, and the best share."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = vocabulary(templates)
+        aligners = {label: Aligner(label, text, k) for label, text in templates.items()}
+        for batch in batches:
+            found, best = [], []
+            for hashes, at, candidates in zip(*(batch.column(i).to_pylist() for i in range(1, 4)), strict=True):
+                words, shares = [names[h] for h in hashes], {}
+                for c in candidates:
+                    label = c["label"]
+                    if c["whole"]:
+                        shares[label] = 1.0
+                        continue
+                    aligner, n = aligners[label], len(aligners[label].words)
+                    for span in c["spans"]:
+                        a, b = bisect.bisect_left(at, span["low"] - n), bisect.bisect_left(at, span["high"] + 2 * n + slack)
+                        shares[label] = max(shares.get(label, 0.0), aligner.share(at[a:b], words[a:b]))
+                found.append(sorted(label for label, share in shares.items() if share > 0))
+                best.append(max(shares.values(), default=0.0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string())), pa.array(best, pa.float64())], ["row_id", "found", "best"])
+    return run
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, k: int = K) -> DataFrame:
     """Per row: base columns, base_labels, labels and score (the best share
-    of a verified template, 1 for a base phrase, else 0)."""
+    of a verified template's words, 1 for a base phrase, else 0)."""
     spark: SparkSession = docs.sparkSession
     rows = template_windows(templates, k)
     table = spark.createDataFrame(rows, "label string, position long, hash long, windows long")
     rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # two branches read it; it holds no texts
-    scanned = materialize(rows_in.mapInArrow(scan(bitmap([r[2] for r in rows]), k), SCANNED), "license-scan")
-    found = diagonal_spans(scanned.where(F.size("hashes") > 0), table)
-    labels = found.groupBy("row_id").agg(F.collect_set("label").alias("found"), F.max("score").alias("best"))
-    joined = scanned.drop("hashes", "at").join(labels, "row_id", "left")
+    known = np.array(list(vocabulary(templates)), np.int64)
+    reach = 2 * max(len(template_words(t)) for t in templates.values()) + NEIGHBOUR
+    # two branches read it; of texts it holds the known words near hits
+    scanned = materialize(rows_in.mapInArrow(scan(bitmap([r[2] for r in rows]), window_sizes(templates, k), known, reach), SCANNED), "license-scan")
+    hit = scanned.where(F.size("hashes") > 0)
+    labels = hit.select("row_id", "words", "words_at").join(candidate_spans(hit, table), "row_id").mapInArrow(verify(templates, k), VERIFIED)
+    joined = scanned.select("row_id", "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").join(labels, "row_id", "left")
     every = F.array_sort(F.array_union("base_labels", F.coalesce("found", F.array().cast("array<string>"))))
     return joined.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",

@@ -42,5 +42,34 @@ def test_templates_are_found_with_words_missing_and_added(docs_df, label):
     assert got == [(1, True), (1, True), (2, False), (3, False), *([(4, True)] if len(words) > 10 else [])]
 
 
+def edits(label):
+    """The template with one word added, missing and replaced, anywhere. The
+    name stays where without it the text is prose or another template."""
+    words = licenses.template_words(licenses.TEMPLATES[label])
+    for i in range(len(words)):
+        yield [*words[:i], "extra", *words[i:]]
+        if not (label in licenses.NAMED_ONLY and words[i] == licenses.NAMES[label]):
+            yield [*words[:i], *words[i + 1 :]]
+            yield [*words[:i], "other", *words[i + 1 :]]
+
+
+def test_every_template_with_one_word_edited(docs_df):
+    cases = [(label, " ".join(["n1", "n2", *e, "n3"])) for label in licenses.TEMPLATES for e in edits(label)]
+    got = {r.doc_id: r for r in licenses.license_scan(docs_df([(i, text) for i, (_, text) in enumerate(cases)])).collect()}
+    assert [c for i, c in enumerate(cases) if c[0] not in got[i].labels.split(",")] == []
+    assert all(0 < r.score <= 1 for r in got.values())
+
+
+def test_short_templates(docs_df):
+    texts = {
+        "Licensed under the Apache License 2.0": "apache-2.0", "x Released under MIT License.": "mit-reference", "released under the MIT": "mit-reference",
+        "Released under the BSD License": "", "Released under the License": "", "Licensed under the Eclipse License, Version 2.0": "",
+        "licensed under the": "", "the MIT License": "", "released under x x x x x x x the MIT License": "",
+        "released under the released under the released under the MIT licence": "mit-reference",
+    }
+    got = {r.doc_id: r.labels for r in licenses.license_scan(docs_df(list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_empty_table(docs_df):
     assert licenses.license_scan(docs_df([(1, "cc by")]).where("false")).count() == 0
