@@ -38,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corate.config import materialize
 from corate.llm.common import BLANKS, Words, binary_texts, blocks, byte_table, mix64
@@ -445,16 +446,27 @@ class JaccardJoin:
         pairs = pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
         return links.unionByName(self.verify(pairs).where(self.linked()).select("a", "b"))
 
+    def labelled_sets(self) -> DataFrame:
+        """Every set (sid) with its component's root and the smallest doc_id
+        of its rows (NULL if all are)."""
+        sets = self.rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first"))
+        roots = components(self.links())
+        return sets.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+
     def documents(self) -> DataFrame:
         """doc_id, n_shingles, component_id, set_id of every row."""
-        sets = self.rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-        roots = components(self.links())
-        labelled = sets.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        labelled = self.labelled_sets()
         smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
         of_set = labelled.join(smallest, "root").select("sid", "component_id")
         joined = self.rows.join(of_set, "sid", "left")
         return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.col("sid").alias("set_id"))
 
+    def survivors(self) -> DataFrame:
+        """One (doc_id, sid) of each component: the smallest doc_id, NULL
+        last; of its sets the smallest id."""
+        smallest = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "sid")).alias("m")
+        return self.labelled_sets().groupBy("root").agg(smallest).select(F.col("m.first").alias("doc_id"), F.col("m.sid").alias("sid"))
+
 
 def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Every row's set size, component (smallest doc_id that links reach) and
@@ -462,9 +474,35 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     return JaccardJoin(docs, words, percent).documents()
 
 
+def with_set_ids(k: int, text: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows with the id of their set, NULL without shingles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, ids = binary_texts(batch.column(text)), []
+            for a, b in blocks(texts):
+                sets = ShingleSets(texts[a:b], k)
+                ids.append(pa.array(sets.ids(), mask=sets.size == 0))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.concat_arrays(ids) if ids else pa.array([], pa.int64())], [*batch.schema.names, "__sid"])
+    return run
+
+
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` (all columns) with one row of each component: the smallest
-    doc_id. Rows without shingles stay. Needs unique doc_ids."""
-    found = similar_components(docs, words, percent)
-    gone = found.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    doc_id, NULL last. Rows without shingles stay. Rows are told apart by
+    doc_id and set id, so repeated and NULL doc_ids may hold any texts; of
+    rows equal in both the one with the smallest text stays."""
+    join = JaccardJoin(docs, words, percent)
+    one = materialize(join.survivors(), "survivors")
+    same = F.col("r.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("r.sid") == F.col("s.sid"))
+    pairs = join.rows.where("n > 0").groupBy("doc_id", "sid").agg(F.count("*").alias("copies")).alias("r")
+    gone = pairs.join(one.alias("s"), same, "left_anti").select(F.col("doc_id").alias("__doc"), F.col("sid").alias("__set"))
+    copied = materialize(pairs.where("copies > 1").join(one.alias("s"), same, "left_semi").select(F.col("doc_id").alias("__doc"), F.col("sid").alias("__set")), "copied")
+    schema = T.StructType([*docs.schema.fields, T.StructField("__sid", T.LongType())])
+    rows = docs.mapInArrow(with_set_ids(words, docs.columns.index("text")), schema)
+    here = (F.col("__sid") == F.col("__set")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__doc"))
+    kept = rows.join(gone, here, "left_anti")
+    if copied.isEmpty():
+        return kept.select(*docs.columns)
+    by = Window.partitionBy("doc_id", "__sid").orderBy("text")
+    first = rows.join(copied, here, "left_semi").withColumn("__n", F.row_number().over(by)).where("__n = 1")
+    return kept.join(copied, here, "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))

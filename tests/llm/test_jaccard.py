@@ -88,6 +88,24 @@ def test_keep_one_and_empty_table(odd_docs):
     assert jaccard.similar_components(odd_docs.where("false")).count() == 0
 
 
+def test_keep_one_with_null_and_repeated_ids(docs_df):
+    """A row is kept or dropped for itself, not for its doc_id."""
+    rng = random.Random(7)
+    a, b, c, d, e = (" ".join(rng.choices([f"w{i}" for i in range(400)], k=60)) for _ in range(5))
+    rows = [
+        (1, a), (5, a + " more"), (5, b), (5, b + " tail"), (5, "  " + b),  # near copies of 1 and of each other under one id
+        (None, c), (None, c + " end"), (None, d), (9, d + " x"),  # near copies without an id, and one with
+        (7, e), (7, e), (7, e.replace(" ", "  ")), (7, None), (7, ""), (None, None),
+    ]
+    kept = jaccard.keep_one(docs_df(rows), 5, 80)
+    got = [(r.doc_id, " ".join((r.text or "").split())) for r in kept.collect()]
+    assert len(got) == 8 and kept.columns == docs_df(rows).columns
+    assert sorted((i, t) for i, t in got if t and t[:50] not in (b[:50], c[:50])) == sorted([(1, a), (9, d + " x"), (7, e)])
+    assert [i for i, t in got if t.startswith(b[:50])] == [5] and [i for i, t in got if t.startswith(c[:50])] == [None]
+    assert sorted(repr(i) for i, t in got if not t) == ["7", "7", "None"]
+    assert sorted(got, key=repr) == sorted([(r.doc_id, " ".join((r.text or "").split())) for r in jaccard.keep_one(docs_df(rows).repartition(5), 5, 80).collect()], key=repr)
+
+
 def test_bitmap_bounds_the_difference():
     rng = np.random.default_rng(5)
     for _ in range(200):
