@@ -59,7 +59,7 @@ def near_copies(seed, groups, copies, words):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "k", "percent"), [(1, 4, 85), (3, 2, 60)])
+@pytest.mark.parametrize(("seed", "k", "percent"), [(1, 4, 85), (2, 5, 80), (3, 2, 60)])
 def test_components_equal_brute_force(docs_df, seed, k, percent):
     rows = near_copies(seed, 25, 12, 120)
     got = jaccard.similar_components(docs_df(rows), k, percent).select("doc_id", "n_shingles", "component_id").collect()
@@ -106,6 +106,17 @@ def test_keep_one_with_null_and_repeated_ids(docs_df):
     assert sorted(got, key=repr) == sorted([(r.doc_id, " ".join((r.text or "").split())) for r in jaccard.keep_one(docs_df(rows).repartition(5), 5, 80).collect()], key=repr)
 
 
+def test_near_copy_stage_equals_brute_force(spark, docs_df):
+    """The pipeline's stage, with its own parameters, on planted groups."""
+    import corpus_pipeline
+
+    rows = near_copies(11, 20, 8, 100)
+    want = sorted({c for _, _, c in brute(rows, 5, 80)})
+    assert len(want) < len(rows)
+    kept = corpus_pipeline.drop_near_copies(spark, docs_df(rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == want
+
+
 def test_bitmap_bounds_the_difference():
     rng = np.random.default_rng(5)
     for _ in range(200):
