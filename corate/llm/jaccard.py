@@ -7,9 +7,10 @@ token there.
 
 Skipping, in the order in which it is used:
 
-* Position blocks. An index entry carries its position. At the first common
-  token of a linking pair, what is left of both sets must still reach the
-  overlap, so entry pairs whose positions rule that out are skipped.
+* Positions. An index entry carries its position. At the first common token
+  of a linking pair, what is left of both sets must still reach the overlap,
+  so entry pairs whose positions rule that out are dropped by the condition
+  of the join (lists have no position blocks that would be skipped whole).
 * Answers of similar sets. Sets of a token are first compared with the
   token's pivot. A set that links to its pivot joins the pivot's cluster,
   and its answers derive from the pivot's: Jaccard distance is a metric, so
