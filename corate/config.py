@@ -49,12 +49,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Taken from the session (``spark.checkpoint.dir``, or the checkpoint
     folder set on the context); it is the cluster's to name, whatever its
-    scheme. A session that names none has a warehouse, which all of its
-    executors share as well, and gets a folder there.
+    scheme. A session that names none gets a folder in its warehouse, unless
+    that is a folder of one machine (scheme ``file``) and the session runs on
+    several: its executors would each write to a disk of their own, so this
+    raises instead.
     """
     current = spark.sparkContext.getCheckpointDir()
     named = spark.conf.get("spark.checkpoint.dir", None) or current
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    scheme = qualified_scheme(spark, warehouse)
+    if not shared_folder(scheme, spark.sparkContext.master):
+        raise ValueError(f"the warehouse {warehouse} is a folder of one machine; "
+                         "set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_scratch"
+
+
+def qualified_scheme(spark: SparkSession, path: str) -> str:
+    """The scheme of a path, the default file system's where it names none."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
+
+
+def shared_folder(scheme: str, master: str) -> bool:
+    """Whether all executors of a session see a folder of this scheme."""
+    one_machine = master == "local" or master.startswith("local[")
+    return scheme != "file" or one_machine
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -34,9 +34,10 @@ def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
-    """The session's number of shuffle partitions (its parallelism if the
-    setting is no number)."""
-    setting = spark.conf.get("spark.sql.shuffle.partitions", "")
+    """The session's number of shuffle partitions (Spark's own default where
+    it is unset, the session's parallelism where it is no number)."""
+    # no default is passed: Spark would check it against the setting's type
+    setting = spark.conf.get("spark.sql.shuffle.partitions")
     return int(setting) if setting.isdigit() else spark.sparkContext.defaultParallelism
 
 
