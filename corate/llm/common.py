@@ -47,16 +47,53 @@ def crc_fold(doc_id: Column | str, folds: int) -> Column:
     return F.crc32(c.cast("string")) % folds
 
 
-def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """At most ``rows`` rows chosen by the hash of ``key`` (all if fewer).
-
-    Only for fitting classifiers: the bound is the documented parameter."""
-    n = df.count()
-    if n <= rows:
-        return df
-    share = F.pmod(F.xxhash64(F.col(key), F.lit("fit")), F.lit(1_000_000))
-    # the limit makes one partition; dealt out again, tasks share the work
-    return df.where(share < F.lit(int(1_000_000 * rows / n))).limit(rows).repartition(key)
+#: Buckets of one histogram of hashes, as bits of the hash.
+SAMPLE_BITS = 12
+
+
+def bounded_sample(df: DataFrame, key: str, rows: int, bits: int = SAMPLE_BITS) -> DataFrame:
+    """The ``rows`` rows of the smallest hash of key and content (all if fewer).
+
+    Only for fitting classifiers: the bound is the documented parameter. The
+    choice depends on the rows alone, not on how they lie in partitions.
+    Rows that tie are equal, so repeated and NULL keys are chosen like any
+    other; rows of equal hash beyond the bound are left out one by one.
+
+    Histograms of the leading bits of the hash narrow down which hashes can
+    be among the smallest, until few more than ``rows`` are left, whatever
+    the size of the table; only those are sorted. A histogram has 2**bits
+    rows at most."""
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    h = fresh_name("_h", df.columns)
+    marked = df.withColumn(h, F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in hashed], F.lit("fit")), 1))
+    low, width = 0, 63  # the range of hashes whose rows are still to be told apart
+    below = 0           # rows of smaller hashes, all chosen
+    while True:
+        width = max(0, width - bits)
+        bucket = F.shiftright(F.col(h), width)
+        inside = marked.where(F.col(h) >= low) if low == 0 else marked.where((F.col(h) >= low) & (bucket < (low >> width) + (1 << bits)))
+        counts = sorted(tuple(r) for r in inside.groupBy(bucket.alias("b")).count().collect())
+        if low == 0 and sum(n for _, n in counts) <= rows:
+            return df
+        for b, n in counts:
+            if below + n >= rows:
+                break
+            below += n
+        few = below + n <= 2 * rows or width == 0
+        if few:
+            chosen = marked.where(bucket <= b).orderBy(h).limit(rows)
+            # the limit makes one partition; dealt out again, tasks share the work
+            return chosen.repartition(h).drop(h)
+        low = b << width
+
+
+def fresh_name(name: str, taken: list[str]) -> str:
+    """``name``, or a longer one where columns are called so already (names
+    of columns don't differ by case alone)."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
 
 
 def binary_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corate.llm.common import binary_texts
+from corate.llm.common import binary_texts, fresh_name
 
 #: Bytes of content one open-addressing table may hold.
 TABLE_BYTES = 48 << 20
@@ -227,14 +227,17 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
 def keep_one(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """``docs`` with all columns, one row of each content: that with the
     largest doc_id (any one of rows that repeat both)."""
-    keep = content_groups(docs, table_bytes).select(F.col("keep_id").alias("__keep_id"), F.col("digest").alias("__keep_digest"))
-    marked = docs.mapInArrow(with_digest, T.StructType([*docs.schema.fields, T.StructField("__digest", T.StringType())]))
-    same = marked["doc_id"].cast("long").eqNullSafe(F.col("__keep_id")) & (F.col("__digest") == F.col("__keep_digest"))
-    return marked.join(keep, same, "left_semi").dropDuplicates(["doc_id", "__digest"]).select(*docs.columns)
+    digest, of_id, of_digest = (fresh_name(c, docs.columns) for c in ("_digest", "_keep_id", "_keep_digest"))
+    keep = content_groups(docs, table_bytes).select(F.col("keep_id").alias(of_id), F.col("digest").alias(of_digest))
+    marked = docs.mapInArrow(with_digest(digest), T.StructType([*docs.schema.fields, T.StructField(digest, T.StringType())]))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(of_id)) & (F.col(digest) == F.col(of_digest))
+    return marked.join(keep, same, "left_semi").dropDuplicates(["doc_id", digest]).select(*docs.columns)
 
 
-def with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def with_digest(name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """All columns and the digest of the normalised text."""
-    for batch in batches:
-        texts = binary_texts(batch.column(batch.schema.get_field_index("text")))
-        yield batch.append_column("__digest", pa.array([hashlib.sha256(normalise(t)).hexdigest() for t in texts], pa.string()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = binary_texts(batch.column(batch.schema.get_field_index("text")))
+            yield batch.append_column(name, pa.array([hashlib.sha256(normalise(t)).hexdigest() for t in texts], pa.string()))
+    return run

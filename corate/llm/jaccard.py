@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corate.config import materialize
-from corate.llm.common import BLANKS, Words, binary_texts, blocks, byte_table, mix64
+from corate.llm.common import BLANKS, Words, binary_texts, blocks, byte_table, fresh_name, mix64
 from corate.llm.components import components
 
 WORD = byte_table(BLANKS)
@@ -475,7 +475,7 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     return JaccardJoin(docs, words, percent).documents()
 
 
-def with_set_ids(k: int, text: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def with_set_ids(k: int, text: int, name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows with the id of their set, NULL without shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -483,7 +483,7 @@ def with_set_ids(k: int, text: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
             for a, b in blocks(texts):
                 sets = ShingleSets(texts[a:b], k)
                 ids.append(pa.array(sets.ids(), mask=sets.size == 0))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.concat_arrays(ids) if ids else pa.array([], pa.int64())], [*batch.schema.names, "__sid"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.concat_arrays(ids) if ids else pa.array([], pa.int64())], [*batch.schema.names, name])
     return run
 
 
@@ -492,18 +492,20 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     doc_id, NULL last. Rows without shingles stay. Rows are told apart by
     doc_id and set id, so repeated and NULL doc_ids may hold any texts; of
     rows equal in both the one with the smallest text stays."""
+    sid, of_id, of_set, n = (fresh_name(c, docs.columns) for c in ("_sid", "_of_id", "_of_set", "_nth"))
     join = JaccardJoin(docs, words, percent)
     one = materialize(join.survivors(), "survivors")
     same = F.col("r.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("r.sid") == F.col("s.sid"))
     pairs = join.rows.where("n > 0").groupBy("doc_id", "sid").agg(F.count("*").alias("copies")).alias("r")
-    gone = pairs.join(one.alias("s"), same, "left_anti").select(F.col("doc_id").alias("__doc"), F.col("sid").alias("__set"))
-    copied = materialize(pairs.where("copies > 1").join(one.alias("s"), same, "left_semi").select(F.col("doc_id").alias("__doc"), F.col("sid").alias("__set")), "copied")
-    schema = T.StructType([*docs.schema.fields, T.StructField("__sid", T.LongType())])
-    rows = docs.mapInArrow(with_set_ids(words, docs.columns.index("text")), schema)
-    here = (F.col("__sid") == F.col("__set")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__doc"))
+    named = (F.col("doc_id").alias(of_id), F.col("sid").alias(of_set))
+    gone = pairs.join(one.alias("s"), same, "left_anti").select(*named)
+    copied = materialize(pairs.where("copies > 1").join(one.alias("s"), same, "left_semi").select(*named), "copied")
+    schema = T.StructType([*docs.schema.fields, T.StructField(sid, T.LongType())])
+    rows = docs.mapInArrow(with_set_ids(words, docs.columns.index("text"), sid), schema)
+    here = (F.col(sid) == F.col(of_set)) & F.col("doc_id").cast("long").eqNullSafe(F.col(of_id))
     kept = rows.join(gone, here, "left_anti")
     if copied.isEmpty():
         return kept.select(*docs.columns)
-    by = Window.partitionBy("doc_id", "__sid").orderBy("text")
-    first = rows.join(copied, here, "left_semi").withColumn("__n", F.row_number().over(by)).where("__n = 1")
+    by = Window.partitionBy("doc_id", sid).orderBy("text")
+    first = rows.join(copied, here, "left_semi").withColumn(n, F.row_number().over(by)).where(F.col(n) == 1)
     return kept.join(copied, here, "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))

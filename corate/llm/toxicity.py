@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -163,9 +164,8 @@ def training_windows(features: list[bytes], log_odds: list[float]) -> Callable[[
             for text, toxic, doc_id in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 words = words_of(text or "")
                 known = [(i, [number[f] for f in features_of(w) if f in number]) for i, w in enumerate(words)]
-                known = [(i, k) for i, k in known if k]
-                for start in sorted({i // WINDOW for i, _ in known}):
-                    inside = [(i - start * WINDOW, k) for i, k in known if i // WINDOW == start]
+                for start, own in groupby((x for x in known if x[1]), key=lambda x: x[0] // WINDOW):
+                    inside = [(i - start * WINDOW, k) for i, k in own]
                     n = min(WINDOW, len(words) - start * WINDOW)
                     rows.append((doc_id, start, n, [i for i, k in inside for _ in k], [x for _, k in inside for x in k],
                                  [i for i, k in inside if toxic and max(log_odds[x] for x in k) >= LABEL_LOG_ODDS]))

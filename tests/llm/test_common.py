@@ -47,5 +47,28 @@ def test_blocks_cover_all_rows():
 
 def test_bounded_sample(spark):
     df = spark.range(5000).selectExpr("id AS doc_id")
-    assert common.bounded_sample(df, "doc_id", 100).count() <= 100
+    assert common.bounded_sample(df, "doc_id", 100).count() == 100
     assert common.bounded_sample(df, "doc_id", 10_000).count() == 5000
+    assert common.bounded_sample(df.where("doc_id < 0"), "doc_id", 10).count() == 0
+
+
+@pytest.mark.parametrize("bits", [1, 3, 12])
+def test_sample_is_the_smallest_hashes_in_any_layout(spark, bits):
+    """Few bits a histogram stand for a table of a huge number of rows."""
+    df = spark.range(3000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    want = {r.doc_id for r in df.selectExpr("doc_id", "shiftrightunsigned(xxhash64(doc_id, text, 'fit'), 1) AS h").orderBy("h").limit(70).collect()}
+    for layout in (df, df.repartition(7, "text"), df.coalesce(1)):
+        assert {r.doc_id for r in common.bounded_sample(layout, "doc_id", 70, bits).collect()} == want
+
+
+def test_sample_of_null_and_repeated_keys(spark):
+    no_ids = spark.range(4000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('t', id) AS text")
+    assert common.bounded_sample(no_ids, "doc_id", 50).count() == 50
+    one_id = spark.range(4000).selectExpr("7L AS doc_id", "concat('t', id) AS text")
+    assert common.bounded_sample(one_id, "doc_id", 50).select("text").distinct().count() == 50
+    equal_rows = spark.range(4000).selectExpr("7L AS doc_id", "'same' AS text", "map('a', id) AS _h")
+    assert common.bounded_sample(equal_rows, "doc_id", 50).count() == 50
+
+
+def test_fresh_names():
+    assert common.fresh_name("_h", ["a"]) == "_h" and common.fresh_name("_h", ["_H", "_h_"]) == "_h__"

@@ -1,0 +1,50 @@
+"""The pipeline as a whole on odd tables: NULLs, repeated rows, empty and
+very long texts, extra columns whose names clash with those of helpers."""
+
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+import corpus_pipeline  # noqa: E402
+
+CLASHES = ["_h", "_sid", "_of_id", "_of_set", "_nth", "_digest", "_keep_id", "_keep_digest", "__sid", "__digest", "sid", "digest", "b", "rows"]
+
+
+@pytest.fixture()
+def folder(spark, tmp_path):
+    """Writes documents and labels as a folder of tables."""
+    def write(docs):
+        docs.write.parquet(f"{tmp_path}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0), (2, 1, 1), (None, None, None)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+        return str(tmp_path)
+    return write
+
+
+def test_odd_rows_and_clashing_columns(spark, odd_docs, folder):
+    odd = odd_docs.unionByName(odd_docs.where("doc_id = 9 or doc_id is null"))
+    docs = odd.withColumns({c: F.lit(f"own {c}") for c in CLASHES})
+    sf_dir = folder(docs)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert set(docs.columns) == {*odd_docs.columns, *CLASHES}
+    kept = docs.collect()
+    assert all(r[c] == f"own {c}" for r in kept for c in CLASHES)
+    # NULL and "" are one content (the larger id stays), 4 and 5 another,
+    # "one" in three rows another; the twins of 9 and of the NULL id are one
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [2, 5, 6, 8, 9, 10]
+    assert sum(r.doc_id is None for r in kept) == 1
+    pieces = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {r.doc_id for r in pieces} == {r.doc_id for r in kept}
+    for r in pieces:
+        assert 0 < r.length <= 4096 and r.offset >= 0
+
+
+def test_empty_table(spark, odd_docs, folder):
+    assert corpus_pipeline.run(spark, folder(odd_docs.where("false"))).count() == 0
