@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corate.llm import exact_dedup, jaccard, language, licenses, packing, pieces, quality, secrets, toxicity, urls
+from corate.llm import exact_dedup, jaccard, language, lexical, licenses, packing, pieces, quality, secrets, toxicity, urls
 from corate.llm.common import crc_fold, read_table
 
 
@@ -77,10 +77,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(documents(spark, sf_dir))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark", "item_id", "text"), k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_ngram_jaccard, op3_quality_rules, op4_exact_dedup, op5_toxicity,
         op6_best_fit_packing, op7_sentencepiece, op8_url_filters, op9_language_id, op10_license_scan,
+        op13_ranked_search,
     )
 }
 
@@ -92,4 +97,24 @@ ORACLES = {
               FROM documents)
         WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op13_ranked_search": """
+        WITH term AS (
+          SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM documents),
+        held AS (SELECT doc_id, t, count(*) AS tf FROM term GROUP BY ALL),
+        length AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM held GROUP BY doc_id),
+        whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS total FROM length),
+        norm AS (SELECT doc_id, 100 - 25 + (25 * n * n_docs) // total AS m FROM length, whole),
+        weight AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, whole GROUP BY t, n_docs),
+        wanted AS (
+          SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark),
+        scored AS (
+          SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+          FROM wanted JOIN held USING (t) JOIN norm USING (doc_id) JOIN weight USING (t) GROUP BY item_id, doc_id),
+        ranked AS (
+          SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+          FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+    """,
 }

@@ -22,7 +22,7 @@ SF = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def connection():
     c = duckdb.connect()
-    for name in ("documents", "pages", "labels"):
+    for name in ("documents", "pages", "labels", "embeddings", "benchmark"):
         c.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return c
 
