@@ -87,6 +87,23 @@ def bounded_sample(df: DataFrame, key: str, rows: int, bits: int = SAMPLE_BITS)
         low = b << width
 
 
+def row_blocks(rows: DataFrame, size: Column, limit: int) -> Iterator[list]:
+    """All rows, in lists whose ``size`` adds up to ``limit`` at most (or of
+    one row), fetched one after the other: for a stated query set that is
+    broadcast block by block. Rows go to blocks by hash; a block that turns
+    out larger is dealt out again."""
+    pending = [(rows, 0)]
+    while pending:
+        part, level = pending.pop()
+        total, n = part.agg(F.coalesce(F.sum(size), F.lit(0)), F.count("*")).first()
+        if total > limit and n > 1 and level < 8:
+            k = 2 * -(-total // limit)
+            own = F.pmod(F.xxhash64(*rows.columns, F.lit(level)), F.lit(k))
+            pending += [(part.where(own == b), level + 1) for b in range(k)]
+        elif n:
+            yield part.collect()
+
+
 def fresh_name(name: str, taken: list[str]) -> str:
     """``name``, or a longer one where columns are called so already (names
     of columns don't differ by case alone)."""

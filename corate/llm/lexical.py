@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corate.config import materialize
-from corate.llm.common import SLICE_BYTES
+from corate.llm.common import SLICE_BYTES, row_blocks
 
 #: Bytes of item text in one block, and so in one broadcast index.
 ITEM_BYTES = 4 << 20
@@ -181,23 +181,6 @@ def score_counts(index, weights, n_docs: int, total: int, k: int) -> Callable[[I
     return run
 
 
-def item_blocks(items: DataFrame, limit: int) -> Iterator[list]:
-    """All rows (item_id, text) of ``items``, in lists of about ``limit`` bytes
-    of text at most (or one item), fetched one after the other. Rows go to
-    blocks by hash; a block that turns out larger is dealt out again."""
-    sized = items.select("item_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
-    pending = [(sized, 0)]
-    while pending:
-        part, level = pending.pop()
-        size, rows = part.agg(F.coalesce(F.sum(F.col("size") + 16), F.lit(0)), F.count("*")).first()
-        if size > limit and rows > 1 and level < 8:
-            n = 2 * math.ceil(size / limit)
-            own = F.pmod(F.xxhash64("item_id", "text", F.lit(level)), F.lit(n))
-            pending += [(part.where(own == b), level + 1) for b in range(n)]
-        elif rows:
-            yield part.select("item_id", "text").collect()
-
-
 def search(docs: DataFrame, items: DataFrame, k: int = 20, item_bytes: int = ITEM_BYTES) -> DataFrame:
     """The ``k`` best documents with a score above 0 of each item: item_id,
     rank (from 1), doc_id, score. ``docs`` needs doc_id and text, ``items``
@@ -205,7 +188,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = 20, item_bytes: int = ITE
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = None
-    for block in item_blocks(items, item_bytes):
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 16
+    for block in row_blocks(items.select("item_id", "text"), size, item_bytes):
         one = _search_block(rows, block, k)
         found = one if found is None else found.unionByName(one)
     if found is None:

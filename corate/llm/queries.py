@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corate.llm import exact_dedup, jaccard, language, lexical, licenses, packing, pieces, quality, secrets, toxicity, urls
+from corate.llm import exact_dedup, jaccard, language, lexical, licenses, negatives, packing, pieces, quality, secrets, toxicity, urls
 from corate.llm.common import crc_fold, read_table
 
 
@@ -77,6 +77,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(documents(spark, sf_dir))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    label = F.col("label").cast("long")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.mine(moved, F.col("vec_id") % 100 == 0, "embedding", positives=5, negatives=5, low=80, high=100)
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark", "item_id", "text"), k=20)
 
@@ -85,7 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_ngram_jaccard, op3_quality_rules, op4_exact_dedup, op5_toxicity,
         op6_best_fit_packing, op7_sentencepiece, op8_url_filters, op9_language_id, op10_license_scan,
-        op13_ranked_search,
+        op12_hard_negatives, op13_ranked_search,
     )
 }
 
@@ -97,6 +104,26 @@ ORACLES = {
               FROM documents)
         WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op12_hard_negatives": """
+        WITH v AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+          SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.vec_id % 100 = 0 AND (a.label <> b.label OR a.vec_id <> b.vec_id)),
+        positive AS (
+          SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        ranked AS (
+          SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+                 CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+          FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+           AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+    """,
     "op13_ranked_search": """
         WITH term AS (
           SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
