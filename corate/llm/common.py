@@ -147,7 +147,7 @@ _BASE = 0x5851F42D4C957F2D
 _powers: list[np.ndarray] = []
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         size = max(n, BLOCK_BYTES + 1024)
         inverse = pow(_BASE, -1, 1 << 64)
@@ -164,7 +164,7 @@ def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
         j = max(i + 1, int(np.searchsorted(end, start[i] + SLICE_BYTES, side="right")))
         a, b = start[i:j] - start[i], end[i:j] - start[i]
         part = data[start[i] : end[j - 1]]
-        power, inverse = _power_tables(len(part) + 1)
+        power, inverse = power_tables(len(part) + 1)
         total = np.zeros(len(part) + 1, np.uint64)
         with np.errstate(over="ignore"):
             np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: len(part)], out=total[1:])

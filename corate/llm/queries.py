@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corate.llm import exact_dedup, jaccard, language, lexical, licenses, negatives, packing, pieces, quality, secrets, toxicity, urls
+from corate.llm import exact_dedup, jaccard, language, lexical, licenses, negatives, packing, pieces, quality, secrets, suffixes, toxicity, urls
 from corate.llm.common import crc_fold, read_table
 
 
@@ -77,6 +77,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(documents(spark, sf_dir))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeat_digest(suffixes.remove_repeats(documents(spark, sf_dir), length=100, digest=True))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
     label = F.col("label").cast("long")
@@ -92,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_ngram_jaccard, op3_quality_rules, op4_exact_dedup, op5_toxicity,
         op6_best_fit_packing, op7_sentencepiece, op8_url_filters, op9_language_id, op10_license_scan,
-        op12_hard_negatives, op13_ranked_search,
+        op11_suffix_dedup, op12_hard_negatives, op13_ranked_search,
     )
 }
 
@@ -104,6 +108,24 @@ ORACLES = {
               FROM documents)
         WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op11_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+        starting AS (SELECT doc_id, h, unnest(range(0, n - 99)) AS s FROM d WHERE n >= 100),
+        again AS (
+          SELECT doc_id, s, s + 100 AS e FROM starting
+          QUALIFY row_number() OVER (PARTITION BY md5(substr(h, 2 * s + 1, 200)) ORDER BY doc_id, s) > 1),
+        reach AS (SELECT *, max(e) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM again),
+        run AS (SELECT *, sum(CASE WHEN r >= s THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS k FROM reach),
+        span AS (SELECT doc_id, k, min(s) AS s, max(e) AS e FROM run GROUP BY doc_id, k),
+        gap AS (SELECT doc_id, s, e, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS since FROM span),
+        part AS (
+          SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans, max(e) AS last,
+                 string_agg(substr(h, 2 * since + 1, 2 * (s - since)), '' ORDER BY s) AS before
+          FROM gap JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(before, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN part USING (doc_id)
+    """,
     "op12_hard_negatives": """
         WITH v AS (
           SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
