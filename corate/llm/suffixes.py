@@ -47,18 +47,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corate.config import materialize
-from corate.llm.common import BLOCK_BYTES, binary_texts, bounded_sample, mix64, power_tables
+from corate.llm.common import BLOCK_BYTES, binary_texts, mix64, power_tables
 
 LENGTH = 100
 GRAM = 32
 #: Bytes of text whose equal contexts a task folds at once.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 8 << 20
+#: Bytes of text whose windows are hashed at once.
+SLICE_BYTES = 1 << 17
 #: Bytes of contexts that a task sorts at once (or those of one anchor).
 SORT_BYTES = 2 << 20
 #: Depth in bytes at which blind tries take over from quicksort.
 SHALLOW = 40
-#: Rows of the sample that nominates hot anchors, the different contexts in
-#: it that make one hot, and how many are nominated at most.
+#: Rows (about) of the sample that nominates hot anchors, the different
+#: contexts in it that make one hot, and how many are nominated at most.
 HOT_ROWS, HOT_CONTEXTS, HOT_ANCHORS = 50_000, 25, 4096
 
 #: A second value for each byte, so that two hashes of one string differ.
@@ -89,7 +91,7 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def slices(texts: list[bytes], length: int, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[int, int, bytes]]]:
+def slices(texts: list[bytes], length: int, limit: int = SLICE_BYTES) -> Iterator[list[tuple[int, int, bytes]]]:
     """Lists of (row, offset, bytes) of about ``limit`` bytes in which every
     window of every text lies whole, exactly once."""
     held: list[tuple[int, int, bytes]] = []
@@ -234,8 +236,10 @@ def find_contexts(length: int, gram: int, hot: list[int], chunk_bytes: int) -> C
 
 
 def hot_anchors(rows: DataFrame, length: int, gram: int, sample_rows: int, least: int) -> list[int]:
-    """Anchors of many different contexts in a bounded sample of rows."""
-    sample = bounded_sample(rows.select("k1", "k2", "text"), "k1", sample_rows)
+    """Anchors of many different contexts in a sample of rows by hash."""
+    share = min(1.0, sample_rows / max(1, rows.select("k1").count()))
+    chosen = F.shiftrightunsigned(F.xxhash64("k1", "k2"), 1) <= int(share * ((1 << 63) - 1))
+    sample = rows.select("k1", "k2", "text").where(chosen)
     found = sample.mapInArrow(find_contexts(length, gram, [], CHUNK_BYTES), _CONTEXT_SCHEMA).where("place >= 0")
     kinds = found.select("key", "kind").distinct().groupBy("key").count()
     return [r.key for r in kinds.where(F.col("count") >= least).orderBy(F.desc("count"), "key").limit(HOT_ANCHORS).select("key").collect()]
