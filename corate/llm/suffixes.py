@@ -238,7 +238,7 @@ def find_contexts(length: int, gram: int, hot: list[int], chunk_bytes: int) -> C
 def hot_anchors(rows: DataFrame, length: int, gram: int, sample_rows: int, least: int) -> list[int]:
     """Anchors of many different contexts in a sample of rows by hash."""
     share = min(1.0, sample_rows / max(1, rows.select("k1").count()))
-    chosen = F.shiftrightunsigned(F.xxhash64("k1", "k2"), 1) <= int(share * ((1 << 63) - 1))
+    chosen = F.shiftrightunsigned(F.xxhash64("k1", "k2"), 32) < int(share * (1 << 32))
     sample = rows.select("k1", "k2", "text").where(chosen)
     found = sample.mapInArrow(find_contexts(length, gram, [], CHUNK_BYTES), _CONTEXT_SCHEMA).where("place >= 0")
     kinds = found.select("key", "kind").distinct().groupBy("key").count()
