@@ -8,11 +8,13 @@ bringing either to the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from corate.config import materialize
 from corate.operators.ratings import duplicate_keys
 
 
@@ -31,6 +33,21 @@ def count_check(name: str, actual: DataFrame, expected: int | DataFrame) -> Data
                       ).withColumn("ok", F.col("expected") == F.col("actual"))
 
 
+def counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``df`` written to the shared folder, and the ``counts`` (aggregates)
+    of its rows, taken by the tasks that write it: no scan of their own."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    table = materialize(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), name)
+    return table, {n: int(v or 0) for n, v in seen.get.items()}
+
+
+def known_count_check(name: str, like: DataFrame, actual: int, expected: int) -> DataFrame:
+    """A check row of counts that are known (see ``counted``); ``like`` gives
+    the session."""
+    return like.sparkSession.createDataFrame(
+        [(name, expected, actual, expected == actual)], "check string, expected long, actual long, ok boolean")
+
+
 def unique_key_check(name: str, ratings: DataFrame) -> DataFrame:
     """Check row: number of ``(user_id, item_id)`` keys occurring twice or more is 0."""
     return count_check(name, duplicate_keys(ratings), 0)

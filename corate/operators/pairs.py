@@ -24,7 +24,9 @@ stage) before the shuffle on ``(u, v)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corate.functions import jaccard
@@ -33,6 +35,10 @@ from corate.operators.blocks import DEFAULT_BLOCK_SIZE, bucket, join_split, spre
 # What a rater row carries into the pair join.
 _VALUES = ["n_items", "w"]
 
+# A condition on two raters of one item, or a value of theirs: gets a column
+# of either by name.
+Keep = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
+
 
 def hot_items(rows: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(item_id, nb)`` for items with more than ``block_size`` raters.
@@ -47,30 +53,50 @@ def hot_items(rows: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFram
                     F.ceil(F.col("degree") / F.lit(block_size)).cast("int").alias("nb")))
 
 
-def _pair_rows(a: DataFrame, b: DataFrame, condition) -> DataFrame:
-    """``(u, v, n_u, n_v, prod)`` for joined rater rows ``a.*``, ``b.*``."""
+def _left(name: str) -> Column:
+    return F.col(f"a.{name}")
+
+
+def _right(name: str) -> Column:
+    return F.col(f"b.{name}")
+
+
+def weight_product(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+    return a("w") * b("w")
+
+
+def _pair_rows(a: DataFrame, b: DataFrame, condition: Column, keep: Keep | None,
+               prod: Keep) -> DataFrame:
+    """``(u, v, n_u, n_v, prod)`` for joined rater rows ``a.*``, ``b.*``.
+
+    ``keep`` is tested in the join itself, before anything is aggregated or
+    shuffled; it must say the same of all rows of a pair. ``prod`` is what a
+    row adds to its pair."""
     au, bu = F.col("a.user_id"), F.col("b.user_id")
     a_low = au < bu
+    if keep is not None:
+        condition = condition & keep(_left, _right)
     return a.join(b, condition).select(
         F.least(au, bu).alias("u"),
         F.greatest(au, bu).alias("v"),
         F.when(a_low, F.col("a.n_items")).otherwise(F.col("b.n_items")).alias("n_u"),
         F.when(a_low, F.col("b.n_items")).otherwise(F.col("a.n_items")).alias("n_v"),
-        (F.col("a.w") * F.col("b.w")).alias("prod"))
+        prod(_left, _right).alias("prod"))
 
 
-def _plain_pairs(rows: DataFrame) -> DataFrame:
+def _plain_pairs(rows: DataFrame, keep: Keep | None, prod: Keep, dealt: bool) -> DataFrame:
     """Pairs of raters of ordinary items: one join key, ``u < v`` in the join.
 
     The rows are dealt to a stated number of partitions: they are few bytes
-    and many pairs, and merged partitions would form the pairs in one task."""
-    rows = spread(rows, ["item_id"])
+    and many pairs, and merged partitions would form the pairs in one task.
+    ``dealt`` rows lie in buckets by item already."""
+    rows = rows if dealt else spread(rows, ["item_id"])
     a, b = rows.alias("a"), rows.alias("b")
     return _pair_rows(a, b, (F.col("a.item_id") == F.col("b.item_id"))
-                      & (F.col("a.user_id") < F.col("b.user_id")))
+                      & (F.col("a.user_id") < F.col("b.user_id")), keep, prod)
 
 
-def _blocked_pairs(rows: DataFrame) -> DataFrame:
+def _blocked_pairs(rows: DataFrame, keep: Keep | None, prod: Keep) -> DataFrame:
     """Pairs of raters of hot items, one join key per bucket pair.
 
     ``rows`` carries ``nb``, the item's bucket count. A block ``(lo, hi)``
@@ -79,23 +105,40 @@ def _blocked_pairs(rows: DataFrame) -> DataFrame:
     by user id. So a rater in bucket ``bkt`` is a left row of the blocks
     ``(bkt, hi >= bkt)`` and a right row of the blocks ``(lo <= bkt, bkt)``.
     """
+    carried = [c for c in rows.columns if c != "nb"]
     bucketed = rows.withColumn("bkt", bucket(["user_id"], F.col("nb")))
-    keep = ["item_id", "user_id", *_VALUES]
     block = ["item_id", "blo", "bhi"]
     a = spread(bucketed.select(
-        *keep, F.col("bkt").alias("blo"),
+        *carried, F.col("bkt").alias("blo"),
         F.explode(F.sequence(F.col("bkt"), F.col("nb") - 1)).alias("bhi")), block).alias("a")
     b = spread(bucketed.select(
-        *keep, F.explode(F.sequence(F.lit(0), F.col("bkt"))).alias("blo"),
+        *carried, F.explode(F.sequence(F.lit(0), F.col("bkt"))).alias("blo"),
         F.col("bkt").alias("bhi")), block).alias("b")
     same_block = ((F.col("a.item_id") == F.col("b.item_id"))
                   & (F.col("a.blo") == F.col("b.blo"))
                   & (F.col("a.bhi") == F.col("b.bhi")))
     once = (F.col("a.blo") < F.col("a.bhi")) | (F.col("a.user_id") < F.col("b.user_id"))
-    return _pair_rows(a, b, same_block & once)
+    return _pair_rows(a, b, same_block & once, keep, prod)
 
 
-def co_rating_pairs(profiles: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+def pair_rows(rows: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE,
+              keep: Keep | None = None, prod: Keep = weight_product,
+              dealt: bool = False) -> DataFrame:
+    """``(u, v, n_u, n_v, prod)``: a row per pair of raters of an item.
+
+    ``rows`` is ``(item_id, user_id, n_items, w)`` and what ``keep`` and
+    ``prod`` read; ``dealt`` says that they are a table bucketed by item.
+    Ordinary items take a plain self-join on ``item_id``; hot items (see
+    ``hot_items``) take the bucket-block join."""
+    hot = hot_items(rows.select("item_id"), block_size)
+    ordinary = rows.join(hot, "item_id", "left_anti")
+    split = rows.join(hot, "item_id")
+    return _plain_pairs(ordinary, keep, prod, dealt).unionByName(_blocked_pairs(split, keep, prod))
+
+
+def co_rating_pairs(profiles: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE,
+                    carried: Sequence[str] = (), keep: Keep | None = None,
+                    dealt: bool = False) -> DataFrame:
     """``(u, v, common, dot, n_u, n_v)`` for every co-rating pair ``u < v``.
 
     ``profiles`` needs ``user_id, item_id, n_items, w`` (see
@@ -104,15 +147,11 @@ def co_rating_pairs(profiles: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) -
     ``w`` is unit-normalised; NULL when either user has norm 0) and
     ``n_u``/``n_v`` the users' rating counts.
 
-    Ordinary items take a plain self-join on ``item_id``; hot items (see
-    ``hot_items``) take the bucket-block join. Both feed one aggregation.
+    ``keep`` limits the pairs (see ``asked`` and ``topk``); ``carried`` are
+    the columns of ``profiles`` that it reads.
     """
-    rows = profiles.select("item_id", "user_id", "n_items", "w")
-    hot = hot_items(rows, block_size)
-    ordinary = rows.join(hot, "item_id", "left_anti")
-    split = rows.join(hot, "item_id")
-    joined = _plain_pairs(ordinary).unionByName(_blocked_pairs(split))
-    return joined.groupBy("u", "v").agg(
+    rows = profiles.select("item_id", "user_id", *_VALUES, *carried)
+    return pair_rows(rows, block_size, keep, dealt=dealt).groupBy("u", "v").agg(
         F.count(F.lit(1)).alias("common"),
         F.sum("prod").alias("dot"),
         F.max("n_u").alias("n_u"),
@@ -123,10 +162,7 @@ def co_rated_counts(ratings: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) ->
     """``(u, v, common)`` straight from ``(user_id, item_id)``: no statistics,
     norms or weights are computed for a mere count."""
     rows = ratings.select("item_id", "user_id", F.lit(0).alias("n_items"), F.lit(0).alias("w"))
-    hot = hot_items(rows, block_size)
-    joined = _plain_pairs(rows.join(hot, "item_id", "left_anti")).unionByName(
-        _blocked_pairs(rows.join(hot, "item_id")))
-    return joined.groupBy("u", "v").agg(F.count(F.lit(1)).alias("common"))
+    return pair_rows(rows, block_size).groupBy("u", "v").agg(F.count(F.lit(1)).alias("common"))
 
 
 def co_rated(pairs: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corate.functions import (
@@ -35,7 +35,7 @@ from corate.functions import (
     pair_low,
     ratio_or_zero,
 )
-from corate.operators.blocks import DEFAULT_BLOCK_SIZE, join_split
+from corate.operators.blocks import DEFAULT_BLOCK_SIZE, join_split, spread
 
 UNKNOWN_USER_MEAN = 0.0
 
@@ -77,19 +77,36 @@ def _answer(targets: DataFrame, scored: DataFrame) -> DataFrame:
 
 def _aggregate(cand: DataFrame, sims: Mapping[str, Column],
                distinct_terms: bool, rating_min: float, rating_max: float) -> DataFrame:
-    aggs = []
+    terms = {}
     for name, sim in sims.items():
-        prod = F.col("_ndev") * sim
-        if distinct_terms:
-            num = F.sum_distinct(F.round(prod, RANK_DIGITS))
-            den = F.sum_distinct(F.round(F.abs(sim), RANK_DIGITS))
-        else:
-            num = F.sum(prod)
-            den = F.sum(F.abs(sim))
-        aggs += [num.alias(f"_num_{name}"), den.alias(f"_den_{name}")]
+        terms[f"_num_{name}"], terms[f"_den_{name}"] = F.col("_ndev") * sim, F.abs(sim)
+    if distinct_terms:
+        cand, terms = _first_terms(cand, terms)
     preds = [denormalize("_mean", ratio_or_zero(f"_num_{name}", f"_den_{name}"),
                          rating_min, rating_max).alias(name) for name in sims]
-    return _group(cand, *aggs).select(*KEYS, *preds)
+    sums = [F.sum(term).alias(name) for name, term in terms.items()]
+    return _group(cand, *sums).select(*KEYS, *preds)
+
+
+def _first_terms(cand: DataFrame, terms: Mapping[str, Column]
+                 ) -> tuple[DataFrame, dict[str, Column]]:
+    """Candidates with their terms rounded, and each term where it is the
+    first of its value for the target key (NULL elsewhere), so that plain
+    sums add distinct values.
+
+    A candidate stays one row, shuffled once by its target key; the terms are
+    told apart by windows within the key (``sum_distinct`` of several columns
+    multiplies every row by their number instead)."""
+    # dealt by the whole key, which every window's partition and the final
+    # group refine or equal: none of them shuffles again
+    cand = spread(cand, KEYS)
+    out = {}
+    for name, term in terms.items():
+        cand = cand.withColumn(name, F.round(term, RANK_DIGITS))
+        nth = F.row_number().over(Window.partitionBy(*KEYS, name).orderBy("_nb"))
+        cand = cand.withColumn(f"{name}_nth", nth)
+        out[name] = F.when(F.col(f"{name}_nth") == 1, F.col(name))
+    return cand, out
 
 
 def predict_with(targets: DataFrame, profiles: DataFrame, means: DataFrame,

@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 from corate.config import materialize
 from corate.functions import RATING_MAX, RATING_MIN, denormalize, order_key, ratio_or_zero
 from corate.operators.blocks import DEFAULT_BLOCK_SIZE, join_split
+from corate.operators.incremental import Model, build
 from corate.operators.indexing import dense_index
 from corate.operators.neighbors import rank_neighbors
 from corate.operators.pairs import co_rating_pairs, cosine, similarities_for, symmetric
 from corate.operators.predict import UNKNOWN_USER_MEAN, band_sums, rank_band, up_to_band
-from corate.operators.ratings import normalize, user_stats
 
 
 LIST_KEY = ["k", "user_id"]
@@ -51,7 +51,7 @@ def recommend_many(ratings: DataFrame, catalogue: DataFrame, users: DataFrame |
                    ks: Sequence[int], n: int = 5,
                    unknown_user_mean: float = UNKNOWN_USER_MEAN,
                    rating_min: float = RATING_MIN, rating_max: float = RATING_MAX,
-                   block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+                   block_size: int = DEFAULT_BLOCK_SIZE, model: Model | None = None) -> DataFrame:
     """``(k, user_id, rank, item_id, title, pred)`` for each k in ``ks``.
 
     ``ratings`` is ``(user_id, item_id, rating)``; ``catalogue`` is
@@ -63,12 +63,13 @@ def recommend_many(ratings: DataFrame, catalogue: DataFrame, users: DataFrame |
     neighbour in many lists is a hot key of that join and is split into
     blocks. What several branches read (normalised ratings, neighbour ranks,
     covered scores, best lists) is written once to the shared folder;
-    ``ratings`` is read as it is.
+    ``ratings`` is read as it is. A ``model`` of the ratings (see
+    ``incremental``) holds their statistics and profiles already.
     """
     ks = sorted(ks)
-    ratings = ratings.select("user_id", "item_id", "rating")
-    stats = materialize(user_stats(ratings, rating_min, rating_max), "stats")
-    profiles = materialize(normalize(ratings, stats, rating_min, rating_max), "profiles")
+    if model is None:
+        model = build(ratings, rating_min, rating_max)
+    stats, profiles = model.stats, model.profiles
     if users is None:
         targets = stats.select("user_id")
         directed = symmetric(cosine(co_rating_pairs(profiles, block_size)))

@@ -249,6 +249,17 @@ FROM train GROUP BY 1, 2"""
 
     q["co_rated_pairs"] = f"{BASE}\nSELECT u, v, common FROM pairs"
     q["sim_cosine"] = f"{BASE}\nSELECT u, v, round(sim, {R6}) AS sim FROM cos"
+    q["co_rated_pairs_bitmap"] = q["co_rated_pairs"]
+    q["sim_cosine_stored"] = q["sim_cosine"]
+    q["sim_after_append"] = f"""WITH {RAW},
+ratings0 AS (SELECT user_id, item_id, max(rating) AS rating FROM raw GROUP BY user_id, item_id),
+{PERSONAL},
+me AS (SELECT max(user_id) + 1 AS user_id FROM ratings0),
+ratings AS (
+  SELECT user_id, item_id, rating FROM ratings0
+  UNION ALL SELECT me.user_id, p.item_id, p.rating FROM personal p, me WHERE p.rating IS NOT NULL),
+{model('ratings')}
+SELECT u, v, round(sim, {R6}) AS sim FROM cos"""
     q["sim_symmetric"] = f"{BASE}\nSELECT user_id, neighbor_id, round(sim, {R6}) AS sim FROM sym"
     q["sim_jaccard"] = f"{BASE}\nSELECT u, v, round(sim, {R6}) AS sim FROM jac"
 
@@ -260,6 +271,7 @@ FROM train GROUP BY 1, 2"""
                   f"SELECT user_id, item_id, round(pred, {R6}) AS pred FROM p")
     q["sim_cosine_blocked"] = q["sim_cosine"]
     q["predict_cosine_blocked"] = q["predict_cosine"]
+    q["predict_cosine_asked"] = q["predict_cosine"]
     q["predict_jaccard_self"] = f"""{BASE},
 cand AS (
   SELECT t.user_id, t.item_id, coalesce(m.mean, 0.0) AS mean, r.dev AS ndev,
@@ -282,6 +294,7 @@ WHERE (r.user_id * 7919 + r.item_id * 104729) % 10007 % 5 = 0"""
 
     q["knn_neighbors"] = (f"{BASE}\nSELECT user_id, neighbor_id, round(sim, {R6}) AS sim, rank "
                           f"FROM ranked WHERE rank <= 30")
+    q["knn_neighbors_near"] = q["knn_neighbors"]
     q["knn_neighbors_half"] = f"""{BASE}
 SELECT user_id, neighbor_id, round(sim, {R6}) AS sim, rank FROM (
   SELECT u AS user_id, v AS neighbor_id, sim,

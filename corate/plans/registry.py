@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corate.config import materialize, scratch_path
-from corate.operators import capacity, checks, evaluate, neighbors, personal, ratings, recommend
+from corate.operators import (
+    asked, capacity, checks, evaluate, incremental, neighbors, overlaps, personal, ratings, recommend, topk)
 from corate.operators import pairs as P
 from corate.functions import jaccard
 from corate.operators.predict import predict, predict_knn, predict_with
 from corate.plans import reports
 from corate.plans.context import TestdataContext, rounded
-from corate.sources import files, report_json, testdata
+from corate.sources import files, report_json, stored, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,7 @@ LIST_K = 10         # neighbours per list in knn_lists
 TOP_N = 5
 RECOMMEND_KS = (30, 300)
 BLOCK = 8           # rows per block in the *_blocked queries, so that items split
+HEAVY = 32          # items beyond which co_rated_pairs_bitmap makes bitmaps
 
 
 def _ctx(spark: SparkSession, sf_dir: str) -> TestdataContext:
@@ -58,12 +60,19 @@ def src_items_csv(spark, sf_dir):
 
 
 def check_row_count(spark, sf_dir):
-    c = _ctx(spark, sf_dir)
+    """The view's rows and those of its halves are counted by the tasks that
+    write it; what they are compared with is counted on its own."""
+    view, counts = checks.counted(
+        testdata.ratings(spark, sf_dir, with_fold=True), "ratings", rows=F.count(F.lit(1)),
+        test=F.count_if(F.col("fold") == 0), train=F.count_if(F.col("fold") != 0))
     raw_keys = testdata.raw_ratings(spark, sf_dir).select("user_id", "item_id").distinct()
+    keys = raw_keys.agg(F.count(F.lit(1)).alias("expected"))
+    rows = F.lit(counts["rows"]).cast("long")
     return checks.combine([
-        checks.count_check("ratings_rows", c.ratings, raw_keys),
-        checks.unique_key_check("ratings_duplicate_keys", c.ratings),
-        checks.count_check("split_rows", c.train.unionByName(c.test), c.ratings),
+        keys.select(F.lit("ratings_rows").alias("check"), "expected", rows.alias("actual"),
+                    (F.col("expected") == rows).alias("ok")),
+        checks.unique_key_check("ratings_duplicate_keys", view),
+        checks.known_count_check("split_rows", view, counts["train"] + counts["test"], counts["rows"]),
     ])
 
 
@@ -111,6 +120,30 @@ def sim_cosine_blocked(spark, sf_dir):
     return rounded(P.cosine(P.co_rating_pairs(_ctx(spark, sf_dir).profiles, BLOCK)))
 
 
+def co_rated_pairs_bitmap(spark, sf_dir):
+    """The overlaps with users of more than HEAVY items as bitmaps."""
+    return overlaps.bitmap_overlaps(_ctx(spark, sf_dir).split_kept[0], HEAVY)
+
+
+def sim_cosine_stored(spark, sf_dir):
+    """The similarities over tables stored by user and by item."""
+    train = stored.by_key(_ctx(spark, sf_dir).train, "ratings", "user_id")
+    profiles = stored.by_key(ratings.normalize(train), "profiles", "item_id")
+    return rounded(P.cosine(P.co_rating_pairs(profiles, dealt=True)))
+
+
+def sim_after_append(spark, sf_dir):
+    """The similarities of a stored pair table after the personal ratings are
+    appended: only pairs of users that they touch are computed."""
+    c = _ctx(spark, sf_dir)
+    known = materialize(c.ratings, "ratings")
+    base = incremental.build(known)
+    sims = materialize(P.cosine(P.co_rating_pairs(base.profiles)), "similarities")
+    batch = _personal_batch(known, testdata.personal_catalogue(c.items))
+    model, touched = incremental.append(base, batch)
+    return rounded(incremental.append_similarities(sims, model, touched))
+
+
 def sim_symmetric(spark, sf_dir):
     return rounded(P.symmetric(_ctx(spark, sf_dir).cosine))
 
@@ -139,6 +172,13 @@ def predict_cosine_blocked(spark, sf_dir):
                            block_size=BLOCK))
 
 
+def predict_cosine_asked(spark, sf_dir):
+    """The predictions from the similarities that the targets ask for."""
+    c = _ctx(spark, sf_dir)
+    keys = c.test_kept.select("user_id", "item_id")
+    return rounded(predict(keys, c.profiles, c.means, P.cosine(asked.asked_pairs(keys, c.profiles))))
+
+
 def predict_jaccard_self(spark, sf_dir):
     """Jaccard predictions of train and test keys, own ratings included."""
     c = _ctx(spark, sf_dir)
@@ -160,6 +200,11 @@ def knn_neighbors(spark, sf_dir):
     return rounded(neighbors.nearest_neighbors(_ctx(spark, sf_dir).cosine, KNN_K))
 
 
+def knn_neighbors_near(spark, sf_dir):
+    """The same lists without aggregating every pair."""
+    return rounded(topk.top_neighbors(_ctx(spark, sf_dir).profiles, KNN_K))
+
+
 def knn_neighbors_half(spark, sf_dir):
     return rounded(neighbors.nearest_neighbors(_ctx(spark, sf_dir).cosine, KNN_K,
                                                symmetric=False))
@@ -283,6 +328,11 @@ def _personal(spark, sf_dir, catalogue: DataFrame | None = None):
     return c, rated, users
 
 
+def _personal_batch(known: DataFrame, mine: DataFrame) -> DataFrame:
+    """The personal user's ratings as a batch for ``incremental.append``."""
+    return materialize(personal.personal_ratings(mine, personal.new_user_id(known)), "batch")
+
+
 def recommend_personal(spark, sf_dir):
     c, rated, users = _personal(spark, sf_dir)
     recs = recommend.recommend_many(rated, c.items, users, RECOMMEND_KS, TOP_N)
@@ -297,11 +347,13 @@ def _personal_file(spark, sf_dir) -> DataFrame:
 
 def recommend_from_csv(spark, sf_dir):
     """The third program's main path: a personal CSV file, checked and
-    appended, then the top n per k."""
+    appended to a model of the known ratings, then the top n per k."""
     mine = _personal_file(spark, sf_dir)
     checks.assert_checks(personal.personal_checks(mine))
-    c, rated, users = _personal(spark, sf_dir, mine)
-    recs = recommend.recommend_many(rated, mine.select("item_id", "title"), users, RECOMMEND_KS, TOP_N)
+    known = materialize(_ctx(spark, sf_dir).ratings, "ratings")
+    model, users = incremental.append(incremental.build(known), _personal_batch(known, mine))
+    recs = recommend.recommend_many(model.ratings, mine.select("item_id", "title"), users, RECOMMEND_KS, TOP_N,
+                                    model=model)
     return rounded(recs.select("k", "rank", "item_id", "title", "pred"))
 
 
@@ -373,7 +425,10 @@ QUERIES: dict[str, Query] = {
     "user_norm": user_norm,
     "unit_weights": unit_weights,
     "co_rated_pairs": co_rated_pairs,
+    "co_rated_pairs_bitmap": co_rated_pairs_bitmap,
     "sim_cosine": sim_cosine,
+    "sim_cosine_stored": sim_cosine_stored,
+    "sim_after_append": sim_after_append,
     "sim_cosine_blocked": sim_cosine_blocked,
     "sim_symmetric": sim_symmetric,
     "sim_jaccard": sim_jaccard,
@@ -382,9 +437,11 @@ QUERIES: dict[str, Query] = {
     "predict_jaccard": _predict("jaccard", False),
     "predict_jaccard_distinct": _predict("jaccard", True),
     "predict_cosine_blocked": predict_cosine_blocked,
+    "predict_cosine_asked": predict_cosine_asked,
     "predict_jaccard_self": predict_jaccard_self,
     "predict_knn": predict_knn_query,
     "knn_neighbors": knn_neighbors,
+    "knn_neighbors_near": knn_neighbors_near,
     "knn_neighbors_half": knn_neighbors_half,
     "knn_lists": knn_lists,
     "mae_cosine": mae_cosine,
