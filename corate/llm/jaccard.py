@@ -7,10 +7,14 @@ token there.
 
 Skipping, in the order in which it is used:
 
-* Positions. An index entry carries its position. At the first common token
-  of a linking pair, what is left of both sets must still reach the overlap,
-  so entry pairs whose positions rule that out are dropped by the condition
-  of the join (lists have no position blocks that would be skipped whole).
+* Positions. Of two sets that link the smaller one holds a common token in a
+  still shorter prefix (``index_length``), so only the entries of these
+  positions are index lists; all others only ask. Lists lie in blocks of
+  sizes, and an entry asks the blocks whose sizes its position leaves
+  reachable. What a template of a hundred thousand pages shares stands behind
+  each page's own rare tokens, in positions that no block has: the lists of
+  such tokens are empty and are skipped whole. Within a block, entry pairs
+  whose positions rule a link out are dropped by the condition of the join.
 * Answers of similar sets. Sets of a token are first compared with the
   token's pivot. A set that links to its pivot joins the pivot's cluster,
   and its answers derive from the pivot's: Jaccard distance is a metric, so
@@ -44,6 +48,7 @@ from pyspark.sql import types as T
 from corate.config import materialize
 from corate.llm.common import BLANKS, Words, binary_texts, blocks, byte_table, fresh_name, mix64
 from corate.llm.components import components
+from corate.operators.blocks import join_split
 
 WORD = byte_table(BLANKS)
 #: Counters of the frequency sketch, and counters of one of its rows.
@@ -166,6 +171,18 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def index_length(n: Column, percent: int) -> Column:
+    """Tokens of a set of n of which any linking set of n tokens or more holds
+    one at least: the two share 2 percent / (100 + percent) of n."""
+    return n - F.ceil(n * (2 * percent) / (100 + percent) - 1e-9).cast("long") + 1
+
+
+def size_block(n: Column, percent: int) -> Column:
+    """Blocks of sizes, as wide as a set may be larger than one that it links
+    with: a set's smaller partners lie in its own block and the one below."""
+    return F.floor(F.log(n.cast("double")) / np.log(100 / percent) + 1e-9).cast("int")
+
+
 INDEX = "sid long, n long, tokens array<long>, bitmap binary, bits array<long>"
 
 
@@ -362,9 +379,8 @@ class JaccardJoin:
         # a pivot that others chose stays the centre of its own cluster
         member = materialize(member.join(centers, "sid", "left_anti"), "members")
         entries = self.entries.join(member, "sid", "left").withColumns({"cluster": F.coalesce("cluster", "sid"), "distance": F.coalesce("distance", F.lit(0.0))})
-        lists = entries.groupBy("token", "cluster").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("position").alias("position"), F.max("distance").alias("radius"))
-        lists = materialize(lists, "lists")
-        pairs = materialize(self._cluster_pairs(lists), "cluster-pairs")
+        entries = materialize(entries.withColumn("block", size_block(F.col("n"), self.percent)), "lists")
+        pairs = materialize(self._cluster_pairs(entries), "cluster-pairs")
         radius = materialize(member.groupBy("cluster").agg(F.max("distance").alias("radius")), "radius")
         loose = self._with_radii(pairs, radius).withColumn("slack", F.col("ra") + F.col("rb"))
         loose = materialize(loose, "loose")
@@ -391,15 +407,28 @@ class JaccardJoin:
         ra, rb = (radius.select(F.col("cluster").alias(s), F.col("radius").alias(f"r{s}")) for s in "ab")
         return pairs.join(ra, "a", "left").join(rb, "b", "left").select("a", "b", F.coalesce("ra", F.lit(0.0)).alias("ra"), F.coalesce("rb", F.lit(0.0)).alias("rb"))
 
-    def _cluster_pairs(self, lists: DataFrame) -> DataFrame:
-        """Clusters that share a token, sizes and positions allowing a link."""
-        left, right = (lists.select("token", *(F.col(c).alias(c + s) for c in ("cluster", "least", "most", "position"))) for s in "ab")
+    def _cluster_pairs(self, entries: DataFrame) -> DataFrame:
+        """Clusters of which one has a member in an index block that a member
+        of the other asks, sizes and positions allowing a link."""
+        def lists(rows: DataFrame, suffix: str) -> DataFrame:
+            of = rows.groupBy("token", "block", "cluster").agg(
+                F.min("n").alias("least"), F.max("n").alias("most"), F.min("position").alias("position"))
+            return of.select("token", "block", *(F.col(c).alias(c + suffix) for c in ("cluster", "least", "most", "position")))
+
         t = F.lit(self.percent)
-        fit = (F.col("mosta") * 100 >= F.col("leastb") * t) & (F.col("mostb") * 100 >= F.col("leasta") * t)
+        index = lists(entries.where(F.col("position") < index_length(F.col("n"), self.percent)), "a")
+        # asking the block below its own, a set needs the overlap with the
+        # least size there that could link at all
+        below = F.col("block") - 1
+        reachable = (F.col("mostb") - F.col("positionb")) * (100 + t) >= self.reach(F.col("leastb") * t / 100, F.col("leastb"))
+        asking = lists(entries, "b").where(reachable).select("*", F.explode(F.array(below, F.col("block"))).alias("asked")).drop("block")
+        index = index.withColumn("place", F.struct("token", "block")).drop("token", "block")
+        asking = asking.withColumn("place", F.struct("token", F.col("asked").alias("block"))).drop("token", "asked")
+        fit = (F.col("mosta") * 100 >= F.col("leastb") * t) & (F.col("leasta") <= F.col("mostb"))
         rest = F.least(F.col("mosta") - F.col("positiona"), F.col("mostb") - F.col("positionb"))
-        enough = rest * (100 + t) >= self.reach(F.col("leasta"), F.col("leastb"))
-        joined = left.join(right, "token").where((F.col("clustera") < F.col("clusterb")) & fit & enough)
-        return joined.select(F.col("clustera").alias("a"), F.col("clusterb").alias("b")).distinct()
+        enough = rest * (100 + t) >= self.reach(F.col("leasta"), F.greatest("leasta", "leastb"))
+        joined = join_split(index, asking, "place", ["clustera"], ["clusterb"]).where((F.col("clustera") != F.col("clusterb")) & fit & enough)
+        return joined.select(F.least("clustera", "clusterb").alias("a"), F.greatest("clustera", "clusterb").alias("b")).distinct()
 
     def _member_links(self, between: DataFrame, found: DataFrame, member: DataFrame) -> DataFrame:
         """Links between members of clusters that the pivots leave open and

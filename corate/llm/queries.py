@@ -30,7 +30,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_components(documents(spark, sf_dir), words=4, percent=85)
+    return jaccard.similar_components(documents(spark, sf_dir), words=4, percent=85).drop("set_id")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +101,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES = {
+    "op2_ngram_jaccard": """
+        WITH RECURSIVE worded AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        shingled AS (
+          SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                 ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END) AS g FROM worded),
+        token AS (SELECT doc_id, len(g) AS n, unnest(g) AS t FROM shingled),
+        link AS (
+          SELECT a.doc_id AS a, b.doc_id AS b FROM token a JOIN token b ON a.t = b.t AND a.doc_id <> b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reach AS (
+          SELECT doc_id AS node, doc_id AS root FROM documents
+          UNION SELECT l.b, r.root FROM reach r JOIN link l ON l.a = r.node WHERE r.root < l.b)
+        SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, min(root) AS component_id
+        FROM shingled JOIN reach ON node = doc_id GROUP BY doc_id, len(g)
+    """,
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, text_sha256
