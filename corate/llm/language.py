@@ -32,6 +32,9 @@ from corate.llm.common import binary_texts
 #: that share them at least (where there are so many), and bytes of a slice.
 FIT_ROWS = 60
 FIT_BYTES = 24_000
+#: Bytes of the table of all languages' automata; where FIT_BYTES of each
+#: would take more, every language has an equal share.
+MODEL_BYTES = 256 << 20
 FIT_SLICE = FIT_BYTES // FIT_ROWS
 #: Parts in which a language's slices are merged before they meet.
 FIT_PARTS = 16
@@ -83,15 +86,28 @@ def suffix_automaton(data: list[int]) -> list[dict[int, int]]:
     return moves
 
 
+def share_of(languages: int, width: int, model_bytes: int) -> int:
+    """Bytes of text that each of so many languages may learn from, so that
+    their automata (two states a byte at most, ``width`` entries of four
+    bytes a state) stay within ``model_bytes`` together."""
+    return max(1, min(FIT_BYTES, model_bytes // (max(1, languages) * 8 * width)))
+
+
 class LanguageModel:
     """One table for all languages: entry (state, class) is the next state,
     or, where no match goes on, the complement of the state after the root
-    takes the class (a new phrase starts)."""
+    takes the class (a new phrase starts).
+
+    The table never holds more than ``model_bytes``: of many languages each
+    has a smaller share of text. Its entries therefore fit 32 bits."""
 
-    def __init__(self, texts: dict[str, str]):
+    def __init__(self, texts: dict[str, str], model_bytes: int = MODEL_BYTES):
+        if model_bytes > 1 << 32:
+            raise ValueError("entries of a model beyond 4 GB don't fit 32 bits")
         self.languages = sorted(k for k, v in texts.items() if v)
         table, n_classes = symbols(), 155
-        coded = {k: table[np.frombuffer(texts[k].lower().encode()[:FIT_BYTES], np.uint8)] for k in self.languages}
+        share = share_of(len(self.languages), n_classes + 1, model_bytes)
+        coded = {k: table[np.frombuffer(texts[k].lower().encode()[:share], np.uint8)] for k in self.languages}
         seen = np.zeros(n_classes, bool)
         seen[0] = True
         for v in coded.values():
@@ -104,15 +120,16 @@ class LanguageModel:
         parts, self.roots, base = [], [], 0
         for k in self.languages:
             moves = suffix_automaton(narrow[coded[k]].tolist())
-            part = np.full((len(moves), self.width), -1, np.int64)
+            part = np.full((len(moves), self.width), -1, np.int32)
             for s, m in enumerate(moves):
                 part[s, list(m)] = list(m.values())
-            root = np.where(part[0] < 0, 0, part[0]) + base
-            parts.append(np.where(part < 0, ~(root * self.width)[None, :], (part + base) * self.width))
+            root = np.where(part[0] < 0, 0, part[0]) + np.int32(base)
+            new_phrase = ~(root * np.int32(self.width))
+            parts.append(np.where(part < 0, new_phrase[None, :], (part + np.int32(base)) * np.int32(self.width)).ravel())
             self.roots.append(base * self.width)
             base += len(moves)
         # entries are premultiplied by the width: next entry = state + class
-        self.table = np.concatenate([p.ravel() for p in parts]).astype(np.int32) if parts else np.zeros(0, np.int32)
+        self.table = np.concatenate(parts) if parts else np.zeros(0, np.int32)
         self.pointer_bits = np.log2(np.array([max(2, len(coded[k])) for k in self.languages], float))
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
@@ -272,6 +289,6 @@ def predict_batches(broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, predicted language and score of every row. The broadcast
-    automata are bounded by FIT_BYTES times the number of languages."""
+    automata are bounded by MODEL_BYTES, however many languages there are."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(predict_batches(shipped), PREDICTED)

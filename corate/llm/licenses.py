@@ -127,10 +127,14 @@ class Aligner:
         self.others = set(OTHER_NAMES) - set(self.words)
 
     def share(self, at: list[int], words: list[str]) -> float:
+        return self.best_span(at, words)[0]
+
+    def best_span(self, at: list[int], words: list[str]) -> tuple[float, int, int]:
         """The largest share of template words that stand in order in a dense
-        piece of the document, given by its known words' places; 0 if it is
-        not enough. Chains of aligned words are extended word by word."""
-        best = 0.0
+        piece of the document, given by its known words' places, and the piece
+        (first word and the one after its last); share 0 if it is not enough.
+        Chains of aligned words are extended word by word."""
+        best, span = 0.0, (0, 0)
         # by last template word: value plus cost up to here, words, first place
         chains: list[tuple[float, int, int]] = [(-math.inf, 0, 0)] * len(self.words)
         for i, (p, w) in enumerate(zip(at, words, strict=True)):
@@ -144,8 +148,8 @@ class Aligner:
                         break
                     chains[t] = entry
                 if n >= self.need and n > best * len(self.words) and 2 * n >= p - first + 1 and self.right_name(words[bisect.bisect_left(at, first) : i + 1]):
-                    best = n / len(self.words)
-        return best
+                    best, span = n / len(self.words), (first, p + 1)
+        return (best, *span)
 
     def right_name(self, words: list[str]) -> bool:
         if self.name is None or self.name in words:
@@ -222,8 +226,8 @@ def scan(bits: np.ndarray, sizes: list[int], known: np.ndarray, reach: int) -> C
 
 def candidate_spans(scanned: DataFrame, templates: DataFrame, neighbour: int = NEIGHBOUR) -> DataFrame:
     """Candidates of each row: row_id and an array of (label, whole, spans),
-    spans being the least and largest merged diagonal; whole says that all
-    windows of the template were hit on one diagonal.
+    spans being the least and largest merged diagonal and the one on which
+    all windows of the template were hit, if any; whole says whether one is.
 
     ``scanned`` holds row_id and the arrays hashes and at; ``templates`` has
     label, position, hash and windows. Votes are counted per diagonal first,
@@ -235,42 +239,51 @@ def candidate_spans(scanned: DataFrame, templates: DataFrame, neighbour: int = N
     by = Window.partitionBy("row_id", "label").orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(by)
     runs = votes.withColumn("run", F.sum(F.when(gap <= neighbour, 0).otherwise(1)).over(by))
-    merged = runs.groupBy("row_id", "label", "run").agg(F.max(F.col("hits") == F.col("windows")).alias("whole"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
-    labels = merged.groupBy("row_id", "label").agg(F.max("whole").alias("whole"), F.collect_list(F.struct("low", "high")).alias("spans"))
+    # the diagonal on which all windows were hit, where there is one
+    whole = F.min(F.when(F.col("hits") == F.col("windows"), F.col("diagonal"))).alias("whole")
+    merged = runs.groupBy("row_id", "label", "run").agg(whole, F.min("diagonal").alias("low"), F.max("diagonal").alias("high"))
+    labels = merged.groupBy("row_id", "label").agg(F.max(F.col("whole").isNotNull()).alias("whole"), F.collect_list(F.struct("low", "high", "whole")).alias("spans"))
     return labels.groupBy("row_id").agg(F.collect_list(F.struct("label", "whole", "spans")).alias("candidates"))
 
 
-VERIFIED = "row_id string, found array<string>, best double"
+VERIFIED = "row_id string, found array<string>, best double, spans array<struct<label:string,start:long,end:long>>"
 
 
 def verify(templates: dict[str, str], k: int = K, slack: int = NEIGHBOUR) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Labels of the candidates (row_id, words, words_at, candidates) whose
-    words align with their template, and the best share."""
+    words align with their template, the best share, and the aligned places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = vocabulary(templates)
         aligners = {label: Aligner(label, text, k) for label, text in templates.items()}
         for batch in batches:
-            found, best = [], []
+            found, best, places = [], [], []
             for hashes, at, candidates in zip(*(batch.column(i).to_pylist() for i in range(1, 4)), strict=True):
-                words, shares = [names[h] for h in hashes], {}
+                words, shares, spans = [names[h] for h in hashes], {}, set()
                 for c in candidates:
                     label = c["label"]
+                    aligner, n = aligners[label], len(aligners[label].words)
                     if c["whole"]:
                         shares[label] = 1.0
-                        continue
-                    aligner, n = aligners[label], len(aligners[label].words)
                     for span in c["spans"]:
                         a, b = bisect.bisect_left(at, span["low"] - n), bisect.bisect_left(at, span["high"] + 2 * n + slack)
-                        shares[label] = max(shares.get(label, 0.0), aligner.share(at[a:b], words[a:b]))
+                        share, start, end = aligner.best_span(at[a:b], words[a:b])
+                        if share == 0 and span["whole"] is not None:
+                            share, start, end = 1.0, span["whole"], span["whole"] + n
+                        if share > 0:
+                            shares[label] = max(shares.get(label, 0.0), share)
+                            spans.add((start, label, end))
                 found.append(sorted(label for label, share in shares.items() if share > 0))
                 best.append(max(shares.values(), default=0.0))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string())), pa.array(best, pa.float64())], ["row_id", "found", "best"])
+                places.append([{"label": label, "start": start, "end": end} for start, label, end in sorted(spans)])
+            kind = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string())), pa.array(best, pa.float64()), pa.array(places, kind)], ["row_id", "found", "best", "spans"])
     return run
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, k: int = K) -> DataFrame:
-    """Per row: base columns, base_labels, labels and score (the best share
-    of a verified template's words, 1 for a base phrase, else 0)."""
+    """Per row: base columns, base_labels, labels, score (the best share of a
+    verified template's words, 1 for a base phrase, else 0) and spans, the
+    verified places as label:start:end in words (end exclusive), by start."""
     spark: SparkSession = docs.sparkSession
     rows = template_windows(templates, k)
     table = spark.createDataFrame(rows, "label string, position long, hash long, windows long")
@@ -288,4 +301,5 @@ def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, k: int
         F.array_join("base_labels", ",").alias("base_labels"),
         F.array_join(every, ",").alias("labels"),
         F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
+        F.coalesce(F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["start"].cast("string"), s["end"].cast("string"))), ","), F.lit("")).alias("spans"),
     )

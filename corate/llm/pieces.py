@@ -103,6 +103,8 @@ class PieceModel:
         self.rank = {self.pieces[i]: order[m.pieces[i].score] for i in mergeable}
         if any(k in (USER_DEFINED, UNUSED) for k in self.kinds):
             raise ValueError("models with user-defined or unused pieces are not supported")
+        if len(self.pieces) > 1 << 16:
+            raise ValueError("models of more than 65,536 pieces are not supported: ids are kept in 16 bits")
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k == BYTE}
         #: no piece reaches from another character across a space mark
         self.cut_at_space = not any(SPACE in p[i:] and p[i - 1] != SPACE and p[i] == SPACE for p in self.ids for i in range(1, len(p)))

@@ -2,9 +2,10 @@
 
 Rules decide first; the longest one that fits wins. A URL without a rule is
 judged by gradient-boosted trees over lexical features (lengths, depth,
-digit ratio, entropy, parameter counts, suffix statistics), trained on
-labelled URLs. The labelled URLs are a table (url, label); the query takes
-those that a rule has decided, label 1 for block.
+digit ratio, entropy, parameter counts, and statistics of suffixes of the
+host and beginnings of the path), trained on labelled URLs. The labelled URLs
+are a table (url, label); the query takes those that a rule has decided,
+label 1 for block.
 
 Defined results: NULL or no ``://`` gives empty host and path, no rule, and
 the method's verdict on the empty URL; repeated rows get equal verdicts; an
@@ -32,15 +33,19 @@ RULES = (
     ("block", "com/de/"),
 )
 
-#: Labelled URLs that the fit takes; suffixes whose statistics it keeps.
+#: Labelled URLs that the fit takes; values of each part of a URL whose
+#: statistics it keeps.
 FIT_ROWS = 20_000
 SUFFIXES = 200
+#: Parts of a URL whose block rates among labelled URLs are features.
+PARTS = ("suffix", "domain", "segment", "suffix_segment", "domain_segment", "domain_second")
 TREES, DEPTH = 20, 4
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 FEATURES = ("url_length", "host_length", "path_length", "host_labels", "depth", "parameters", "digits", "digit_ratio",
-            "host_digits", "hyphens", "entropy", "host_entropy", "has_fragment", "is_https", "longest_label", "suffix_rate", "suffix_share")
+            "host_digits", "hyphens", "entropy", "host_entropy", "has_fragment", "is_https", "longest_label", "suffix_share",
+            *(f"{p}_rate" for p in PARTS))
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -77,8 +82,14 @@ def lexical(urls: DataFrame) -> DataFrame:
     url = F.coalesce("url", F.lit(""))
     digits = F.length(F.regexp_replace(url, "[^0-9]", ""))
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
+    segments = F.split(F.regexp_replace("path", "^/", ""), "/")
+    first, second = (F.coalesce(F.get(segments, i), F.lit("")) for i in (0, 1))
+    suffix, domain = F.substring_index("host", ".", -1), F.substring_index("host", ".", -2)
     return urls.withColumns({
-        "suffix": F.substring_index("host", ".", -1),
+        "suffix": suffix, "domain": domain, "segment": first,
+        "suffix_segment": F.concat_ws("/", suffix, first), "domain_segment": F.concat_ws("/", domain, first),
+        # of the second segment its first character: ids and names differ there
+        "domain_second": F.concat_ws("/", domain, first, F.substring(second, 1, 1)),
         "url_length": F.length(url), "host_length": F.length("host"), "path_length": F.length("path"),
         "host_labels": F.size(F.split("host", r"\.")),
         "depth": F.size(F.filter(F.split("path", "/"), lambda p: p != "")),
@@ -94,46 +105,59 @@ def lexical(urls: DataFrame) -> DataFrame:
 
 
 class UrlModel:
-    """Trees, the suffix statistics they were trained with, or one constant."""
-
-    def __init__(self, trees: PipelineModel | None, suffixes: dict[str, tuple[float, float]], prior: float):
-        self.trees, self.suffixes, self.prior = trees, suffixes, prior
-
-    def with_suffixes(self, rows: DataFrame) -> DataFrame:
-        """Block rate and share of the suffix; an unknown one gets the prior."""
-        def look_up(i: int, default: float) -> Column:
-            if not self.suffixes:
+    """Trees, the statistics of URL parts they were trained with (value ->
+    block rate and share, by part), or one constant."""
+
+    def __init__(self, trees: PipelineModel | None, parts: dict[str, dict[str, tuple[float, float]]], prior: float):
+        self.trees, self.parts, self.prior = trees, parts, prior
+
+    def with_parts(self, rows: DataFrame) -> DataFrame:
+        """Block rate of each part, and share of the suffix; an unknown value
+        gets the prior."""
+        def look_up(part: str, i: int, default: float) -> Column:
+            known = self.parts.get(part, {})
+            if not known:
                 return F.lit(default)
-            table = F.create_map(*(F.lit(x) for k, v in self.suffixes.items() for x in (k, v[i])))
-            return F.coalesce(F.try_element_at(table, F.col("suffix")), F.lit(default))
+            table = F.create_map(*(F.lit(x) for k, v in known.items() for x in (k, v[i])))
+            return F.coalesce(F.try_element_at(table, F.col(part)), F.lit(default))
 
-        return rows.withColumns({"suffix_rate": look_up(0, self.prior), "suffix_share": look_up(1, 0.0)})
+        rates = {f"{p}_rate": look_up(p, 0, self.prior) for p in PARTS}
+        return rows.withColumns(rates | {"suffix_share": look_up("suffix", 1, 0.0)})
 
     def judge(self, urls: DataFrame) -> DataFrame:
         """``urls`` with probability of block."""
         if self.trees is None:
             return urls.withColumn("probability", F.lit(self.prior))
         kept = urls.columns
-        scored = self.trees.transform(self.with_suffixes(lexical(urls)))
+        scored = self.trees.transform(self.with_parts(lexical(urls)))
         return scored.select(*kept, vector_to_array("probability_vector")[1].alias("probability"))
 
 
 def fit_urls(labelled: DataFrame, rows: int = FIT_ROWS) -> UrlModel:
     """Fit on at most ``rows`` labelled URLs (url, host, path, label).
 
-    Suffix statistics are kept for the SUFFIXES most frequent suffixes of the
-    labelled rows; their number bounds the model, other suffixes get the prior."""
+    Statistics are kept for the SUFFIXES most frequent values of each part
+    among the labelled rows; their number bounds the model, other values get
+    the prior. While the trees are trained, a row's own label is left out of
+    its rates, so that they say of it what they say of a new URL."""
     sample = lexical(bounded_sample(labelled, "url", rows)).persist()
     try:
         total = sample.agg(F.count("*").alias("n"), F.avg("label").alias("rate")).first()
         if not total.n or total.rate in (0.0, 1.0):
             return UrlModel(None, {}, float(total.rate or 0.0))
-        stats = (sample.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
-                 .orderBy(F.desc("n"), "suffix").limit(SUFFIXES).collect())
-        suffixes = {r.suffix: ((r.bad + 2 * total.rate) / (r.n + 2), r.n / total.n) for r in stats}
-        model = UrlModel(None, suffixes, float(total.rate))
+        prior, parts, trained = float(total.rate), {}, sample
+        for part in PARTS:
+            stats = (sample.groupBy(part).agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
+                     .orderBy(F.desc("n"), part).limit(SUFFIXES))
+            parts[part] = {r[part]: ((r.bad + 2 * prior) / (r.n + 2), r.n / total.n) for r in stats.collect()}
+            # at most SUFFIXES rows a part
+            known = F.broadcast(stats.select(part, F.col("n").alias("_n"), F.col("bad").alias("_bad")))
+            others = (F.col("_bad") - F.col("label") + 2 * prior) / (F.col("_n") + 1)
+            trained = trained.join(known, part, "left").withColumns({
+                f"{part}_rate": F.coalesce(others, F.lit(prior)), f"{part}_share": F.coalesce(F.col("_n") / total.n, F.lit(0.0))}).drop("_n", "_bad")
+        model = UrlModel(None, parts, prior)
         assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep")
-        train = assembler.transform(model.with_suffixes(sample)).select("features", F.col("label").cast("double").alias("label"))
+        train = assembler.transform(trained).select("features", F.col("label").cast("double").alias("label"))
         trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, predictionCol="says").setProbabilityCol("probability_vector").setRawPredictionCol("raw").fit(train)
         model.trees = PipelineModel([assembler, trees])
         return model

@@ -97,3 +97,14 @@ def test_nothing_learned(docs_df):
     model = language.fit_languages(docs_df([(1, "text", None)]))
     assert [r.lang_pred for r in language.identify(docs_df([(1, "text")]), model).collect()] == ["und"]
     assert language.identify(docs_df([(1, "text")]).where("false"), model).count() == 0
+
+
+def test_models_of_many_languages_stay_within_their_bytes():
+    texts = {f"l{i:03d}": "".join(chr(97 + (i * 7 + j * j) % 26) for j in range(3000)) for i in range(40)}
+    model = language.LanguageModel(texts, model_bytes=1 << 20)
+    assert len(model.languages) == 40 and model.table.nbytes <= 1 << 20 and model.table.dtype.itemsize == 4
+    assert model.predict([texts["l007"][:60]])[0] == ["l007"]
+    whole = language.LanguageModel({"a": "abc" * 50})
+    assert whole.table.nbytes < language.MODEL_BYTES and language.share_of(1, 155, language.MODEL_BYTES) == language.FIT_BYTES
+    with pytest.raises(ValueError):
+        language.LanguageModel(texts, model_bytes=1 << 33)

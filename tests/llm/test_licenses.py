@@ -71,5 +71,60 @@ def test_short_templates(docs_df):
     assert [got[i] for i in range(len(texts))] == list(texts.values())
 
 
+def test_spans_are_the_aligned_places(docs_df):
+    """Exact notices stand where a plain search finds them; of edited ones the
+    span begins and ends with words of the template."""
+    rng = random.Random(5)
+    rows, want = [], []
+    for i, (label, text) in enumerate(licenses.TEMPLATES.items()):
+        noise = [f"n{rng.randint(0, 999)}" for _ in range(rng.randint(0, 30))]
+        body = licenses.template_words(text)
+        rows.append((i, " ".join([*noise, *body, "tail", *noise])))
+        want.append((label, len(noise), len(noise) + len(body)))
+    got = {r.doc_id: r.spans.split(",") for r in licenses.license_scan(docs_df(rows)).collect()}
+    for i, (label, start, end) in enumerate(want):
+        assert f"{label}:{start}:{end}" in got[i]
+    twice = " ".join(["x", *licenses.template_words(licenses.TEMPLATES["isc"]), *["y"] * 40, *licenses.template_words(licenses.TEMPLATES["isc"])])
+    (row,) = licenses.license_scan(docs_df([(1, twice)])).collect()
+    n = len(licenses.template_words(licenses.TEMPLATES["isc"]))
+    assert row.spans == f"isc:1:{1 + n},isc:{41 + n}:{41 + 2 * n}"
+
+
+def test_votes_equal_brute_force(spark, docs_df):
+    """Diagonals by Spark against all pairs of windows, on whole texts."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    pool = [w for t in licenses.TEMPLATES.values() for w in licenses.template_words(t)]
+    texts = [" ".join(rng.choice(pool) if rng.random() < 0.1 else pool[(at + j) % len(pool)] for j in range(60)) for at in range(0, len(pool), 17)]
+    table = licenses.template_windows()
+    windows = spark.createDataFrame(table, "label string, position long, hash long, windows long")
+    rows, want = [], set()
+    for i, text in enumerate(texts):
+        words = licenses.Words([licenses.normalise(text.encode())], licenses.WORD)
+        hashes, at = [], []
+        for k in licenses.window_sizes(licenses.TEMPLATES):
+            grams, places = words.grams(k)
+            hashes += grams.view("int64").tolist()
+            at += places.tolist()
+        rows.append((str(i), hashes, at))
+        hits = {}
+        for label, position, h, _ in table:
+            for g, p in zip(hashes, at, strict=True):
+                if g == h:
+                    hits.setdefault(label, set()).add(p - position)
+        for label, diagonals in hits.items():
+            order = sorted(diagonals)
+            low = order[0]
+            for a, b in zip(order, [*order[1:], None], strict=True):
+                if b is None or b - a > licenses.NEIGHBOUR:
+                    want.add((str(i), label, low, a))
+                    low = b
+    scanned = spark.createDataFrame(rows, "row_id string, hashes array<long>, at array<long>")
+    found = licenses.candidate_spans(scanned, windows).select("row_id", F.explode("candidates").alias("c")).select(
+        "row_id", "c.label", F.explode("c.spans").alias("s")).select("row_id", "label", "s.low", "s.high")
+    assert {tuple(r) for r in found.collect()} == want and len(want) > 20
+
+
 def test_empty_table(docs_df):
     assert licenses.license_scan(docs_df([(1, "cc by")]).where("false")).count() == 0

@@ -65,3 +65,19 @@ def test_one_label_and_empty_table(pages, spark):
     got = urls.filter_urls(pages, urls.fit_urls(one)).where("rule is null").select("verdict").distinct().collect()
     assert [r.verdict for r in got] == ["allow"]
     assert urls.filter_urls(pages.where("false"), urls.fit_urls(one.where("false"))).count() == 0
+
+
+def test_held_out_urls_of_the_tables(spark):
+    """Fitted on four fifths of the URLs that a rule decides; of the others
+    the blocked ones are found and the allowed ones left alone, rule by rule."""
+    from pyspark.sql import functions as F
+
+    table = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    decided = urls.with_rules(table).where("rule is not null").withColumn("label", (F.col("rule_verdict") == "block").cast("int"))
+    fold = F.crc32(F.col("page_id").cast("string")) % 5
+    model = urls.fit_urls(decided.where(fold != 0).select("url", "host", "path", "label"))
+    by_rule = model.judge(decided.where(fold == 0)).groupBy("rule", "label").agg(
+        F.count("*").alias("n"), F.sum((F.col("probability") >= 0.5).cast("int")).alias("blocked")).collect()
+    assert sum(r.n for r in by_rule) > 150
+    for r in by_rule:
+        assert r.blocked >= 0.8 * r.n if r.label else r.blocked <= 0.1 * r.n, r
