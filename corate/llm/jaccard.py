@@ -16,11 +16,14 @@ Skipping, in the order in which it is used:
   such tokens are empty and are skipped whole. Within a block, entry pairs
   whose positions rule a link out are dropped by the condition of the join.
 * Answers of similar sets. Sets of a token are first compared with the
-  token's pivot. A set that links to its pivot joins the pivot's cluster,
-  and its answers derive from the pivot's: Jaccard distance is a metric, so
-  two clusters whose pivots are further apart than the threshold and both
-  radii hold no link, pivots that link connect all members, and only what
-  lies between is compared member by member.
+  token's pivot. A set that links to its pivot joins the pivot's cluster, and
+  its few differences from the pivot are kept. Jaccard distance is a metric,
+  so two clusters whose pivots are further apart than the threshold and both
+  radii hold no link, and pivots that link connect all members. What lies
+  between is settled member by member, each answer derived incrementally: the
+  overlap of a member with a set is its pivot's overlap with that set, less
+  what the member lacks of it and more what it adds. Neither a member's
+  complete set nor its text is read again.
 * Components. Pairs that links already connect are not compared.
 * Bitmaps. A set's parity bitmap bounds the symmetric difference from
   below; only pairs that pass have their complete sets intersected.
@@ -277,18 +280,67 @@ def passes_bitmap(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 
 
 VERIFIED = "a long, b long, common long, total long"
+DIFFERENT = "lost binary, gained binary"
 
 
-def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sizes of intersection and union of pairs (a, b, hashes_a, hashes_b)."""
+def hashes_of(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.uint64)
+
+
+def held(tokens: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which tokens a complete set (rising hashes) holds."""
+    at = np.searchsorted(hashes, tokens)
+    return (at < len(hashes)) & (hashes[np.minimum(at, len(hashes) - 1)] == tokens) if len(hashes) else np.zeros(len(tokens), bool)
+
+
+def intersect(percent: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sizes of intersection and union of pairs (a, b, hashes_a, hashes_b);
+    with ``percent`` only of pairs that link, and what a lacks of b and has
+    beyond it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                u, v = hashes_of(x), hashes_of(y)
+                shared = held(u, v)
+                common = int(shared.sum())
+                total = len(u) + len(v) - common
+                if percent is None:
+                    rows.append((a, b, common, total))
+                elif 100 * common >= percent * total:
+                    rows.append((a, b, common, total, v[~held(v, u)].tobytes(), u[~shared].tobytes()))
+            schema = VERIFIED if percent is None else f"{VERIFIED}, {DIFFERENT}"
+            yield _batch(schema, list(zip(*rows, strict=True)) if rows else [[]] * len(schema.split(",")))
+    return run
+
+
+def derive_from_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers of members x (x, b, pivots' common, lost, gained, n_x, hashes
+    of b): the overlap of x with b from that of its pivot with b."""
     for batch in batches:
-        common, total = [], []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            c = len(np.intersect1d(u, v, assume_unique=True))
-            common.append(c)
-            total.append(len(u) + len(v) - c)
-        yield _batch(VERIFIED, [batch.column(0), batch.column(1), common, total])
+        rows = []
+        for x, b, common, lost, gained, n, packed in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+            other = hashes_of(packed)
+            common += int(held(hashes_of(gained), other).sum()) - int(held(hashes_of(lost), other).sum())
+            rows.append((x, b, common, n + len(other) - common))
+        yield _batch(VERIFIED, list(zip(*rows, strict=True)) if rows else [[]] * 4)
+
+
+def derive_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers of pairs of members x and y: the overlap of x with y from that
+    of x with y's pivot, known already; x itself is its pivot's set with x's
+    differences."""
+    for batch in batches:
+        rows = []
+        for x, y, common, lost_x, gained_x, lost_y, gained_y, n_x, n_y, packed in zip(*(batch.column(i).to_pylist() for i in range(10)), strict=True):
+            pivot, lost, gained = hashes_of(packed), hashes_of(lost_x), hashes_of(gained_x)
+
+            def of_x(tokens: np.ndarray) -> int:
+                return int(((held(tokens, pivot) & ~held(tokens, lost)) | held(tokens, gained)).sum())
+
+            common += of_x(hashes_of(gained_y)) - of_x(hashes_of(lost_y))
+            rows.append((x, y, common, n_x + n_y - common))
+        yield _batch(VERIFIED, list(zip(*rows, strict=True)) if rows else [[]] * 4)
 
 
 class JaccardJoin:
@@ -339,10 +391,11 @@ class JaccardJoin:
         both = F.col(f"n_{a}") + F.col(f"n_{b}")
         return 100 * (both - d) >= (self.percent - 100 * slack - 1e-6) * (both + d)
 
-    def verify(self, pairs: DataFrame, slack: Column | float = 0.0) -> DataFrame:
+    def verify(self, pairs: DataFrame, slack: Column | float = 0.0, differences: bool = False) -> tuple[DataFrame, DataFrame]:
         """Exact intersection and union of the pairs (a, b and, if slack
         needs them, more columns) whose similarity may reach percent minus
-        slack."""
+        slack, and the complete sets of those pairs; with ``differences`` the
+        pairs that link, and in what they differ."""
         pairs = pairs.withColumn("slack", slack if isinstance(slack, Column) else F.lit(slack)).select("a", "b", "slack")
         left, right = (self.bitmaps.select(F.col("sid").alias(s), F.col("n").alias(f"n{s}"), F.col("bitmap").alias(f"bitmap_{s}")) for s in "ab")
         bounded = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "slack", "bitmap_a", "bitmap_b")
@@ -354,7 +407,9 @@ class JaccardJoin:
         sets = materialize(sets, "complete")
         left, right = (sets.select(F.col("sid").alias(s), F.col("hashes").alias(f"hashes_{s}")) for s in "ab")
         both = passed.join(left, "a").join(right, "b").select("a", "b", "hashes_a", "hashes_b")
-        return materialize(both.mapInArrow(intersect, VERIFIED), "verified")
+        if differences:
+            return materialize(both.mapInArrow(intersect(self.percent), f"{VERIFIED}, {DIFFERENT}"), "verified"), sets
+        return materialize(both.mapInArrow(intersect(None), VERIFIED), "verified"), sets
 
     def linked(self) -> Column:
         return F.col("common") * 100 >= F.col("total") * self.percent
@@ -367,7 +422,7 @@ class JaccardJoin:
         fit = votes.join(sizes, "pivot").where(self.sizes_fit(F.col("n"), F.col("pivot_n")))
         by = Window.partitionBy("sid").orderBy(F.desc("votes"), "pivot")
         pairs = fit.withColumn("r", F.row_number().over(by)).where(F.col("r") <= PIVOTS).select(F.col("sid").alias("a"), F.col("pivot").alias("b"))
-        return self.verify(pairs).where(self.linked())
+        return self.verify(pairs, differences=True)[0]
 
     def links(self) -> DataFrame:
         """Links (a, b) of sets that connect all that link: a spanning part
@@ -377,21 +432,22 @@ class JaccardJoin:
         member = best.select(F.col("a").alias("sid"), F.col("m.b").alias("cluster"), (1 - F.col("m.similarity")).alias("distance"))
         centers = member.select(F.col("cluster").alias("sid")).distinct()
         # a pivot that others chose stays the centre of its own cluster
-        member = materialize(member.join(centers, "sid", "left_anti"), "members")
-        entries = self.entries.join(member, "sid", "left").withColumns({"cluster": F.coalesce("cluster", "sid"), "distance": F.coalesce("distance", F.lit(0.0))})
+        differences = star.select(F.col("a").alias("sid"), F.col("b").alias("cluster"), "lost", "gained")
+        member = materialize(member.join(centers, "sid", "left_anti").join(differences, ["sid", "cluster"]), "members")
+        entries = self.entries.join(member.select("sid", "cluster", "distance"), "sid", "left").withColumns({"cluster": F.coalesce("cluster", "sid"), "distance": F.coalesce("distance", F.lit(0.0))})
         entries = materialize(entries.withColumn("block", size_block(F.col("n"), self.percent)), "lists")
         pairs = materialize(self._cluster_pairs(entries), "cluster-pairs")
         radius = materialize(member.groupBy("cluster").agg(F.max("distance").alias("radius")), "radius")
         loose = self._with_radii(pairs, radius).withColumn("slack", F.col("ra") + F.col("rb"))
         loose = materialize(loose, "loose")
-        compared = self.verify(loose, F.col("slack"))
+        compared, pivot_sets = self.verify(loose, F.col("slack"))
         found = star.select("a", "b").unionByName(compared.where(self.linked()).select("a", "b"))
         found = materialize(found.distinct(), "links")
         between = compared.where(~self.linked()).join(loose, ["a", "b"]).withColumn("apart", self.apart())
-        between = materialize(between.where((F.col("slack") > 0) & (F.col("apart") <= self.farthest() + F.col("slack"))).select("a", "b", "apart", "ra", "rb"), "between")
+        between = materialize(between.where((F.col("slack") > 0) & (F.col("apart") <= self.farthest() + F.col("slack"))).select("a", "b", "apart", "ra", "rb", "common"), "between")
         if between.isEmpty():
             return found
-        return found.unionByName(self._member_links(between, found, member))
+        return found.unionByName(self._member_links(between, found, member, pivot_sets))
 
     def apart(self) -> Column:
         """Jaccard distance of a compared pair."""
@@ -430,9 +486,9 @@ class JaccardJoin:
         joined = join_split(index, asking, "place", ["clustera"], ["clusterb"]).where((F.col("clustera") != F.col("clusterb")) & fit & enough)
         return joined.select(F.least("clustera", "clusterb").alias("a"), F.greatest("clustera", "clusterb").alias("b")).distinct()
 
-    def _member_links(self, between: DataFrame, found: DataFrame, member: DataFrame) -> DataFrame:
+    def _member_links(self, between: DataFrame, found: DataFrame, member: DataFrame, pivot_sets: DataFrame) -> DataFrame:
         """Links between members of clusters that the pivots leave open and
-        that no link connects yet.
+        that no link connects yet, each answer derived from a known one.
 
         First the members that may link are compared with the other cluster's
         pivot, one comparison a member; such a link closes the pair of
@@ -443,13 +499,14 @@ class JaccardJoin:
         roots = components(found)
         ra, rb = (roots.select(F.col("node").alias(s), F.col("root").alias(f"root_{s}")) for s in "ab")
         open_pairs = (between.join(ra, "a", "left").join(rb, "b", "left")
-                      .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "apart", "ra", "rb"))
+                      .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "apart", "ra", "rb", "common"))
         open_pairs = materialize(open_pairs, "open")
         ends = open_pairs.select(F.explode(F.array("a", "b")).alias("cluster")).distinct()
         inside = member.join(ends, "cluster", "left_semi")
         known = self.bits.join(inside.select("sid").unionByName(ends.withColumnRenamed("cluster", "sid")).distinct(), "sid", "left_semi")
         known = materialize(known, "bits")
-        inside = materialize(inside.join(known, "sid").select("cluster", "sid", "distance", F.col("n").alias("n_x"), F.col("bits").alias("bits_x")), "inside")
+        inside = materialize(inside.join(known, "sid").select("cluster", "sid", "distance", "lost", "gained", F.col("n").alias("n_x"), F.col("bits").alias("bits_x")), "inside")
+        centre = pivot_sets.join(ends.withColumnRenamed("cluster", "sid"), "sid", "left_semi")
 
         def against_pivot(own: str, other: str) -> DataFrame:
             """Members of cluster ``own`` that may link into cluster ``other``."""
@@ -457,24 +514,27 @@ class JaccardJoin:
             slack = F.col(f"r{other}")
             near = asking.join(inside.withColumnRenamed("cluster", own), own).where(
                 (F.col("apart") - F.col("distance") <= far + slack) & self.may_link("x", "y", slack))
-            return near.select(F.col("sid").alias("a"), F.col(other).alias("b"), F.col(f"r{other}").alias("slack"))
+            return near.select(F.col("sid").alias("x"), F.col(other).alias("b"), "common", "lost", "gained", "n_x")
 
+        # a member has one cluster, so it asks each other pivot once
         asked = against_pivot("a", "b").unionByName(against_pivot("b", "a"))
-        asked = asked.groupBy("a", "b").agg(F.max("slack").alias("slack"))
-        answered = self.verify(asked, F.col("slack"))
+        asked = asked.join(centre.select(F.col("sid").alias("b"), "hashes"), "b").select("x", "b", "common", "lost", "gained", "n_x", "hashes")
+        answered = materialize(asked.mapInArrow(derive_from_pivot, VERIFIED), "answered")
         links = answered.where(self.linked()).select("a", "b")
         of = member.select(F.col("sid").alias("a"), "cluster")
         closed = links.join(of, "a").select(F.least("cluster", "b").alias("a"), F.greatest("cluster", "b").alias("b")).distinct()
         left_open = open_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(closed, ["a", "b"], "left_anti")
 
         x = (answered.where(~self.linked()).withColumn("to_pivot", self.apart())
-             .join(inside.select(F.col("sid").alias("a"), "cluster", "n_x", "bits_x"), "a")
-             .select(F.col("a").alias("x"), F.col("cluster").alias("a"), "b", "to_pivot", "n_x", "bits_x")
+             .join(inside.select(F.col("sid").alias("a"), "cluster", "lost", "gained", "n_x", "bits_x"), "a")
+             .select(F.col("a").alias("x"), F.col("cluster").alias("a"), "b", "to_pivot", "common", "lost", "gained", "n_x", "bits_x")
              .join(left_open, ["a", "b"], "left_semi"))
-        y = inside.select(F.col("cluster").alias("b"), F.col("sid").alias("y"), "distance", F.col("n_x").alias("n_y"), F.col("bits_x").alias("bits_y"))
+        y = inside.select(F.col("cluster").alias("b"), F.col("sid").alias("y"), "distance", F.col("lost").alias("lost_y"), F.col("gained").alias("gained_y"),
+                          F.col("n_x").alias("n_y"), F.col("bits_x").alias("bits_y"))
         pairs = x.join(y, "b").where((F.col("to_pivot") <= far + F.col("distance")) & self.may_link("x", "y", F.lit(0.0)))
-        pairs = pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        return links.unionByName(self.verify(pairs).where(self.linked()).select("a", "b"))
+        pairs = pairs.join(centre.select(F.col("sid").alias("a"), "hashes"), "a").select(
+            "x", "y", "common", "lost", "gained", "lost_y", "gained_y", "n_x", "n_y", "hashes")
+        return links.unionByName(pairs.mapInArrow(derive_members, VERIFIED).where(self.linked()).select("a", "b"))
 
     def labelled_sets(self) -> DataFrame:
         """Every set (sid) with its component's root and the smallest doc_id

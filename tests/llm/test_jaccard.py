@@ -6,6 +6,8 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from corate.llm import jaccard
 from corate.llm.components import components
 
@@ -138,3 +140,39 @@ def test_components_of_a_path_a_star_and_a_loop(spark):
     assert len({got[i] for i in range(41)}) == 1
     assert len({got[i] for i in range(100, 130)}) == 1
     assert got[0] != got[100] and 500 not in got
+
+
+def test_derived_answers_equal_intersections():
+    """Members of two pivots: every overlap derived from the pivots' equals
+    the overlap of the complete sets."""
+    import numpy as np
+
+    rng = random.Random(4)
+    draw = lambda n: set(rng.sample(range(1, 400), n))
+    pack = lambda s: np.array(sorted(s), np.uint64).tobytes()
+    for _ in range(300):
+        a, b = draw(rng.randint(1, 200)), draw(rng.randint(1, 200))
+        x = (a - set(rng.sample(sorted(a), rng.randint(0, len(a) // 3)))) | draw(rng.randint(0, 9))
+        y = (b - set(rng.sample(sorted(b), rng.randint(0, len(b) // 3)))) | draw(rng.randint(0, 9))
+        row = (1, 2, len(a & b), pack(a - x), pack(x - a), len(x), pack(b))
+        to_pivot = next(jaccard.derive_from_pivot(iter([_batch_of(row)])))
+        assert to_pivot.column(2).to_pylist() == [len(x & b)] and to_pivot.column(3).to_pylist() == [len(x | b)]
+        row = (1, 3, len(x & b), pack(a - x), pack(x - a), pack(b - y), pack(y - b), len(x), len(y), pack(a))
+        between = next(jaccard.derive_members(iter([_batch_of(row)])))
+        assert between.column(2).to_pylist() == [len(x & y)] and between.column(3).to_pylist() == [len(x | y)]
+
+
+def _batch_of(row):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array([v], pa.binary() if isinstance(v, bytes) else pa.int64()) for v in row], [f"c{i}" for i in range(len(row))])
+
+
+def test_templates_that_link_nothing_make_no_pairs(spark, docs_df):
+    """Pages of one template: all share a token of their prefixes, in a
+    position that no index block has."""
+    base = " ".join(f"template{i}" for i in range(20))
+    docs = docs_df([(i, f"{base} own{i} more{i} last{i}") for i in range(300)])
+    join = jaccard.JaccardJoin(docs, 4, 85)
+    entries = join.entries.withColumns({"cluster": F.col("sid"), "distance": F.lit(0.0), "block": jaccard.size_block(F.col("n"), 85)})
+    assert join.entries.count() >= 300 and join._cluster_pairs(entries).count() == 0
