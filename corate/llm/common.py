@@ -52,26 +52,32 @@ SAMPLE_BITS = 12
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int, bits: int = SAMPLE_BITS) -> DataFrame:
-    """The ``rows`` rows of the smallest hash of key and content (all if fewer).
+    """The ``rows`` first rows by hash of the key, then of the content (all if
+    fewer).
 
     Only for fitting classifiers: the bound is the documented parameter. The
     choice depends on the rows alone, not on how they lie in partitions.
     Rows that tie are equal, so repeated and NULL keys are chosen like any
-    other; rows of equal hash beyond the bound are left out one by one.
+    other; equal rows beyond the bound are left out one by one.
 
-    Histograms of the leading bits of the hash narrow down which hashes can
-    be among the smallest, until few more than ``rows`` are left, whatever
-    the size of the table; only those are sorted. A histogram has 2**bits
+    Histograms of the leading bits of the key's hash narrow down which rows
+    can be among the first, until few more than ``rows`` are left, whatever
+    the size of the table; only those are read whole and sorted. Where a
+    single key has more rows than that, the hash of their content goes on."""
+    content = F.xxhash64(*[F.col(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind], F.lit("content"))
+    return _first_by(df, [F.xxhash64(F.col(key), F.lit("fit")), content], rows, bits)
+
+
+def _first_by(df: DataFrame, hashes: list[Column], rows: int, bits: int) -> DataFrame:
+    """The ``rows`` first rows in order of ``hashes``. A histogram has 2**bits
     rows at most."""
-    hashed = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
-    h = fresh_name("_h", df.columns)
-    marked = df.withColumn(h, F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in hashed], F.lit("fit")), 1))
+    lead = F.shiftrightunsigned(hashes[0], 1)
     low, width = 0, 63  # the range of hashes whose rows are still to be told apart
     below = 0           # rows of smaller hashes, all chosen
     while True:
         width = max(0, width - bits)
-        bucket = F.shiftright(F.col(h), width)
-        inside = marked.where(F.col(h) >= low) if low == 0 else marked.where((F.col(h) >= low) & (bucket < (low >> width) + (1 << bits)))
+        bucket = F.shiftright(lead, width)
+        inside = df if low == 0 else df.where((lead >= low) & (bucket < (low >> width) + (1 << bits)))
         counts = sorted(tuple(r) for r in inside.groupBy(bucket.alias("b")).count().collect())
         if low == 0 and sum(n for _, n in counts) <= rows:
             return df
@@ -79,12 +85,15 @@ def bounded_sample(df: DataFrame, key: str, rows: int, bits: int = SAMPLE_BITS)
             if below + n >= rows:
                 break
             below += n
-        few = below + n <= 2 * rows or width == 0
-        if few:
-            chosen = marked.where(bucket <= b).orderBy(h).limit(rows)
-            # the limit makes one partition; dealt out again, tasks share the work
-            return chosen.repartition(h).drop(h)
+        if below + n <= 2 * rows or width == 0:
+            break
         low = b << width
+    if below + n > 2 * rows and len(hashes) > 1:
+        return df.where(lead < b).unionByName(_first_by(df.where(lead == b), hashes[1:], rows - below, bits))
+    h, order = fresh_name("_h", df.columns), [F.shiftrightunsigned(c, 1) for c in hashes]
+    # the limit makes one partition; dealt out again, tasks share the work
+    chosen = df.where(bucket <= b).withColumn(h, F.xxhash64(*hashes)).orderBy(*order).limit(rows)
+    return chosen.repartition(h).drop(h)
 
 
 def row_blocks(rows: DataFrame, size: Column, limit: int) -> Iterator[list]:

@@ -56,7 +56,7 @@ def test_bounded_sample(spark):
 def test_sample_is_the_smallest_hashes_in_any_layout(spark, bits):
     """Few bits a histogram stand for a table of a huge number of rows."""
     df = spark.range(3000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
-    want = {r.doc_id for r in df.selectExpr("doc_id", "shiftrightunsigned(xxhash64(doc_id, text, 'fit'), 1) AS h").orderBy("h").limit(70).collect()}
+    want = {r.doc_id for r in df.selectExpr("doc_id", "shiftrightunsigned(xxhash64(doc_id, 'fit'), 1) AS h").orderBy("h").limit(70).collect()}
     for layout in (df, df.repartition(7, "text"), df.coalesce(1)):
         assert {r.doc_id for r in common.bounded_sample(layout, "doc_id", 70, bits).collect()} == want
 
@@ -66,6 +66,10 @@ def test_sample_of_null_and_repeated_keys(spark):
     assert common.bounded_sample(no_ids, "doc_id", 50).count() == 50
     one_id = spark.range(4000).selectExpr("7L AS doc_id", "concat('t', id) AS text")
     assert common.bounded_sample(one_id, "doc_id", 50).select("text").distinct().count() == 50
+    third = no_ids.unionByName(spark.range(8000).selectExpr("id AS doc_id", "concat('t', id) AS text"))
+    for layout in (third, third.repartition(9, "text")):
+        rows = common.bounded_sample(layout, "doc_id", 6000).collect()
+        assert len(rows) == 6000 and len(set(rows)) == 6000
     equal_rows = spark.range(4000).selectExpr("7L AS doc_id", "'same' AS text", "map('a', id) AS _h")
     assert common.bounded_sample(equal_rows, "doc_id", 50).count() == 50
 
