@@ -127,10 +127,12 @@ ORACLES = {
     """,
     "op11_suffix_dedup": """
         WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
-        starting AS (SELECT doc_id, h, unnest(range(0, n - 99)) AS s FROM d WHERE n >= 100),
+        starting AS (
+          SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, 200)) AS string
+          FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS s FROM d WHERE n >= 100)),
         again AS (
           SELECT doc_id, s, s + 100 AS e FROM starting
-          QUALIFY row_number() OVER (PARTITION BY md5(substr(h, 2 * s + 1, 200)) ORDER BY doc_id, s) > 1),
+          QUALIFY row_number() OVER (PARTITION BY string ORDER BY doc_id, s) > 1),
         reach AS (SELECT *, max(e) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM again),
         run AS (SELECT *, sum(CASE WHEN r >= s THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS k FROM reach),
         span AS (SELECT doc_id, k, min(s) AS s, max(e) AS e FROM run GROUP BY doc_id, k),
