@@ -1,7 +1,8 @@
 """Exact n-gram Jaccard join with set-relation skipping.
 
 A document is the set of its word shingles' 64-bit hashes. Equal sets are
-one set. The index has, for every set, only its prefix in a global order
+one set: sets are told apart by 128 bits, of which 64 are their id (see
+``SetIds``). The index has, for every set, only its prefix in a global order
 (rarest first, by a corpus-wide count sketch): two sets that link share a
 token there.
 
@@ -41,6 +42,7 @@ share a component; a NULL doc_id is never the smallest unless all are NULL.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -82,17 +84,39 @@ class ShingleSets:
         self.bounds = np.searchsorted(self.row, np.arange(len(texts) + 1))
         self.size = np.diff(self.bounds)
 
-    def ids(self) -> np.ndarray:
-        """A 64-bit id of each set; equal sets have equal ids."""
+    def ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two 64-bit ids of each set, 128 bits together; equal sets have
+        equal ids."""
         with np.errstate(over="ignore"):
             totals = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(self.hash ^ np.uint64(s)), dtype=np.uint64))) for s in (0x51A3, 0xC0FFEE)]
             a, b = (t[self.bounds[1:]] - t[self.bounds[:-1]] for t in totals)
-            return mix64(mix64(a) + b * np.uint64(0x9E3779B97F4A7C15) + self.size.astype(np.uint64)).view(np.int64)
+            n = self.size.astype(np.uint64)
+            first = mix64(mix64(a) + b * np.uint64(0x9E3779B97F4A7C15) + n)
+            second = mix64(mix64(b) + a * np.uint64(0xA0761D6478BD642F) + n)
+            return first.view(np.int64), second.view(np.int64)
 
     def of(self, r: int) -> np.ndarray:
         return self.hash[self.bounds[r] : self.bounds[r + 1]]
 
 
+class SetIds(NamedTuple):
+    """The id of a set: the first of its two, or the second where different
+    sets have the same first one (``shared``: of n sets n^2 / 2^65 are
+    expected, about three of 10^10). ``bits`` are those kept of the first."""
+
+    bits: int = 64
+    shared: np.ndarray = np.zeros(0, np.int64)
+
+    def both(self, sets: ShingleSets) -> tuple[np.ndarray, np.ndarray]:
+        first, second = sets.ids()
+        cut = 64 - self.bits
+        return (first >> cut) << cut, second
+
+    def of(self, sets: ShingleSets) -> np.ndarray:
+        first, second = self.both(sets)
+        return np.where(np.isin(first, self.shared), second, first) if len(self.shared) else first
+
+
 def parity_bitmap(hashes: np.ndarray) -> bytes:
     """Parity of the set's hashes in at least twice as many bits as hashes.
     Folding the halves of a bitmap together gives the bitmap of half size."""
@@ -119,11 +143,11 @@ def least_difference(a: bytes, b: bytes) -> int:
 
 # --- passes over the texts -------------------------------------------------
 
-SET_ROWS = "doc_id long, n long, sid long, part int, counts binary"
+SET_ROWS = "doc_id long, n long, sid long, second long, part int, counts binary"
 
 
-def set_rows(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Size and id of every row's set, then the task's count sketch: how
+def set_rows(names: SetIds, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Size and both ids of every row's set, then the task's count sketch: how
     many sets hold a token of each bucket, in parts of SKETCH_ROW buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int32)
@@ -133,10 +157,11 @@ def set_rows(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
                 sets = ShingleSets(texts[a:b], k)
                 counts = np.bincount((sets.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
                 np.add(sketch, counts, out=sketch, casting="unsafe")
-                yield _batch(SET_ROWS, [batch.column(0).slice(a, b - a), sets.size, pa.array(sets.ids(), mask=sets.size == 0), [None] * (b - a), [None] * (b - a)])
+                ids = [pa.array(x, mask=sets.size == 0) for x in names.both(sets)]
+                yield _batch(SET_ROWS, [batch.column(0).slice(a, b - a), sets.size, *ids, [None] * (b - a), [None] * (b - a)])
         parts = [(p, sketch[p * SKETCH_ROW : (p + 1) * SKETCH_ROW]) for p in range((1 << SKETCH_BITS) // SKETCH_ROW)]
         parts = [(p, c.tobytes()) for p, c in parts if c.any()]
-        yield _batch(SET_ROWS, [[None] * len(parts)] * 3 + [[p for p, _ in parts], [c for _, c in parts]])
+        yield _batch(SET_ROWS, [[None] * len(parts)] * 4 + [[p for p, _ in parts], [c for _, c in parts]])
     return run
 
 
@@ -189,7 +214,7 @@ def size_block(n: Column, percent: int) -> Column:
 INDEX = "sid long, n long, tokens array<long>, bitmap binary, bits array<long>"
 
 
-def index_rows(classes, k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def index_rows(classes, names: SetIds, k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Prefix and bitmap of each distinct set of the task (a set that many
     tasks hold comes once a task)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +224,7 @@ def index_rows(classes, k: int, percent: int) -> Callable[[Iterator[pa.RecordBat
             for a, b in blocks(texts):
                 sets, rows = ShingleSets(texts[a:b], k), []
                 kind = table[(sets.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                for r, sid in enumerate(sets.ids().tolist()):
+                for r, sid in enumerate(names.of(sets).tolist()):
                     n = int(sets.size[r])
                     if not n or sid in seen:
                         continue
@@ -238,7 +263,7 @@ def wanted_filter(sids: DataFrame) -> tuple[int, np.ndarray]:
 SETS = "sid long, hashes binary"
 
 
-def complete_sets(wanted, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def complete_sets(wanted, names: SetIds, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Complete hashes of the wanted sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, table = wanted.value
@@ -247,7 +272,7 @@ def complete_sets(wanted, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
             texts = binary_texts(batch.column(1))
             for a, b in blocks(texts):
                 sets, rows = ShingleSets(texts[a:b], k), []
-                ids = sets.ids()
+                ids = names.of(sets)
                 at = ids.view(np.uint64) >> np.uint64(64 - bits)
                 hit = (table[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7)).astype(np.uint8))) & 1
                 for r in np.flatnonzero(hit.astype(bool) & (sets.size > 0)):
@@ -346,18 +371,22 @@ def derive_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 class JaccardJoin:
     """The join over one table; each step's table is kept in scratch."""
 
-    def __init__(self, docs: DataFrame, words: int, percent: int):
+    def __init__(self, docs: DataFrame, words: int, percent: int, id_bits: int = 64):
         self.spark = docs.sparkSession
         self.k, self.percent = words, percent
         self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        rows = materialize(self.texts.mapInArrow(set_rows(words), SET_ROWS), "sets")
-        self.rows = rows.where("part is null").select("doc_id", "n", "sid")
+        rows = materialize(self.texts.mapInArrow(set_rows(SetIds(id_bits), words), SET_ROWS), "sets")
+        self.names = SetIds(id_bits, self._shared_ids(rows))
+        sid = F.col("sid")
+        if len(self.names.shared):
+            sid = F.when(sid.isin(self.names.shared.tolist()), F.col("second")).otherwise(sid)
+        self.rows = rows.where("part is null").select("doc_id", "n", sid.alias("sid"))
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         parts = rows.where("part is not null").select("part", "counts")
         for r in parts.repartition("part").mapInArrow(sum_sketches, "part int, counts binary").collect():
             sketch[r.part * SKETCH_ROW : (r.part + 1) * SKETCH_ROW] = np.frombuffer(r.counts, np.int64)
         classes = self.spark.sparkContext.broadcast(frequency_classes(sketch))  # one byte a bucket
-        index = materialize(self.texts.mapInArrow(index_rows(classes, words, percent), INDEX), "index")
+        index = materialize(self.texts.mapInArrow(index_rows(classes, self.names, words, percent), INDEX), "index")
         self.bitmaps = index.groupBy("sid").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
         self.bits = index.groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
         entries = index.select("sid", "n", F.posexplode("tokens").alias("position", "token"))
@@ -365,6 +394,12 @@ class JaccardJoin:
         shared = materialize(entries.join(shared, "token").groupBy("token", "sid").agg(F.first("n").alias("n"), F.first("position").alias("position")), "shared")
         self.entries = materialize(self._with_pivots(shared), "entries")
 
+    @staticmethod
+    def _shared_ids(rows: DataFrame) -> np.ndarray:
+        """First ids that different sets have, by chance alone (``SetIds``)."""
+        seconds = rows.where("n > 0").groupBy("sid").agg(F.min("second").alias("least"), F.max("second").alias("most"))
+        return np.array(sorted(r.sid for r in seconds.where("least < most").select("sid").collect()), np.int64)
+
     def _with_pivots(self, shared: DataFrame) -> DataFrame:
         """Entries with their token's pivot: the set of which the largest
         share of prefix tokens is shared. The text that others are edited
@@ -402,7 +437,7 @@ class JaccardJoin:
         passed = materialize(bounded.mapInArrow(passes_bitmap(self.percent), PASSED), "passed")
         sids = passed.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
         wanted = self.spark.sparkContext.broadcast(wanted_filter(sids))
-        sets = (self.texts.mapInArrow(complete_sets(wanted, self.k), SETS).join(sids, "sid", "left_semi")
+        sets = (self.texts.mapInArrow(complete_sets(wanted, self.names, self.k), SETS).join(sids, "sid", "left_semi")
                 .groupBy("sid").agg(F.first("hashes").alias("hashes")))
         sets = materialize(sets, "complete")
         left, right = (sets.select(F.col("sid").alias(s), F.col("hashes").alias(f"hashes_{s}")) for s in "ab")
@@ -558,31 +593,31 @@ class JaccardJoin:
         return self.labelled_sets().groupBy("root").agg(smallest).select(F.col("m.first").alias("doc_id"), F.col("m.sid").alias("sid"))
 
 
-def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def similar_components(docs: DataFrame, words: int = 5, percent: int = 80, id_bits: int = 64) -> DataFrame:
     """Every row's set size, component (smallest doc_id that links reach) and
     set id. ``docs`` needs doc_id and text."""
-    return JaccardJoin(docs, words, percent).documents()
+    return JaccardJoin(docs, words, percent, id_bits).documents()
 
 
-def with_set_ids(k: int, text: int, name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def with_set_ids(names: SetIds, k: int, text: int, name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows with the id of their set, NULL without shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, ids = binary_texts(batch.column(text)), []
             for a, b in blocks(texts):
                 sets = ShingleSets(texts[a:b], k)
-                ids.append(pa.array(sets.ids(), mask=sets.size == 0))
+                ids.append(pa.array(names.of(sets), mask=sets.size == 0))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.concat_arrays(ids) if ids else pa.array([], pa.int64())], [*batch.schema.names, name])
     return run
 
 
-def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_bits: int = 64) -> DataFrame:
     """``docs`` (all columns) with one row of each component: the smallest
     doc_id, NULL last. Rows without shingles stay. Rows are told apart by
     doc_id and set id, so repeated and NULL doc_ids may hold any texts; of
     rows equal in both the one with the smallest text stays."""
     sid, of_id, of_set, n = (fresh_name(c, docs.columns) for c in ("_sid", "_of_id", "_of_set", "_nth"))
-    join = JaccardJoin(docs, words, percent)
+    join = JaccardJoin(docs, words, percent, id_bits)
     one = materialize(join.survivors(), "survivors")
     same = F.col("r.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("r.sid") == F.col("s.sid"))
     pairs = join.rows.where("n > 0").groupBy("doc_id", "sid").agg(F.count("*").alias("copies")).alias("r")
@@ -590,7 +625,7 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     gone = pairs.join(one.alias("s"), same, "left_anti").select(*named)
     copied = materialize(pairs.where("copies > 1").join(one.alias("s"), same, "left_semi").select(*named), "copied")
     schema = T.StructType([*docs.schema.fields, T.StructField(sid, T.LongType())])
-    rows = docs.mapInArrow(with_set_ids(words, docs.columns.index("text"), sid), schema)
+    rows = docs.mapInArrow(with_set_ids(join.names, words, docs.columns.index("text"), sid), schema)
     here = (F.col(sid) == F.col(of_set)) & F.col("doc_id").cast("long").eqNullSafe(F.col(of_id))
     kept = rows.join(gone, here, "left_anti")
     if copied.isEmpty():

@@ -83,6 +83,18 @@ def test_odd_rows(odd_docs):
     assert sorted(map(tuple, got), key=repr) == brute(rows, 4, 85)
 
 
+@pytest.mark.parametrize("bits", [1, 5])
+def test_different_sets_of_one_id(docs_df, bits):
+    """So few bits of the first id are kept that nearly all sets share it."""
+    rows = near_copies(4, 15, 8, 90)
+    docs = docs_df(rows)
+    got = jaccard.similar_components(docs, 4, 85, bits).select("doc_id", "n_shingles", "component_id").collect()
+    want = brute(rows, 4, 85)
+    assert sorted(map(tuple, got), key=repr) == want
+    kept = {r.doc_id for r in jaccard.keep_one(docs, 4, 85, bits).collect()}
+    assert kept == {component for _, _, component in want}
+
+
 def test_keep_one_and_empty_table(odd_docs):
     kept = jaccard.keep_one(odd_docs.where("doc_id is not null"), 5, 80)
     assert kept.columns == odd_docs.columns
