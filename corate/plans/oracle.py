@@ -332,6 +332,9 @@ UNION ALL
 SELECT n_users, all_pairs, nonzero_pairs, round(min, {R6}) AS min, round(max, {R6}) AS max,
        round(average, {R6}) AS average, round(stddev, {R6}) AS stddev
 FROM overlap"""
+    q["pair_overlap_moments"] = f"""{BASE},
+{OVERLAP}
+SELECT n_users, all_pairs, round(average, {R6}) AS average, round(stddev, {R6}) AS stddev FROM overlap"""
     q["similarity_cost"] = f"""{BASE}
 SELECT count(*) AS n_users, CAST(count(*) * (count(*) + 1) // 2 AS BIGINT) AS similarity_computations
 FROM means"""

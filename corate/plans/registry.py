@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corate.config import materialize, scratch_path
 from corate.operators import (
-    asked, capacity, checks, evaluate, incremental, neighbors, overlaps, personal, ratings, recommend, topk)
+    asked, capacity, checks, evaluate, incremental, moments, neighbors, overlaps, personal, ratings, recommend, topk)
 from corate.operators import pairs as P
 from corate.functions import jaccard
 from corate.operators.predict import predict, predict_knn, predict_with
@@ -31,6 +31,7 @@ TOP_N = 5
 RECOMMEND_KS = (30, 300)
 BLOCK = 8           # rows per block in the *_blocked queries, so that items split
 HEAVY = 32          # items beyond which co_rated_pairs_bitmap makes bitmaps
+MANY_RATERS = 24    # raters beyond which pair_overlap_moments counts by items
 
 
 def _ctx(spark: SparkSession, sf_dir: str) -> TestdataContext:
@@ -290,6 +291,12 @@ def pair_overlap_stats(spark, sf_dir):
     return rounded(_overlap(spark, sf_dir))
 
 
+def pair_overlap_moments(spark, sf_dir):
+    """Mean and deviation of all overlaps, the pairs of items of more than
+    MANY_RATERS raters never formed."""
+    return rounded(moments.overlap_moments(_ctx(spark, sf_dir).train, MANY_RATERS))
+
+
 def similarity_cost(spark, sf_dir):
     return capacity.similarity_cost(_user_counts(_ctx(spark, sf_dir).train))
 
@@ -451,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "mae_knn_by_k": mae_knn_by_k,
     "lowest_k": lowest_k,
     "pair_overlap_stats": pair_overlap_stats,
+    "pair_overlap_moments": pair_overlap_moments,
     "similarity_cost": similarity_cost,
     "similarity_storage": similarity_storage,
     "knn_storage": knn_storage,
