@@ -14,7 +14,7 @@ import re
 import duckdb
 import pytest
 
-from corate.operators import indexing, recommend
+from corate.operators import indexing, moments, recommend
 from corate.plans import context, registry, reports
 from corate.plans.context import TestdataContext
 from corate.plans.oracle import oracles
@@ -31,7 +31,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-MODULES = (context, indexing, recommend, registry, reports)
+MODULES = (context, indexing, moments, recommend, registry, reports)
 PERSONAL = {"recommend_personal", "recommend_from_csv", "report_recommend", "report_recommend_json"}
 
 
