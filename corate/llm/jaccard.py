@@ -387,8 +387,10 @@ class JaccardJoin:
             sketch[r.part * SKETCH_ROW : (r.part + 1) * SKETCH_ROW] = np.frombuffer(r.counts, np.int64)
         classes = self.spark.sparkContext.broadcast(frequency_classes(sketch))  # one byte a bucket
         index = materialize(self.texts.mapInArrow(index_rows(classes, self.names, words, percent), INDEX), "index")
-        self.bitmaps = index.groupBy("sid").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
-        self.bits = index.groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+        # written, so that AQE can split a join with them by a hot pivot: it does
+        # so where both sides are read as they were dealt, not above an aggregate
+        known = materialize(index.groupBy("sid").agg(*(F.first(c).alias(c) for c in ("n", "bitmap", "bits"))), "known")
+        self.bitmaps, self.bits = known.select("sid", "n", "bitmap"), known.select("sid", "n", "bits")
         entries = index.select("sid", "n", F.posexplode("tokens").alias("position", "token"))
         shared = entries.groupBy("token").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a < b").select("token")
         shared = materialize(entries.join(shared, "token").groupBy("token", "sid").agg(F.first("n").alias("n"), F.first("position").alias("position")), "shared")
@@ -541,7 +543,7 @@ class JaccardJoin:
         known = self.bits.join(inside.select("sid").unionByName(ends.withColumnRenamed("cluster", "sid")).distinct(), "sid", "left_semi")
         known = materialize(known, "bits")
         inside = materialize(inside.join(known, "sid").select("cluster", "sid", "distance", "lost", "gained", F.col("n").alias("n_x"), F.col("bits").alias("bits_x")), "inside")
-        centre = pivot_sets.join(ends.withColumnRenamed("cluster", "sid"), "sid", "left_semi")
+        centre = materialize(pivot_sets.join(ends.withColumnRenamed("cluster", "sid"), "sid", "left_semi"), "centre")
 
         def against_pivot(own: str, other: str) -> DataFrame:
             """Members of cluster ``own`` that may link into cluster ``other``."""
@@ -580,8 +582,8 @@ class JaccardJoin:
 
     def documents(self) -> DataFrame:
         """doc_id, n_shingles, component_id, set_id of every row."""
-        labelled = self.labelled_sets()
-        smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
+        labelled = materialize(self.labelled_sets(), "labelled")
+        smallest = materialize(labelled.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
         of_set = labelled.join(smallest, "root").select("sid", "component_id")
         joined = self.rows.join(of_set, "sid", "left")
         return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.col("sid").alias("set_id"))

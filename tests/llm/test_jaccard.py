@@ -188,3 +188,34 @@ def test_templates_that_link_nothing_make_no_pairs(spark, docs_df):
     join = jaccard.JaccardJoin(docs, 4, 85)
     entries = join.entries.withColumns({"cluster": F.col("sid"), "distance": F.lit(0.0), "block": jaccard.size_block(F.col("n"), 85)})
     assert join.entries.count() >= 300 and join._cluster_pairs(entries).count() == 0
+
+
+def test_hot_pivot_joins_can_be_split(docs_df, spark):
+    """A pivot of very many copies: the join of the pairs with their bitmaps
+    is dealt anew by AQE, which needs plain exchanges on both sides."""
+    rng = random.Random(5)
+    base = rng.choices([f"w{i}" for i in range(400)], k=200)
+    rows = []
+    for i in range(1500):
+        text = list(base)
+        text[rng.randrange(200)] = f"x{i}"
+        rows.append((i, " ".join(text)))
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        join = jaccard.JaccardJoin(docs_df(rows).repartition(8), 4, 85)
+        pairs = join.rows.select(F.col("sid").alias("a"), F.lit(join.rows.agg(F.min("sid")).first()[0]).alias("b")).repartition(8).where("a <> b")
+        bounded = pairs.join(join.bitmaps.select(F.col("sid").alias("b"), "bitmap"), "b")
+        assert bounded.count() == 1499
+        spread = bounded.withColumn("task", F.spark_partition_id()).groupBy("task").count().agg(F.max("count")).first()[0]
+        plan = bounded._jdf.queryExecution().executedPlan().toString()
+        assert spread < 1499, plan
+        got = join.documents().agg(F.countDistinct("component_id"), F.count("*")).first()
+        assert tuple(got) == (1, 1500)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
