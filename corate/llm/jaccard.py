@@ -389,8 +389,8 @@ class JaccardJoin:
         index = materialize(self.texts.mapInArrow(index_rows(classes, self.names, words, percent), INDEX), "index")
         # written, so that AQE can split a join with them by a hot pivot: it does
         # so where both sides are read as they were dealt, not above an aggregate
-        known = materialize(index.groupBy("sid").agg(*(F.first(c).alias(c) for c in ("n", "bitmap", "bits"))), "known")
-        self.bitmaps, self.bits = known.select("sid", "n", "bitmap"), known.select("sid", "n", "bits")
+        self.bitmaps = materialize(index.groupBy("sid").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap")), "bitmaps")
+        self.bits = index.groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
         entries = index.select("sid", "n", F.posexplode("tokens").alias("position", "token"))
         shared = entries.groupBy("token").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a < b").select("token")
         shared = materialize(entries.join(shared, "token").groupBy("token", "sid").agg(F.first("n").alias("n"), F.first("position").alias("position")), "shared")
