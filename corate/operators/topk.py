@@ -55,12 +55,15 @@ def listed(profiles: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
 
 
 def list_heads(rows: DataFrame, heads: int) -> DataFrame:
-    """The raters at either end of each item's list, by weight."""
-    def end(order: Column, keep: Column) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy("item_id").orderBy(order, "user_id"))
-        return rows.where(keep).withColumn("_r", rank).where(F.col("_r") <= heads).drop("_r")
-
-    return end(F.col("w").desc(), F.col("w") > 0).unionByName(end(F.col("w").asc(), F.col("w") < 0))
+    """The raters at either end of each item's list, by weight.
+
+    One window ranks both ends, each by distance from zero. A union of two
+    ranked halves would keep their partitioning by item, and a join that
+    splits the partitions of one half alone cannot put the halves together."""
+    weighted = rows.where(F.col("w") != 0).withColumn("_end", F.col("w") > 0)
+    rank = F.row_number().over(
+        Window.partitionBy("item_id", "_end").orderBy(F.abs(F.col("w")).desc(), "user_id"))
+    return weighted.withColumn("_r", rank).where(F.col("_r") <= heads).drop("_r", "_end")
 
 
 def bounds(rows: DataFrame, k: int, heads: int = DEFAULT_HEADS,
