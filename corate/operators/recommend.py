@@ -33,7 +33,7 @@ from corate.operators.blocks import DEFAULT_BLOCK_SIZE, join_split
 from corate.operators.incremental import Model, build
 from corate.operators.indexing import dense_index
 from corate.operators.neighbors import rank_neighbors
-from corate.operators.pairs import co_rating_pairs, cosine, similarities_for, symmetric
+from corate.operators.pairs import co_rating_pairs, cosine, pair_load, similarities_for, symmetric
 from corate.operators.predict import UNKNOWN_USER_MEAN, band_sums, rank_band, up_to_band
 
 
@@ -70,13 +70,15 @@ def recommend_many(ratings: DataFrame, catalogue: DataFrame, users: DataFrame |
     if model is None:
         model = build(ratings, rating_min, rating_max)
     stats, profiles = model.stats, model.profiles
+    load = None
     if users is None:
         targets = stats.select("user_id")
-        directed = symmetric(cosine(co_rating_pairs(profiles, block_size)))
+        load = pair_load(profiles)
+        directed = symmetric(cosine(co_rating_pairs(profiles, block_size, load=load)))
     else:
         targets = users.select("user_id").distinct()
         directed = similarities_for(profiles, targets, block_size=block_size)
-    ranked = rank_neighbors(directed, ks[-1])
+    ranked = rank_neighbors(directed, ks[-1], load=load)
     rated = profiles.select("user_id", "item_id")
     items = catalogue.select("item_id")
     lists = F.explode(F.array(*[F.lit(k).cast("long") for k in ks])).alias("k")

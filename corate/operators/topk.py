@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from corate.config import materialize
 from corate.operators.blocks import DEFAULT_BLOCK_SIZE, join_split
 from corate.operators.neighbors import rank_neighbors
-from corate.operators.pairs import co_rating_pairs, cosine, symmetric
+from corate.operators.pairs import Load, co_rating_pairs, cosine, pair_load, symmetric
 
 # Ratings up to which a user carries the list of their items, and raters at
 # either end of an item's list that give the bounds. Both change what is
@@ -82,16 +82,17 @@ def bounds(rows: DataFrame, k: int, heads: int = DEFAULT_HEADS,
 
 
 def near_pairs(profiles: DataFrame, k: int, max_items: int = MAX_ITEMS, heads: int = DEFAULT_HEADS,
-               block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+               block_size: int = DEFAULT_BLOCK_SIZE, load: Load | None = None) -> DataFrame:
     """The part of ``pairs.co_rating_pairs`` that can hold one of the k
     nearest neighbours of either user."""
     rows = listed(profiles, max_items)
-    known = rows.join(bounds(rows, k, heads, block_size), "user_id", "left").withColumn(
-        "_least", F.coalesce(F.col("_least"), F.lit(float("-inf"))) - F.lit(MARGIN))
+    # written once: the pair join reads these rows for ordinary and hot items
+    known = materialize(rows.join(bounds(rows, k, heads, block_size), "user_id", "left").withColumn(
+        "_least", F.coalesce(F.col("_least"), F.lit(float("-inf"))) - F.lit(MARGIN)), "known")
     return co_rating_pairs(
         known, block_size, ["_items", "_least"],
         lambda a, b: (a("w") * b("w") >= F.least(a("_least"), b("_least")))
-        | ~_single(a("_items"), b("_items")))
+        | ~_single(a("_items"), b("_items")), load=load or pair_load(known))
 
 
 def top_neighbors(profiles: DataFrame, k: int, max_items: int = MAX_ITEMS,
@@ -99,5 +100,6 @@ def top_neighbors(profiles: DataFrame, k: int, max_items: int = MAX_ITEMS,
     """``neighbors.nearest_neighbors`` of the cosine similarities (both
     directions), from the near pairs alone. They are few and ranking reads
     them twice, so they are written once."""
-    near = materialize(cosine(near_pairs(profiles, k, max_items, heads, block_size)), "near")
-    return rank_neighbors(symmetric(near), k)
+    load = pair_load(profiles)
+    near = materialize(cosine(near_pairs(profiles, k, max_items, heads, block_size, load)), "near")
+    return rank_neighbors(symmetric(near), k, load=load)

@@ -155,3 +155,28 @@ def test_list_heads_are_ranked_without_a_union(spark):
             want |= {(u, i, sign * -w) for w, u in end}
     assert {(r.user_id, r.item_id, r.w) for r in heads.collect()} == want and heads.columns == df.columns
     assert "Union" not in _plan(heads)
+
+
+def test_bitmaps_are_used_only_where_they_form_fewer_pairs(spark, monkeypatch):
+    """Groups of users with items of their own: their pages make strangers
+    meet, more of them the more groups there are. Items that all users of a
+    few rate stay on pages."""
+    apart = [(g * 10 + u, g * 40 + i, 3) for g in range(60) for u in range(3) for i in range(20)]
+    shared = [(u, 90000 + i, 3) for u in range(0, 60, 10) for i in range(512)]
+    formed = []
+    whole = overlaps.pair_rows
+
+    def counted(*args, **kwargs):
+        rows = whole(*args, **kwargs)
+        formed.append(rows.count())
+        return rows
+    monkeypatch.setattr(overlaps, "pair_rows", counted)
+    ratings = ratings_df(spark, apart + shared)
+    numbered = overlaps.numbered_items(ratings)
+    pages = overlaps.item_pages(ratings, numbered)
+    assert 0 < overlaps.dense_pages(pages, numbered).count() < numbered.select("page").distinct().count()
+    got = overlaps.bitmap_overlaps(ratings, 9)
+    assert _rows(got) == _rows(P.co_rated_counts(ratings))
+    # 15 pairs on the shared page instead of 7,680; elsewhere no more than
+    # the items form
+    assert sum(formed) <= 60 * 20 * 3 + 15

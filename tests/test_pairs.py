@@ -6,7 +6,10 @@ import random
 
 from pyspark.sql import functions as F
 
+from corate.operators import blocks
 from corate.operators import pairs as P
+from corate.operators.neighbors import nearest_neighbors
+from corate.operators.predict import predict
 from corate.operators.ratings import normalize
 from tests.conftest import ratings_df
 
@@ -121,3 +124,42 @@ def test_similarities_for_matches_symmetric_table(spark):
             for r in P.symmetric(P.cosine(P.co_rating_pairs(prof))).where("user_id in (3, 17)").collect()}
     assert set(got) == set(full)
     assert all(math.isclose(got[k], full[k], abs_tol=1e-12) for k in got)
+
+
+def test_load_counts_pair_rows_and_users(spark):
+    rows = _random_ratings(seed=4)
+    by_item = {}
+    for _, i, _ in rows:
+        by_item[i] = by_item.get(i, 0) + 1
+    assert P.pair_load(ratings_df(spark, rows)) == (sum(d * (d - 1) // 2 for d in by_item.values()), len({u for u, _, _ in rows}))
+    assert P.pair_load(ratings_df(spark, [])) == (0, 0)
+
+
+def test_tasks_follow_the_pair_rows(spark, monkeypatch):
+    """Pairs, neighbours and predictions are dealt to as many tasks as their
+    rows ask for, whatever the session's number of partitions is."""
+    rows = [(u, i, 1 + (u + i) % 5) for u in range(120) for i in range(120) if (u * 31 + i * 17) % 11 == 0]
+    profiles = normalize(ratings_df(spark, rows))
+    targets = ratings_df(spark, [(u, (u * 7) % 120, 1) for u in range(120)]).select("user_id", "item_id")
+    means = profiles.select("user_id", "mean").distinct()
+
+    def results(load):
+        pairs = P.co_rating_pairs(profiles, load=load)
+        tasks = blocks.tasks_for(spark, load.rows)
+        ranked = nearest_neighbors(P.cosine(pairs), 3, load=load)
+        return pairs, ranked, predict(targets, profiles, means, P.cosine(pairs), tasks=tasks)
+
+    def sizes(df):
+        return [n for n, in spark.createDataFrame(
+            df.rdd.mapPartitions(lambda part: [(sum(1 for _ in part),)]), "n long").collect()]
+
+    load = P.pair_load(profiles)
+    want = [sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()) for df in results(load)]
+    assert want[0] and not load.dense
+    monkeypatch.setattr(blocks, "ROWS_PER_TASK", load.rows // 40)
+    pairs, ranked, preds = results(load)
+    got = [sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()) for df in (pairs, ranked, preds)]
+    assert got == want
+    assert len(sizes(pairs)) >= 40 and max(sizes(pairs)) < 0.1 * len(want[0])
+    # pairs that meet often are added up before the shuffle
+    assert P.Load(10**6, 1000).dense is False and P.Load(10**7, 1000).dense is True
