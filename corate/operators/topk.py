@@ -27,8 +27,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corate.config import materialize
-from corate.operators.blocks import DEFAULT_BLOCK_SIZE, join_split
-from corate.operators.neighbors import rank_neighbors
+from corate.operators import pairs as P
+from corate.operators.blocks import DEFAULT_BLOCK_SIZE, join_split, spread, tasks_for
+from corate.operators.neighbors import rank_neighbors, ranked
 from corate.operators.pairs import Load, co_rating_pairs, cosine, pair_load, symmetric
 
 # Ratings up to which a user carries the list of their items, and raters at
@@ -47,10 +48,12 @@ def _single(a: Column, b: Column) -> Column:
 
 def listed(profiles: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
     """``(user_id, item_id, n_items, w)`` of users with a norm, and ``_items``:
-    the user's items, NULL for users of more than ``max_items``."""
+    the user's items by hash, NULL for users of more than ``max_items`` or with
+    two items of one hash."""
     rows = profiles.where(F.col("w").isNotNull()).select("user_id", "item_id", "n_items", "w")
     lists = (rows.where(F.col("n_items") <= max_items).groupBy("user_id")
-             .agg(F.collect_list("item_id").alias("_items")))
+             .agg(F.collect_list(F.hash("item_id")).alias("_items"))
+             .where(F.size(F.array_distinct("_items")) == F.size("_items")))
     return rows.join(lists, "user_id", "left")
 
 
@@ -95,11 +98,56 @@ def near_pairs(profiles: DataFrame, k: int, max_items: int = MAX_ITEMS, heads: i
         | ~_single(a("_items"), b("_items")), load=load or pair_load(known))
 
 
+def list_bounds(rows: DataFrame, k: int, heads: int, block_size: int, tasks: int) -> DataFrame:
+    """``bounds`` with the raters of an item read as lists (the ends of a hot
+    item's lists are those of each of its buckets)."""
+    def end(sign: int) -> Column:
+        weighted = F.filter("right", lambda x: x["w"] * sign > 0)
+        by_weight = F.transform(weighted, lambda x: F.struct(
+            (x["w"] * -sign).alias("o"), x["user_id"].alias("user_id"), x["_items"].alias("_items")))
+        return F.slice(F.array_sort(by_weight), 1, heads)
+    a = F.col("a.w")
+    near = F.when(a > 0, F.col("high")).when(a < 0, F.col("low"))
+    proven = F.filter(near, lambda x: (x["user_id"] != F.col("a.user_id")) & _single(F.col("a._items"), x["_items"]))
+    products = (P.met(rows, ["user_id", "w", "_items"], block_size, tasks)
+                .select("left", end(1).alias("high"), end(-1).alias("low"))
+                .select(F.explode("left").alias("a"), "high", "low")
+                .select(F.col("a.user_id").alias("u"), F.transform(proven, lambda x: F.abs(x["o"] * a)).alias("vs"))
+                .where(F.size("vs") > 0))
+    rank = F.row_number().over(Window.partitionBy("user_id").orderBy(F.col("sim").desc()))
+    return (spread(products, ["u"], tasks).select(F.col("u").alias("user_id"), F.explode("vs").alias("sim"))
+            .withColumn("_r", rank).where(F.col("_r") <= k).where(F.col("_r") == k)
+            .select("user_id", F.col("sim").alias("_least")))
+
+
+def near_lists(rows: DataFrame, least: DataFrame, block_size: int, tasks: int) -> DataFrame:
+    """``pairs.lists`` of both directions, without the neighbours that are
+    proven to lie below the user's bound."""
+    known = rows.join(least, "user_id", "left").withColumn(
+        "_least", F.coalesce(F.col("_least"), F.lit(float("-inf"))) - F.lit(MARGIN))
+    a = F.col("a")
+    near = F.filter("right", lambda x: (x["user_id"] != a["user_id"]) & (
+        (x["w"] * a["w"] >= a["_least"]) | ~_single(a["_items"], x["_items"])))
+    return (P.met(known, ["user_id", "w", "_items", "_least"], block_size, tasks)
+            .select(F.explode("left").alias("a"), "right").select("a", near.alias("o"))
+            .select(F.col("a.user_id").alias("u"), F.col("a.w").alias("own"),
+                    F.col("o.user_id").alias("vs"), F.col("o.w").alias("values"))
+            .where(F.size("vs") > 0))
+
+
 def top_neighbors(profiles: DataFrame, k: int, max_items: int = MAX_ITEMS,
                   heads: int = DEFAULT_HEADS, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``neighbors.nearest_neighbors`` of the cosine similarities (both
-    directions), from the near pairs alone. They are few and ranking reads
-    them twice, so they are written once."""
+    directions), from the near pairs alone."""
     load = pair_load(profiles)
-    near = materialize(cosine(near_pairs(profiles, k, max_items, heads, block_size, load)), "near")
-    return rank_neighbors(symmetric(near), k, load=load)
+    if not P.by_user(profiles, load):
+        # they are few and ranking reads them twice, so they are written once
+        near = materialize(cosine(near_pairs(profiles, k, max_items, heads, block_size, load)), "near")
+        return rank_neighbors(symmetric(near), k, load=load)
+    tasks = tasks_for(profiles.sparkSession, load.rows)
+    rows = listed(profiles, max_items)
+    least = materialize(list_bounds(rows, k, heads, block_size, tasks), "bounds")
+    sims = (P.terms(near_lists(rows, least, block_size, tasks), tasks, {"values": "value"})
+            .groupBy(F.col("u").alias("user_id"), F.col("v").alias("neighbor_id"))
+            .agg(F.sum(F.col("own") * F.col("value")).alias("sim")))
+    return ranked(sims, k)
